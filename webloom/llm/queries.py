@@ -70,9 +70,9 @@ SQL = {
         WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
         win AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS turn
                 FROM d, unnest(range(1, len(w) - 18)) AS r(i)),
-        gone AS (SELECT DISTINCT doc_id, i + k AS at FROM win, range(0, 20) AS s(k) WHERE turn > 1),
-        word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM d),
-        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS kept, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id)
+        gone AS (SELECT DISTINCT doc_id, i + k AS pos FROM win, range(0, 20) AS s(k) WHERE turn > 1),
+        word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
     "op5_mix_sources": rf"""
         WITH d AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size FROM documents),

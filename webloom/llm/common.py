@@ -2,36 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..sources.tables import shared_dir, table
+
 #: Words are the runs of anything but these six characters.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def words_of(text: Column) -> Column:
     """The words of a text; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), "")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the session names none (tests), one is made."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="webloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage is cut, and a lost executor costs no recomputation.
 

@@ -2,5 +2,25 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+
+from ..functions.dialect import Duck, Spark
+from ..operators.html import QUERIES as DOM_QUERIES
+from ..sources.tables import views
+from ..streaming.dedupe import QUERIES as STREAM_QUERIES
+from ..streaming.dedupe import SQL as STREAM_SQL
+from . import corpus, pages
+
+
+def in_spark(plan):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        views(spark, sf_dir, ("pages", "documents", "conversations"))
+        return spark.sql(plan(Spark()))
+
+    query.__doc__ = plan.__doc__
+    return query
+
+
+PLANS = (*pages.QUERIES, *corpus.QUERIES)
+QUERIES: dict = {p.__name__: in_spark(p) for p in PLANS} | DOM_QUERIES | STREAM_QUERIES
+SQL: dict = {p.__name__: p(Duck()) for p in PLANS} | STREAM_SQL

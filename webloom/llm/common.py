@@ -56,3 +56,12 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
         .withColumn(name, F.col("_first") + F.col("_at").bitwiseAND((1 << 33) - 1))
         .drop("_part", "_at", "_n", "_first")
     )
+
+
+def boxed(docs: DataFrame, *names: str) -> DataFrame:
+    """docs' rows as one column, beside the columns named: what else docs has can't clash with an operator's own."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *names)
+
+
+def unboxed(rows: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    return rows.select(*((new[c] if c in new else F.col("_row").getField(c)).alias(c) for c in columns))

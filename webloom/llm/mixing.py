@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, ranked, words_of
+from .common import boxed, materialize, ranked, unboxed, words_of
 
 
 def seeded_offset(source: Column, seed: int) -> Column:
@@ -73,7 +73,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     plan = mix(docs, **options).select("doc_id", "source", F.col("size").alias("_size"), F.col("copies").alias("_copies"))
     plan = plan.withColumn("_turn", turn).where("_copies > 0").select(*(F.col(c).alias(f"{c}_p") for c in [*keys, "_turn"]), "_copies")
     by = Window.partitionBy(*keys).orderBy(F.lit(0))
-    rows = docs.withColumn("_size", F.size(words_of(F.col("text"))).cast("long")).withColumn("_turn", F.row_number().over(by))
+    rows = boxed(docs, "doc_id", "source", "text").withColumn("_size", F.size(words_of(F.col("text"))).cast("long")).withColumn("_turn", F.row_number().over(by))
     same = [F.col(c).eqNullSafe(F.col(f"{c}_p")) for c in [*keys, "_turn"]]
     out = rows.join(plan, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return out.select(*docs.columns)
+    return unboxed(out, docs.columns)

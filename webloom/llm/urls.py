@@ -92,14 +92,14 @@ def judge(pages: DataFrame, *, rules: tuple = RULES) -> DataFrame:
 
 
 def calibrated(scored: DataFrame, step: int = 1000) -> int:
-    """The threshold, in steps, with the best mean of the shares of both kinds that it puts on their side; the lowest of equals."""
+    """The threshold, in steps, with the best mean of the shares of both kinds that it puts on their side; of equal ones, the middle."""
     bins = scored.where("ruled is not null").groupBy(F.floor(F.greatest(F.least(F.col("score"), F.lit(20_000_000)), F.lit(-20_000_000)) / step).alias("bin")).agg(F.count_if(F.col("ruled") == "allow").alias("good"), F.count_if(F.col("ruled") == "block").alias("bad"))
     rows = sorted((r.bin, r.good, r.bad) for r in bins.collect())  # at most 40,001
     good, bad = sum(r[1] for r in rows), sum(r[2] for r in rows)
-    best, level, passed_good, passed_bad = -1.0, 0, 0, 0
+    best, level, passed_good, passed_bad, before = -1.0, 0, 0, 0, rows[0][0]
     for place, g, b in rows:
         gain = (good - passed_good) / good + passed_bad / bad
         if gain > best + 1e-12:
-            best, level = gain, place * step
-        passed_good, passed_bad = passed_good + g, passed_bad + b
+            best, level = gain, (before + place + 1) // 2 * step
+        passed_good, passed_bad, before = passed_good + g, passed_bad + b, place
     return level

@@ -18,8 +18,8 @@ def test_card_sizes(spark):
 
 
 def test_repeated_markup_counts_once_and_order_is_the_documents(spark):
-    nav = f"<nav>{'a' * 120}</nav>"
-    rows = html.components(html.elements(pages(spark, nav + nav + nav.replace("a", "b")))).where("type = 'navigation'").orderBy("ord").collect()
+    nav, other = (f"<nav>{c * 120}</nav>" for c in "ab")
+    rows = html.components(html.elements(pages(spark, nav + nav + other))).where("type = 'navigation'").orderBy("ord").collect()
     assert [(r.ord, r.html[5]) for r in rows] == [(1, "a"), (2, "b")]
 
 

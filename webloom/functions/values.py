@@ -43,21 +43,32 @@ INDUSTRY_TONES = (("Healthcare", "Professional, Trustworthy, Medical"), ("Beauty
 WORD_TONES = ((("minimal",), "Minimalist, Clean, Simple"), (("luxury", "premium"), "Luxury, Premium, Sophisticated"))
 
 # fixed values: hosts and names of trackers and of libraries
-CDN_WORDS = ("cdnjs", "googleapis", "jsdelivr", "unpkg", "google-analytics", "googletagmanager")
+STYLE_CDN_WORDS = ("cdnjs", "cdn.jsdelivr", "googleapis", "bootstrapcdn", "fonts.googleapis", "cloudflare")
+CDN_WORDS = ("cdnjs", "cdn.jsdelivr", "googleapis", "googletagmanager", "gtag", "google-analytics", "analytics", "cloudflare", "ajax.googleapis")
 LIBRARY_NAMES = (".min.js", "bundle", "chunk", "vendor", "lib")
 
-# fixed values: link texts and where their placeholders lead
+# fixed values: hosts of social networks, link texts and where their placeholders lead
+SOCIAL_HOSTS = ("facebook.com", "twitter.com", "instagram.com", "linkedin.com", "youtube.com")
 LINK_WORDS = (
-    (("about", "会社"), "/about"),
-    (("contact", "お問い合わせ"), "/contact"),
-    (("service", "サービス"), "/services"),
-    (("product", "商品"), "/products"),
-    (("news", "ニュース"), "/news"),
+    (("about", "会社", "概要", "私たち"), "/about"),
+    (("contact", "問い合わせ", "お問い合わせ", "連絡"), "/contact"),
+    (("service", "サービス", "診療", "治療"), "/services"),
+    (("product", "製品", "商品", "メニュー"), "/products"),
+    (("news", "ニュース", "お知らせ"), "/news"),
     (("blog", "ブログ"), "/blog"),
-    (("faq", "よくある質問"), "/faq"),
-    (("home", "ホーム"), "/"),
+    (("faq", "よくある", "質問"), "/faq"),
+    (("home", "ホーム", "トップ"), "/"),
 )
 
+# fixed values: placeholder sizes of images by a word in their or their parent's classes
+PLACEHOLDER = "https://picsum.photos"
+IMAGE_SIZES = ((("hero", "banner", "header"), (1920, 1080)), (("thumb",), (300, 300)), (("icon", "logo"), (64, 64)))
+IMAGE_SIZE = (800, 600)
+
+# fixed values: charset names and the encodings that are tried in turn
+CHARSETS = {"utf-8": "utf-8", "utf8": "utf-8", "shift_jis": "shift_jis", "shift-jis": "shift_jis", "sjis": "shift_jis", "euc-jp": "euc-jp", "eucjp": "euc-jp", "iso-2022-jp": "iso-2022-jp", "cp932": "cp932"}
+TRIED_ENCODINGS = ("utf-8", "shift_jis", "euc-jp", "iso-2022-jp", "cp932")
+
 # fixed values: prompts
 TRAIN_PROMPT = """You are an elite senior creative front-end engineer specializing in brand-specific website design and development. Your expertise includes:
 - Creating unique, brand-identity-driven websites that reflect each brand's personality, values, and target audience
@@ -102,3 +113,38 @@ COMPONENT_TASKS = {
     "forms": "Create a form component with semantic HTML, accessible form elements, and clean CSS styling. Include proper labels and validation styling.",
     "typography": "Create a typography example with semantic HTML headings and text elements, styled with modern CSS. Focus on font hierarchy, spacing, and readability.",
 }
+PLACEHOLDER_NOTE = "Use placeholder images from https://picsum.photos/ with appropriate dimensions."
+COMPONENT_REASONS = {
+    "headers": "Header design establishes brand identity and navigation hierarchy. Fixed positioning ensures constant access to navigation while maintaining visual prominence.",
+    "footers": "Footer design provides essential site information and secondary navigation. Clean, organized layout supports user trust and site credibility.",
+    "sections": "Section layout creates visual rhythm and content hierarchy. Proper spacing and typography guide user attention through content flow.",
+    "buttons": "Button design emphasizes call-to-action with clear visual hierarchy. Hover states and transitions provide interactive feedback.",
+    "navigation": "Navigation design prioritizes usability and accessibility. Responsive behavior adapts to different screen sizes while maintaining functionality.",
+    "hero": "Hero section creates immediate visual impact and communicates primary message. Large imagery and typography establish brand presence.",
+    "cards": "Card design organizes content into digestible units. Shadows and spacing create depth and visual separation.",
+    "forms": "Form design prioritizes usability and accessibility. Clear labels and validation states guide user input.",
+    "typography": "Typography establishes content hierarchy and readability. Font choices and spacing create visual rhythm.",
+}
+TONE_REASONS = {
+    "Professional": "Professional tone emphasizes trust, credibility, and clarity",
+    "Modern": "Modern design emphasizes clean lines, minimalism, and contemporary aesthetics",
+    "Elegant": "Elegant design emphasizes sophistication, refinement, and premium feel",
+    "Bold": "Bold design emphasizes strong visual impact, high contrast, and confident styling",
+    "Minimalist": "Minimalist design emphasizes simplicity, whitespace, and essential elements",
+    "Creative": "Creative design emphasizes unique layouts, artistic elements, and visual interest",
+}
+GROUP_TASK = "Task: Create a combined {} component group with semantic HTML structure and modern CSS for layout and styling. Ensure components work together harmoniously. Use placeholder images from https://picsum.photos/ with appropriate dimensions."
+
+# fixed values: the shell around an exported fragment
+SHELL = """<!DOCTYPE html>
+<html lang="en">
+<head>
+    <meta charset="UTF-8">
+    <meta name="viewport" content="width=device-width, initial-scale=1.0">
+    <title>Example {number}</title>
+    <link rel="stylesheet" href="style.css">
+</head>
+<body>
+{html}
+</body>
+</html>"""

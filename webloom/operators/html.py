@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,7 +17,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 IMPLIED_END = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 BLOCKS = frozenset("address article aside blockquote div dl footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 
-ELEMENTS = "page_id long, node_id int, parent_id int, depth int, tag string, attrs map<string,string>, classes array<string>, text string, outer_html string"
+ELEMENTS = "page_id long, node_id int, parent_id int, depth int, tag string, attrs map<string,string>, classes array<string>, text string, outer_html string, path array<int>"
 
 
 class Tree(HTMLParser):
@@ -25,10 +26,7 @@ class Tree(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.source, self.nodes, self.open = html, [], []
-        self.starts = [0]
-        for i, c in enumerate(html):
-            if c == "\n":
-                self.starts.append(i + 1)
+        self.starts = [0, *accumulate(len(line) + 1 for line in html.split("\n"))]
         self.feed(html)
         self.close()
         while self.open:
@@ -48,7 +46,8 @@ class Tree(HTMLParser):
         values = {k: v or "" for k, v in attrs}
         parent = self.open[-1]["id"] if self.open else None
         node = {"id": len(self.nodes), "parent": parent, "depth": len(self.open), "tag": tag, "attrs": values, "text": [], "start": self.place()}
-        node["end"] = node["start"] + len(self.get_starttag_text() or "")
+        node["end"] = node["head"] = node["start"] + len(self.get_starttag_text() or "")
+        node["path"] = [*(n["id"] for n in self.open), node["id"]]
         self.nodes.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -74,7 +73,7 @@ class Tree(HTMLParser):
 
 
 def elements(pages: DataFrame) -> DataFrame:
-    """A row per element: its place, parent, depth, tag, attributes, classes, text and markup. Null html has none."""
+    """A row per element: its place, parent, depth, tag, attributes, classes, text, markup and path (ancestors, itself last). Null html has none."""
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,6 +82,7 @@ def elements(pages: DataFrame) -> DataFrame:
                 pa.array([p for p, _ in rows], pa.int64()), *(pa.array([n[k] for _, n in rows], pa.int32()) for k in ("id", "parent", "depth")), pa.array([n["tag"] for _, n in rows], pa.string()),
                 pa.array([list(n["attrs"].items()) for _, n in rows], pa.map_(pa.string(), pa.string())), pa.array([n["attrs"].get("class", "").split() for _, n in rows], pa.list_(pa.string())),
                 pa.array([" ".join("".join(n["text"]).split()) for _, n in rows], pa.string()), pa.array([n["outer"] for _, n in rows], pa.string()),
+                pa.array([n["path"] for _, n in rows], pa.list_(pa.int32())),
             ]
             yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in ELEMENTS.split(", ")])
 
@@ -110,16 +110,19 @@ def with_parents(nodes: DataFrame) -> DataFrame:
 
 
 def components(nodes: DataFrame) -> DataFrame:
-    """page_id, type, ord, node_id, html: the first of each markup within a page and type, in document order."""
+    """page_id, type, ord, node_id, root_id, html: the first of each markup within a page and type, in document order.
+
+    root_id is the element whose markup stands in html: the parent, where that is shown.
+    """
     kinds = F.array_compact(F.array(*(F.when(F.expr(test), F.lit(name)) for name, (test, _) in COMPONENTS.items())))
     found = with_parents(nodes).withColumn("type", F.explode(kinds))
     short = F.col("type").isin("buttons", "typography") & (F.length("parent_html") < 500)
-    found = found.withColumn("outer_html", F.when(short, F.col("parent_html")).otherwise(F.col("outer_html")))
+    found = found.withColumn("root_id", F.when(short, F.col("parent_id")).otherwise(F.col("node_id"))).withColumn("outer_html", F.when(short, F.col("parent_html")).otherwise(F.col("outer_html")))
     fits = F.coalesce(*(F.when(F.col("type") == name, F.expr(size)) for name, (_, size) in COMPONENTS.items()))
     first = F.row_number().over(Window.partitionBy("page_id", "type", "md5").orderBy("node_id"))
     kept = found.where(fits).withColumn("md5", F.md5("outer_html")).withColumn("first", first).where("first = 1")
     ordinal = F.row_number().over(Window.partitionBy("page_id", "type").orderBy("node_id"))
-    return kept.select("page_id", "type", ordinal.alias("ord"), "node_id", F.col("outer_html").alias("html"))
+    return kept.select("page_id", "type", ordinal.alias("ord"), "node_id", "root_id", F.col("outer_html").alias("html"))
 
 
 CSS_RULES = "page_id long, rule_ord int, selector string, media string, body string"
@@ -170,14 +173,19 @@ def css_rules(sheets: DataFrame) -> DataFrame:
     return sheets.select("page_id", "css").mapInArrow(parse, CSS_RULES)
 
 
+def below(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Each root's row beside the elements in its subtree, itself included."""
+    return nodes.withColumn("root_id", F.explode("path")).join(roots, ["page_id", "root_id"])
+
+
 def component_css(nodes: DataFrame, parts: DataFrame, rules: DataFrame) -> DataFrame:
     """page_id, type, ord, rule_ord of the rules that match a component, by equality of a class, id or tag.
 
-    The elements below a component are those whose markup lies in it; their tokens and the selectors' meet in one
-    equi-join. Rules of :root that define a variable which a matched rule uses come too.
+    The elements of a component are those with its root on their path: an equi-join. Their tokens and the selectors'
+    meet in another. Rules of :root that define a variable which a matched rule uses come too.
     """
     tokens = F.array_union(F.array_union(F.transform("classes", lambda c: F.concat(F.lit("."), c)), F.array(F.col("tag"))), F.array_compact(F.array(F.concat(F.lit("#"), F.col("attrs")["id"]))))
-    inside = parts.alias("c").join(nodes.alias("n"), "page_id").where("contains(c.html, n.outer_html)").select("page_id", "type", "ord", F.explode(tokens).alias("token")).distinct()
+    inside = below(nodes.select("page_id", "path", tokens.alias("tokens")), parts.select("page_id", "type", "ord", "root_id")).select("page_id", "type", "ord", F.explode("tokens").alias("token")).distinct()
     names = F.expr(r"regexp_extract_all(selector, '(^|[\\s>+~,(])([a-z][a-z0-9]*)|([.#][A-Za-z_][A-Za-z0-9_-]*)', 0)")
     named = rules.withColumn("token", F.explode(F.transform(names, lambda x: F.regexp_replace(x, r"^[\s>+~,(]+", ""))))
     matched = inside.join(named, ["page_id", "token"]).select("page_id", "type", "ord", "rule_ord", "body").distinct()
@@ -188,7 +196,7 @@ def component_css(nodes: DataFrame, parts: DataFrame, rules: DataFrame) -> DataF
 
 
 def html_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return elements(table(spark, sf_dir, "pages")).drop("attrs")
+    return elements(table(spark, sf_dir, "pages")).drop("attrs", "path")
 
 
 def page_components(spark: SparkSession, sf_dir: str) -> DataFrame:

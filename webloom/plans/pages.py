@@ -5,6 +5,8 @@ from __future__ import annotations
 from ..functions import values as v
 from ..functions.dialect import Spark, any_of, choose, strip, times
 
+#: Longer pages yield no examples.
+LONGEST_PAGE = 5_000_000
 IMAGE_URL = r"(?i)url\([\x22\x27]?[^\x22\x27)]+\.(jpg|jpeg|png|gif|webp|svg)[\x22\x27]?\)"
 
 
@@ -61,6 +63,7 @@ def lines(*parts: str) -> str:
 
 
 def full_page_examples(d: Spark) -> str:
+    """An example of each page that isn't empty or too long."""
     t = d.text
     html = f"CASE WHEN length(html) > 1000000 THEN concat(substring(html, 1, 1000000), {t(chr(10) + '<!-- ... rest of HTML ... -->')}) ELSE html END"
     instruction = lines(
@@ -74,7 +77,7 @@ def full_page_examples(d: Spark) -> str:
         "CASE WHEN motion <> 'None' THEN concat('- Interactions: ', motion, ' for enhanced user engagement') END", "concat('- Visual content: ', photo_usage, ' imagery to support brand message')",
     )
     output = lines("'Design reasoning:'", reasoning, t("\nCode:"), "'```html'", html, "'```'", f"CASE WHEN css <> '' THEN concat({t(chr(10) + '```css' + chr(10) + '/* inline */' + chr(10))}, css, {t(chr(10) + '```')}) END")
-    return f"WITH {characteristics(d)}, ex AS (SELECT page_id, {instruction} AS instruction, {output} AS output FROM ch) SELECT page_id, instruction, output FROM ex WHERE length(instruction) >= 50 AND length(output) >= 100 AND contains(output, '```')"
+    return f"WITH {characteristics(d)}, ex AS (SELECT page_id, {instruction} AS instruction, {output} AS output FROM ch WHERE html <> '' AND length(html) <= {LONGEST_PAGE}) SELECT page_id, instruction, output FROM ex WHERE length(instruction) >= 50 AND length(output) >= 100 AND contains(output, '```')"
 
 
 def page_characteristics(d: Spark) -> str:
@@ -174,7 +177,7 @@ def same_domain_links(d: Spark) -> str:
 def link_placeholders(d: Spark) -> str:
     """Where each link would lead as a placeholder; absolute links only are rewritten, shown here for all."""
     slug = d.sub(d.sub("substring(lower(label), 1, 30)", "[^a-z0-9]+", "-"), "^-+|-+$", "")
-    social = any_of("lower(target)", ("facebook.com", "twitter.com", "instagram.com", "linkedin.com", "youtube.com"))
+    social = any_of("lower(target)", v.SOCIAL_HOSTS)
     by_text = " ".join(f"WHEN {any_of('lower(label)', words)} THEN '{to}'" for words, to in v.LINK_WORDS)
     segment = d.last_part(d.sub("href", "/+$", ""), "/")
     return f"""SELECT page_id, nth, CASE WHEN {social} THEN '#' {by_text} WHEN {slug} <> '' THEN concat('/', {slug}) WHEN label = '' AND {segment} <> '' THEN concat('/', {segment}) ELSE '#' END AS placeholder

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dialect import Duck, Spark
-from ..operators.html import QUERIES as DOM_QUERIES
+from ..operators import code, examples, html, rewrite
 from ..sources.tables import views
-from ..streaming.dedupe import QUERIES as STREAM_QUERIES
-from ..streaming.dedupe import SQL as STREAM_SQL
+from ..streaming import dedupe
 from . import corpus, pages
 
 
@@ -22,5 +21,5 @@ def in_spark(plan):
 
 
 PLANS = (*pages.QUERIES, *corpus.QUERIES)
-QUERIES: dict = {p.__name__: in_spark(p) for p in PLANS} | DOM_QUERIES | STREAM_QUERIES
-SQL: dict = {p.__name__: p(Duck()) for p in PLANS} | STREAM_SQL
+QUERIES: dict = {p.__name__: in_spark(p) for p in PLANS} | html.QUERIES | rewrite.QUERIES | code.QUERIES | examples.QUERIES | dedupe.QUERIES
+SQL: dict = {p.__name__: p(Duck()) for p in PLANS} | dedupe.SQL

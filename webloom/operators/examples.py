@@ -35,10 +35,10 @@ def fenced(html: Column, css: Column) -> Column:
     return lines(F.lit("\nCode:\n```html"), html, F.lit("```"), F.when(css != "", lines(F.lit("\n```css"), css, F.lit("```"))))
 
 
-def characteristics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def characteristics(spark: SparkSession, sf_dir: str, own: bool = False) -> DataFrame:
     """page_id and what is known of a page's design."""
     views(spark, sf_dir, ("pages",))
-    return spark.sql(f"WITH {plans.characteristics(Spark())} SELECT page_id, industry, tone, layout, photo_usage, responsive, scheme, css AS page_css FROM ch")
+    return spark.sql(f"WITH {plans.characteristics(Spark(), own)} SELECT page_id, industry, tone, layout, photo_usage, responsive, scheme, css AS page_css FROM ch")
 
 
 def rules_text(matched: DataFrame, rules: DataFrame, *keys: str) -> DataFrame:
@@ -100,11 +100,11 @@ def of_groups(found: DataFrame, css: DataFrame, traits: DataFrame) -> DataFrame:
 class Parts:
     """The element, component and rule tables that examples share."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, own: bool = False):
         pages = table(spark, sf_dir, "pages").where(F.length("html") <= plans.LONGEST_PAGE)
         nodes = elements(pages)
         self.components, self.rules = components(nodes), css_rules(sheets(pages))
-        self.matched, self.traits = component_css(nodes, self.components, self.rules), characteristics(spark, sf_dir)
+        self.matched, self.traits = component_css(nodes, self.components, self.rules), characteristics(spark, sf_dir, own)
 
     def component_examples(self) -> DataFrame:
         return of_components(self.components, rules_text(self.matched, self.rules, "type", "ord"), self.traits)
@@ -124,15 +124,18 @@ def grouped_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Parts(spark, sf_dir).grouped_examples()
 
 
-def training_examples(spark: SparkSession, sf_dir: str, full_page: bool = True) -> DataFrame:
-    """page_id, kind, part, instruction, output: examples of components, groups and (if asked for) full pages."""
-    parts = Parts(spark, sf_dir)
+def training_examples(spark: SparkSession, sf_dir: str, full_page: bool = True, own: bool = False) -> DataFrame:
+    """page_id, kind, part, instruction, output: examples of components, groups and (if asked for) full pages.
+
+    own: pages have columns shown and told (the markup to show, the text that tells the industry).
+    """
+    parts = Parts(spark, sf_dir, own)
     single = parts.component_examples().select("page_id", F.lit("component").alias("kind"), F.concat_ws("_", "type", "ord").alias("part"), "instruction", "output")
     grouped = parts.grouped_examples().select("page_id", F.lit("grouped").alias("kind"), F.col("shape").alias("part"), "instruction", "output")
     both = single.unionByName(grouped)
     if not full_page:
         return both
-    return both.unionByName(spark.sql(plans.full_page_examples(Spark())).select("page_id", F.lit("full").alias("kind"), F.lit("page").alias("part"), "instruction", "output"))
+    return both.unionByName(spark.sql(plans.full_page_examples(Spark(), own)).select("page_id", F.lit("full").alias("kind"), F.lit("page").alias("part"), "instruction", "output"))
 
 
 QUERIES = {"component_examples": component_examples, "grouped_examples": grouped_examples, "training_examples": training_examples}

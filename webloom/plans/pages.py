@@ -10,13 +10,17 @@ LONGEST_PAGE = 5_000_000
 IMAGE_URL = r"(?i)url\([\x22\x27]?[^\x22\x27)]+\.(jpg|jpeg|png|gif|webp|svg)[\x22\x27]?\)"
 
 
-def facts(d: Spark) -> str:
-    """page_id, url, html, title, css (cleaned), js, and the lower-cased text that classifiers search."""
+def facts(d: Spark, own: bool = False) -> str:
+    """page_id, url, html, title, css (cleaned), js, and the lower-cased text that classifiers search.
+
+    Also shown, the markup that examples show, and told, the text that tells the industry: html and title, or pages' own.
+    """
     css = d.join(d.keep(d.find_all("html", r"(?is)<style[^>]*>(.*?)</style>"), d.matches("x", r"\S")), "\n\n")
     js = d.join(d.find_all("html", r"(?is)<script[^>]*>(.*?)</script>"), "\n\n")
     cleaned = strip(d, d.sub(d.sub(css, IMAGE_URL, "url(https://picsum.photos/800/600)"), r"\n\s*\n", "\n\n"))
     title = strip(d, d.find("html", r"(?is)<title[^>]*>(.*?)</title>"))
-    return f"(SELECT page_id, url, html, {title} AS title, {cleaned} AS css, {js} AS js, lower(concat_ws(' ', {css}, html)) AS combined FROM pages)"
+    told = "shown, told" if own else f"html AS shown, {title} AS told"
+    return f"(SELECT page_id, url, html, {told}, {title} AS title, {cleaned} AS css, {js} AS js, lower(concat_ws(' ', {css}, html)) AS combined FROM pages)"
 
 
 def keywords(d: Spark, x: str = "combined") -> str:
@@ -27,18 +31,18 @@ def industry(x: str) -> str:
     return choose([(any_of(x, words), name) for words, name in v.INDUSTRIES], "''")
 
 
-def scheme(d: Spark) -> str:
+def scheme(d: Spark, own: bool = False) -> str:
     """Top colours and colour scheme of each page's stylesheet: tokens by count, then by pattern and place."""
     patterns = ((r"(?i)color:\s*([#\w]+)", 1), (r"(?i)background(?:-color)?:\s*([#\w]+)", 1), (r"#[0-9a-fA-F]{3,6}", 0), (r"(?i)rgb\([^)]+\)", 0), (r"(?i)rgba\([^)]+\)", 0))
     branches = [f"SELECT page_id, {i} AS pattern, nth, lower(token) AS token FROM {d.exploded('f', d.find_all('css', p, g), 'nth', 'token', 'page_id')} t" for i, (p, g) in enumerate(patterns)]
-    return f"""f AS {facts(d)},
+    return f"""f AS {facts(d, own)},
         tokens AS ({' UNION ALL '.join(branches)}),
         counted AS (SELECT page_id, token, count(*) AS n, min(pattern * 1000000 + nth) AS first_at FROM tokens WHERE length(token) > 2 GROUP BY page_id, token),
         top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY n DESC, first_at) AS place FROM counted) c WHERE place <= 3),
         schemes AS (SELECT page_id, CASE WHEN max(CASE WHEN {any_of('token', ('dark', 'black'))} THEN 1 ELSE 0 END) = 1 THEN 'Dark' WHEN max(CASE WHEN {any_of('token', ('light', 'white'))} THEN 1 ELSE 0 END) = 1 THEN 'Light' ELSE 'Mixed' END AS color_scheme FROM top GROUP BY page_id)"""
 
 
-def characteristics(d: Spark) -> str:
+def characteristics(d: Spark, own: bool = False) -> str:
     """CTEs that end in ch: a row of design characteristics for each page."""
     c, css = "combined", "lower(css)"
     motion = choose([(any_of(c, ("three.js", "webgl", "babylon")), "Advanced 3D animations"), (any_of(c, ("gsap", "anime.js", "framer", "lottie", "aos")), "Subtle animations"), (any_of(css, ("transition", "animation", "transform")), "CSS animations")], "'None'")
@@ -48,8 +52,8 @@ def characteristics(d: Spark) -> str:
     stack = choose([(any_of(c, ("react", "vue", "angular", "svelte")), "Modern Framework"), (any_of(c, ("jquery",)), "HTML + CSS + JS + jQuery"), (any_of(c, ("typescript", ".ts")), "HTML + CSS + TypeScript")], "'HTML + CSS + JS'")
     fonts = choose([(any_of(css, ("googleapis", "fonts.com", "typekit", "adobe fonts")), "Custom web fonts"), (any_of(css, ("font-family",)), "Custom typography")], "'Standard'")
     tone = choose([(f"industry = '{name}'", t) for name, t in v.INDUSTRY_TONES] + [(any_of(c, words), t) for words, t in v.WORD_TONES], "'Professional'")
-    return f"""{scheme(d)},
-        g AS (SELECT *, {industry('title')} AS industry, {images} AS images, {events} AS events FROM f),
+    return f"""{scheme(d, own)},
+        g AS (SELECT *, {industry('told')} AS industry, {images} AS images, {events} AS events FROM f),
         ch AS (SELECT g.*, {tone} AS tone, {layout} AS layout, CASE WHEN images > 30 THEN 'Very High' WHEN images > 20 THEN 'High' WHEN images < 5 THEN 'Low' ELSE 'Medium' END AS photo_usage,
             {motion} AS motion, {stack} AS stack, (contains(html, 'viewport') OR contains({css}, '@media') OR contains({c}, 'responsive')) AS responsive,
             CASE WHEN {any_of('html', ('aria-', 'role=', 'alt='))} THEN 'Enhanced' ELSE 'Standard' END AS accessibility, coalesce(color_scheme, 'Mixed') AS scheme, {fonts} AS typography,
@@ -62,10 +66,10 @@ def lines(*parts: str) -> str:
     return f"concat_ws('\n', {', '.join(parts)})"
 
 
-def full_page_examples(d: Spark) -> str:
+def full_page_examples(d: Spark, own: bool = False) -> str:
     """An example of each page that isn't empty or too long."""
     t = d.text
-    html = f"CASE WHEN length(html) > 1000000 THEN concat(substring(html, 1, 1000000), {t(chr(10) + '<!-- ... rest of HTML ... -->')}) ELSE html END"
+    html = f"CASE WHEN length(shown) > 1000000 THEN concat(substring(shown, 1, 1000000), {t(chr(10) + '<!-- ... rest of HTML ... -->')}) ELSE shown END"
     instruction = lines(
         "CASE WHEN industry <> '' THEN concat('Industry: ', industry) END", "concat('Brand tone: ', tone)", "concat('Layout style: ', layout)",
         "CASE WHEN responsive THEN 'Requirements: Responsive design (mobile-first)' END", "concat('Color scheme: ', scheme)", "concat('Image usage: ', photo_usage, ' (use placeholder images)')",
@@ -77,7 +81,7 @@ def full_page_examples(d: Spark) -> str:
         "CASE WHEN motion <> 'None' THEN concat('- Interactions: ', motion, ' for enhanced user engagement') END", "concat('- Visual content: ', photo_usage, ' imagery to support brand message')",
     )
     output = lines("'Design reasoning:'", reasoning, t("\nCode:"), "'```html'", html, "'```'", f"CASE WHEN css <> '' THEN concat({t(chr(10) + '```css' + chr(10) + '/* inline */' + chr(10))}, css, {t(chr(10) + '```')}) END")
-    return f"WITH {characteristics(d)}, ex AS (SELECT page_id, {instruction} AS instruction, {output} AS output FROM ch WHERE html <> '' AND length(html) <= {LONGEST_PAGE}) SELECT page_id, instruction, output FROM ex WHERE length(instruction) >= 50 AND length(output) >= 100 AND contains(output, '```')"
+    return f"WITH {characteristics(d, own)}, ex AS (SELECT page_id, {instruction} AS instruction, {output} AS output FROM ch WHERE html <> '' AND length(html) <= {LONGEST_PAGE}) SELECT page_id, instruction, output FROM ex WHERE length(instruction) >= 50 AND length(output) >= 100 AND contains(output, '```')"
 
 
 def page_characteristics(d: Spark) -> str:
@@ -122,8 +126,11 @@ def visible_text(d: Spark) -> str:
 
 
 def strip_comment_artifacts(d: Spark) -> str:
-    saved = d.sub("html", r"<!-- saved from url=[^>]*-->", "")
-    return f"SELECT page_id, {d.sub(saved, r'<!--\s*-->', '')} AS html FROM pages"
+    """Without the mark of saved pages and what broken comments leave; the last two patterns may take text before a stray end."""
+    x = d.sub("html", r"<!-- saved from url=[^>]*-->", "")
+    for pattern in (r"<!--\s*-->", r"<!--\s*<!--[^>]*-->", r"<!--[^>]*-->\s*<!--", r"(?m)<!--[^>]*$", r"(?m)^[^<]*-->"):
+        x = d.sub(x, pattern, "")
+    return f"SELECT page_id, {x} AS html FROM pages"
 
 
 def doctype_charset(d: Spark) -> str:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.dialect import Duck, Spark
-from ..operators import code, examples, html, rewrite
-from ..sources.tables import views
+from ..operators import code, examples, html, numbering, rewrite, sites
+from ..functions.encoding import decoded, sound
+from ..sources.folders import example_files
+from ..sources.tables import table, views
 from ..streaming import dedupe
 from . import corpus, pages
 
@@ -20,6 +23,26 @@ def in_spark(plan):
     return query
 
 
+def example_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbering.numbered(table(spark, sf_dir, "pages").select("page_id"), "page_id").select("page_id", F.format_string("example_%04d", "number").alias("folder"))
+
+
+def resume_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbering.resumed(table(spark, sf_dir, "pages").select("page_id"), 101, "page_id")
+
+
+def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of the folders that full-page examples are written to."""
+    return example_files(QUERIES["full_page_examples"](spark, sf_dir), "page_id")
+
+
+def decoded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages from their bytes, and whether each is sound."""
+    text = table(spark, sf_dir, "pages").select("page_id", decoded(F.encode("html", "UTF-8")).alias("html"))
+    return text.select("page_id", "html", sound(F.col("html")).alias("sound"))
+
+
 PLANS = (*pages.QUERIES, *corpus.QUERIES)
-QUERIES: dict = {p.__name__: in_spark(p) for p in PLANS} | html.QUERIES | rewrite.QUERIES | code.QUERIES | examples.QUERIES | dedupe.QUERIES
+OWN = {f.__name__: f for f in (example_numbering, resume_offset, export_files, decoded_pages)}
+QUERIES: dict = {p.__name__: in_spark(p) for p in PLANS} | html.QUERIES | rewrite.QUERIES | code.QUERIES | examples.QUERIES | sites.QUERIES | dedupe.QUERIES | OWN
 SQL: dict = {p.__name__: p(Duck()) for p in PLANS} | dedupe.SQL

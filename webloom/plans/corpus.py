@@ -73,4 +73,20 @@ def training_steps(d: Spark) -> str:
     return f"SELECT n AS n_examples, CAST({accumulation} AS BIGINT) AS accumulation, CAST(least(50, n) AS BIGINT) AS warmup, CAST(greatest(1, {d.div('n', accumulation)}) AS BIGINT) AS steps FROM (SELECT count(*) AS n FROM {pairs()} p) t"
 
 
-QUERIES = (validate_docs, line_stats, blank_compaction, truncate_text, md5_dedupe, incremental_antijoin, prompt_train, prompt_chat, turn_pairs, response_postprocess, token_labels, training_steps)
+def prompt_notebook(d: Spark) -> str:
+    """The prompt of a tokenizer without a chat template."""
+    return f"SELECT conv_id, turn, concat({d.text('User: ')}, text, {d.text(chr(10) * 2 + 'Assistant:')}) AS prompt FROM conversations WHERE role = 'user'"
+
+
+def chat_inputs(d: Spark) -> str:
+    """What a chat loop does with each user line: blanks are passed over, quit and exit end it, clear forgets the history."""
+    said = f"lower({strip(d, 'text')})"
+    return f"SELECT conv_id, turn, CASE WHEN {said} = '' THEN 'skip' WHEN {said} IN ('quit', 'exit') THEN 'end' WHEN {said} = 'clear' THEN 'clear' ELSE 'answer' END AS action FROM conversations WHERE role = 'user'"
+
+
+def history_length(d: Spark) -> str:
+    """Turns that stand before each user line of a conversation."""
+    return "SELECT conv_id, turn, before FROM (SELECT conv_id, turn, role, count(*) OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS before FROM conversations) t WHERE role = 'user'"
+
+
+QUERIES = (validate_docs, line_stats, blank_compaction, truncate_text, md5_dedupe, incremental_antijoin, prompt_train, prompt_chat, prompt_notebook, chat_inputs, history_length, turn_pairs, response_postprocess, token_labels, training_steps)

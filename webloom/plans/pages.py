@@ -195,6 +195,19 @@ def cdn_filter(d: Spark) -> str:
     return f"SELECT page_id, nth, href FROM {links(d)} l WHERE NOT {any_of('lower(href)', v.CDN_WORDS)} AND href <> '' AND substring(href, 1, 1) <> '#' AND substring(href, 1, 5) <> 'data:'"
 
 
+def style_cdn_filter(d: Spark) -> str:
+    """Stylesheets that aren't of a library's host."""
+    sheets = d.exploded("pages", d.find_all("html", r"(?is)<link\s[^>]*>", 0), "nth", "tag", "page_id")
+    href = d.find("tag", r"(?i)href=[\x22\x27]?([^\x22\x27\s>]*)")
+    return f"SELECT page_id, nth, href FROM (SELECT page_id, nth, tag, {href} AS href FROM {sheets} s) t WHERE {d.matches('tag', r'(?i)rel=[\x22\x27]?stylesheet')} AND href <> '' AND NOT {any_of('lower(href)', v.STYLE_CDN_WORDS)}"
+
+
+def folder_names(d: Spark) -> str:
+    """A host's folder name and the url that it stands for."""
+    folder = f"concat({d.find('url', '^(https?)://')}, {host(d, 'url')})"
+    return f"SELECT page_id, folder, CASE WHEN {d.matches('folder', '^https')} THEN concat('https://', {d.sub('folder', '^https', '')}) WHEN {d.matches('folder', '^http')} THEN concat('http://', {d.sub('folder', '^http', '')}) ELSE concat('https://', folder) END AS target FROM (SELECT page_id, {folder} AS folder FROM pages) t"
+
+
 def page_industry(d: Spark) -> str:
     return f"WITH f AS {facts(d)} SELECT page_id, {industry('title')} AS industry FROM f"
 
@@ -238,6 +251,6 @@ def code_block_roundtrip(d: Spark) -> str:
 
 QUERIES = (
     full_page_examples, page_characteristics, design_keywords, page_titles, inline_css, inline_js, minified_flag, visible_text, strip_comment_artifacts, doctype_charset, sanitize_url, base_domain,
-    asset_filename, resolve_links, same_domain_links, link_placeholders, cdn_filter, page_industry, photo_usage, color_topk, processed_sites_antijoin, resume_offset, example_numbering,
+    asset_filename, resolve_links, same_domain_links, link_placeholders, cdn_filter, style_cdn_filter, folder_names, page_industry, photo_usage, color_topk, processed_sites_antijoin, resume_offset, example_numbering,
     filename_conflicts, example_type_counts, code_block_roundtrip,
 )

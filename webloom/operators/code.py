@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .html import below, components, css_rules, elements
 from .rewrite import column
 
@@ -114,9 +114,8 @@ def css_by_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matched_js(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    nodes = elements(pages)
-    return component_js(nodes, components(nodes), scripts(pages))
+    pages = spread(table(spark, sf_dir, "pages"))
+    return component_js(elements(pages, light=True), components(elements(pages)), scripts(pages))
 
 
 QUERIES = {"formatted_js": formatted_js, "css_repair": css_repair, "css_by_selector": css_by_selector, "component_js": matched_js}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import values as v
 from ..functions.dialect import Spark
 from ..plans import pages as plans
-from ..sources.tables import table, views
+from ..sources.tables import spread, table, views
 from .code import sheets
 from .html import component_css, components, css_rules, elements
 
@@ -101,10 +101,9 @@ class Parts:
     """The element, component and rule tables that examples share."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, own: bool = False):
-        pages = table(spark, sf_dir, "pages").where(F.length("html") <= plans.LONGEST_PAGE)
-        nodes = elements(pages)
-        self.components, self.rules = components(nodes), css_rules(sheets(pages))
-        self.matched, self.traits = component_css(nodes, self.components, self.rules), characteristics(spark, sf_dir, own)
+        pages = spread(table(spark, sf_dir, "pages").where(F.length("html") <= plans.LONGEST_PAGE))
+        self.components, self.rules = components(elements(pages)), css_rules(sheets(pages))
+        self.matched, self.traits = component_css(elements(pages, light=True), self.components, self.rules), characteristics(spark, sf_dir, own)
 
     def component_examples(self) -> DataFrame:
         return of_components(self.components, rules_text(self.matched, self.rules, "type", "ord"), self.traits)

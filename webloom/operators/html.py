@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 #: Elements without content, and those that end where the next of their kind (or their parent) does.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -72,8 +72,11 @@ class Tree(HTMLParser):
             node["text"].append(data)
 
 
-def elements(pages: DataFrame) -> DataFrame:
-    """A row per element: its place, parent, depth, tag, attributes, classes, text, markup and path (ancestors, itself last). Null html has none."""
+def elements(pages: DataFrame, light: bool = False) -> DataFrame:
+    """A row per element: its place, parent, depth, tag, attributes, classes, text, markup and path (ancestors, itself last). Null html has none.
+
+    light leaves text and markup null, for those who ask for names and places only.
+    """
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,7 +84,7 @@ def elements(pages: DataFrame) -> DataFrame:
             cols = [
                 pa.array([p for p, _ in rows], pa.int64()), *(pa.array([n[k] for _, n in rows], pa.int32()) for k in ("id", "parent", "depth")), pa.array([n["tag"] for _, n in rows], pa.string()),
                 pa.array([list(n["attrs"].items()) for _, n in rows], pa.map_(pa.string(), pa.string())), pa.array([n["attrs"].get("class", "").split() for _, n in rows], pa.list_(pa.string())),
-                pa.array([" ".join("".join(n["text"]).split()) for _, n in rows], pa.string()), pa.array([n["outer"] for _, n in rows], pa.string()),
+                pa.array([None if light else " ".join("".join(n["text"]).split()) for _, n in rows], pa.string()), pa.array([None if light else n["outer"] for _, n in rows], pa.string()),
                 pa.array([n["path"] for _, n in rows], pa.list_(pa.int32())),
             ]
             yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in ELEMENTS.split(", ")])
@@ -103,10 +106,10 @@ COMPONENTS = {
 }
 
 
-def with_parents(nodes: DataFrame) -> DataFrame:
-    """Buttons and headings stand with their parent's markup, if that is short."""
-    parents = nodes.select("page_id", F.col("node_id").alias("parent_id"), F.col("outer_html").alias("parent_html"))
-    return nodes.join(parents, ["page_id", "parent_id"], "left")
+def with_parents(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Buttons and headings stand beside their parent's markup, if that is short."""
+    parents = nodes.where("length(outer_html) < 500").select("page_id", F.col("node_id").alias("parent_id"), F.col("outer_html").alias("parent_html"))
+    return found.join(parents, ["page_id", "parent_id"], "left")
 
 
 def components(nodes: DataFrame) -> DataFrame:
@@ -115,8 +118,9 @@ def components(nodes: DataFrame) -> DataFrame:
     root_id is the element whose markup stands in html: the parent, where that is shown.
     """
     kinds = F.array_compact(F.array(*(F.when(F.expr(test), F.lit(name)) for name, (test, _) in COMPONENTS.items())))
-    found = with_parents(nodes).withColumn("type", F.explode(kinds))
-    short = F.col("type").isin("buttons", "typography") & (F.length("parent_html") < 500)
+    typed = nodes.select("page_id", "node_id", "parent_id", "outer_html", F.explode(kinds).alias("type"))
+    found = with_parents(typed, nodes)
+    short = F.col("type").isin("buttons", "typography") & F.col("parent_html").isNotNull()
     found = found.withColumn("root_id", F.when(short, F.col("parent_id")).otherwise(F.col("node_id"))).withColumn("outer_html", F.when(short, F.col("parent_html")).otherwise(F.col("outer_html")))
     fits = F.coalesce(*(F.when(F.col("type") == name, F.expr(size)) for name, (_, size) in COMPONENTS.items()))
     first = F.row_number().over(Window.partitionBy("page_id", "type", "md5").orderBy("node_id"))
@@ -196,22 +200,21 @@ def component_css(nodes: DataFrame, parts: DataFrame, rules: DataFrame) -> DataF
 
 
 def html_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return elements(table(spark, sf_dir, "pages")).drop("attrs", "path")
+    return elements(spread(table(spark, sf_dir, "pages"))).drop("attrs", "path")
 
 
 def page_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components(elements(table(spark, sf_dir, "pages")))
+    return components(elements(spread(table(spark, sf_dir, "pages"))))
 
 
 def matched_css(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = spread(table(spark, sf_dir, "pages"))
     sheets = pages.select("page_id", F.expr(r"array_join(regexp_extract_all(html, '(?is)<style[^>]*>(.*?)</style>', 1), '\n')").alias("css"))
-    nodes = elements(pages)
-    return component_css(nodes, components(nodes), css_rules(sheets))
+    return component_css(elements(pages, light=True), components(elements(pages)), css_rules(sheets))
 
 
 def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return elements(table(spark, sf_dir, "pages")).groupBy("tag").agg(F.count("*").alias("n"), F.max("depth").alias("deepest"))
+    return elements(spread(table(spark, sf_dir, "pages"))).groupBy("tag").agg(F.count("*").alias("n"), F.max("depth").alias("deepest"))
 
 
 QUERIES = {"html_elements": html_elements, "components": page_components, "component_css": matched_css, "tag_counts": tag_counts}

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as v
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .html import Tree
 
 ANY_URL = re.compile(r"url\([\"']?([^\"')]+)[\"']?\)")
@@ -187,7 +187,7 @@ def column(function, *inputs: Column) -> Column:
 
 def over_pages(function, *inputs: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return table(spark, sf_dir, "pages").select("page_id", column(function, *map(F.col, inputs)).alias("html"))
+        return spread(table(spark, sf_dir, "pages")).select("page_id", column(function, *map(F.col, inputs)).alias("html"))
 
     query.__doc__ = function.__doc__
     return query

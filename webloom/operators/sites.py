@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.pages import industry
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .html import below, elements
 
 # fixed values: classes of a list page's items, and the labels of definitions
@@ -83,15 +83,15 @@ def site_metadata(pages: DataFrame) -> DataFrame:
 
 
 def site_metadata_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site_metadata(table(spark, sf_dir, "pages"))
+    return site_metadata(spread(table(spark, sf_dir, "pages")))
 
 
 def definition_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return definitions(elements(table(spark, sf_dir, "pages"))).drop("path")
+    return definitions(elements(spread(table(spark, sf_dir, "pages")))).drop("path")
 
 
 def site_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_items(elements(table(spark, sf_dir, "pages")), "https://example.org")
+    return list_items(elements(spread(table(spark, sf_dir, "pages"))), "https://example.org")
 
 
 QUERIES = {"site_metadata": site_metadata_of_pages, "definition_pairs": definition_pairs, "site_list": site_list}

@@ -11,6 +11,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a table that is read in fewer tasks than there are cores, dealt to as many tasks; other tables as they are.
+
+    For scans ahead of costly parsing: a small table may be one file that can't be split.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def views(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> None:
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -21,8 +21,10 @@ def spread(rows: DataFrame) -> DataFrame:
 
 
 def views(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> None:
+    """Tables as views; pages, whose queries search whole markup, are spread."""
     for name in names:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+        rows = table(spark, sf_dir, name)
+        (spread(rows) if name == "pages" else rows).createOrReplaceTempView(name)
 
 
 def shared_dir(spark: SparkSession) -> str:

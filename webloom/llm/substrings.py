@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from .common import materialize, shuffle_parts
 from .shingles import WordHashes, mixed
 
-ROWS = "anchor long, doc_id long, start int, upto int, digests binary"
-NAMES = ["anchor", "doc_id", "start", "upto", "digests"]
+#: span: first and last window that a row is about, as (first << 32) | last.
+ROWS = "anchor long, doc_id long, span long, digests binary"
+NAMES = ["anchor", "doc_id", "span", "digests"]
+#: Bytes of a window's digest. Windows around one frequent run of words differ in the digest alone, so it must be
+#: wide: n of them give about n^2 / 2^49 false matches.
+WIDTH = 6
 #: Words whose windows a task holds at a time.
 HELD = 1 << 20
 
@@ -38,7 +42,21 @@ def windows(hashes: np.ndarray, window: int, gram: int = 8) -> tuple[np.ndarray,
     whole = grams[:n] * np.uint64(0xD6E8FEB86659FD93)
     for i in [*range(gram, last, gram), last]:
         whole = mixed(whole + grams[i : n + i])
-    return low, np.arange(n) + at, (whole >> np.uint64(32)).astype(np.uint32)
+    return low, np.arange(n) + at, whole >> np.uint64(64 - 8 * WIDTH)
+
+
+def to_bytes(digests: np.ndarray) -> bytes:
+    return digests.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH].tobytes()
+
+
+def from_bytes(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // WIDTH, 8), dtype=np.uint8)
+    wide[:, :WIDTH] = np.frombuffer(data, dtype=np.uint8).reshape(-1, WIDTH)
+    return wide.view("<u8").ravel()
+
+
+def spanning(first: np.ndarray, last: np.ndarray) -> pa.Array:
+    return pa.array((first.astype(np.int64) << 32) | last)
 
 
 def ranges(docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,22 +99,22 @@ def fingerprints(docs: DataFrame, window: int) -> DataFrame:
             doc = np.repeat(np.array([h[0] for h in held], dtype=np.int64), [len(h[1]) for h in held])
             start = np.concatenate([np.arange(len(h[1]), dtype=np.int64) for h in held])
             low, place, digest = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
-            later, _ = earlier(mixed(low) ^ (digest.astype(np.uint64) * np.uint64(0xFF51AFD7ED558CCD)), doc, start)
+            later, _ = earlier(mixed(low) ^ (digest * np.uint64(0xFF51AFD7ED558CCD)), doc, start)
             head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])])
             end = np.r_[head[1:], len(doc)]
             sent = np.add.reduceat(~later, head) > 0
-            data = digest.astype("<u4").tobytes()
+            data = to_bytes(digest)
             known = later & ~np.repeat(sent, end - head)
             first, last = ranges(doc[known], start[known])
             head, end = head[sent], end[sent]
-            ends = pa.array(np.r_[0, np.cumsum((end - head) * 4)].astype(np.int32))
-            parts = b"".join(data[4 * a : 4 * b] for a, b in zip(head.tolist(), end.tolist()))
+            ends = pa.array(np.r_[0, np.cumsum((end - head) * WIDTH)].astype(np.int32))
+            parts = b"".join(data[WIDTH * a : WIDTH * b] for a, b in zip(head.tolist(), end.tolist()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(low[head].view(np.int64)), pa.array(doc[head]), pa.array(start[head].astype(np.int32)), pa.array(start[end - 1].astype(np.int32)), pa.Array.from_buffers(pa.binary(), len(head), [None, ends.buffers()[1], pa.py_buffer(parts)])],
+                [pa.array(low[head].view(np.int64)), pa.array(doc[head]), spanning(start[head], start[end - 1]), pa.Array.from_buffers(pa.binary(), len(head), [None, ends.buffers()[1], pa.py_buffer(parts)])],
                 names=NAMES,
             )
             d, s = doc[known], start[known]
-            yield pa.RecordBatch.from_arrays([pa.array(mixed(d[first].view(np.uint64)).view(np.int64)), pa.array(d[first]), pa.array(s[first].astype(np.int32)), pa.array(s[last].astype(np.int32)), pa.nulls(len(first), pa.binary())], names=NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(mixed(d[first].view(np.uint64)).view(np.int64)), pa.array(d[first]), spanning(s[first], s[last]), pa.nulls(len(first), pa.binary())], names=NAMES)
             held, size = [], 0
 
         for batch in batches:
@@ -131,9 +149,10 @@ def resolve(rows: DataFrame, since: int | None, keep: bool) -> DataFrame:
                 batch = batch.filter(pa.array(~table))
             if not batch.num_rows:
                 continue
-            anchor, doc, start, upto = (batch.column(c).to_numpy() for c in NAMES[:4])
-            count = (upto - start + 1).astype(np.int64)
-            digest = np.frombuffer(b"".join(batch.column("digests").to_pylist()), dtype="<u4").astype(np.uint64)
+            anchor, doc, span = (batch.column(c).to_numpy() for c in NAMES[:3])
+            start = span >> 32
+            count = (span & 0xFFFFFFFF) - start + 1
+            digest = from_bytes(b"".join(batch.column("digests").to_pylist()))
             row = np.repeat(np.arange(len(anchor)), count)
             at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
             keys = mixed(anchor.view(np.uint64)[row] + mixed(digest))
@@ -148,7 +167,7 @@ def resolve(rows: DataFrame, since: int | None, keep: bool) -> DataFrame:
                 later &= docs >= since
             d, s = docs[later], at[later]
             head, last = ranges(d, s)
-            yield pa.RecordBatch.from_arrays([pa.array(d[head]), pa.array(d[head]), pa.array(s[head].astype(np.int32)), pa.array(s[last].astype(np.int32)), pa.nulls(len(head), pa.binary())], names=NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(d[head]), pa.array(d[head]), spanning(s[head], s[last]), pa.nulls(len(head), pa.binary())], names=NAMES)
             if keep:
                 new = np.bincount(row[first], minlength=len(anchor)) > 0
                 if since is not None:
@@ -156,7 +175,7 @@ def resolve(rows: DataFrame, since: int | None, keep: bool) -> DataFrame:
                 yield batch.filter(pa.array(new))
 
     parts = shuffle_parts(rows.sparkSession)
-    return rows.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "start").mapInArrow(merge, ROWS)
+    return rows.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "span").mapInArrow(merge, ROWS)
 
 
 class FingerprintIndex:
@@ -170,7 +189,7 @@ class FingerprintIndex:
         self.window, self.fan, self.runs = window, fan, []
 
     def dedupe(self, batch: DataFrame, since: int | None, add: bool = True) -> DataFrame:
-        """doc_id, start, upto: the batch's windows that the index or an earlier place of the batch holds."""
+        """doc_id, span: the batch's windows that the index or an earlier place of the batch holds."""
         rows = fingerprints(batch, self.window)
         for run in self.runs:
             rows = rows.unionByName(run)
@@ -180,18 +199,18 @@ class FingerprintIndex:
             self.runs.append(found.where("digests is not null"))
             if len(self.runs) >= self.fan:
                 self.compact()
-        return found.where("digests is null").select("doc_id", "start", "upto")
+        return found.where("digests is null").select("doc_id", "span")
 
     def compact(self) -> None:
         rows = self.runs[0]
         for run in self.runs[1:]:
             rows = rows.unionByName(run)
         parts = shuffle_parts(rows.sparkSession)
-        self.runs = [materialize(rows.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "start"))]
+        self.runs = [materialize(rows.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "span"))]
 
 
 def covered_windows(docs: DataFrame, *, window: int = 20, shares: tuple[float, ...] = (1 / 32, 1 / 8)) -> DataFrame:
-    """doc_id, start, upto of all windows that also start earlier: docs go through an index, in batches of doc_ids cut at `shares`."""
+    """doc_id, span of all windows that also start earlier: docs go through an index, in batches of doc_ids cut at `shares`."""
     named = docs.where("doc_id is not null")
     cuts = sorted(set(named.approxQuantile("doc_id", list(shares), 0.01))) if shares else []
     index, since, out = FingerprintIndex(window), None, None
@@ -209,14 +228,14 @@ def trimmed(docs: DataFrame, *, window: int = 20, **batches) -> DataFrame:
 
     A word goes if a window of `window` words that covers it also starts earlier: in a document of a smaller doc_id,
     or before in the same one. Windows are judged on the input. Fingerprints are 64 bits of the anchor and, to verify
-    it, 32 other bits of the whole window.
+    it, 48 other bits of the whole window.
 
     Null texts have no words. A null doc_id is left whole and is no source for others. Rows of one doc_id are one
     document's: a window at the same start isn't earlier. Columns besides doc_id and text are ignored; an empty table
     gives no rows.
     """
     spans = covered_windows(docs, window=window, **batches)
-    per_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "upto")).alias("spans"))
+    per_doc = spans.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,8 +247,8 @@ def trimmed(docs: DataFrame, *, window: int = 20, **batches) -> DataFrame:
                     gone.append(0), kept.append(b" ".join(parts).decode())
                     continue
                 edge = np.zeros(len(parts) + 1, dtype=np.int64)
-                np.add.at(edge, [s["start"] for s in spans], 1)
-                np.add.at(edge, [s["upto"] + window for s in spans], -1)
+                np.add.at(edge, [s >> 32 for s in spans], 1)
+                np.add.at(edge, [(s & 0xFFFFFFFF) + window for s in spans], -1)
                 stay = np.cumsum(edge[:-1]) == 0
                 gone.append(len(parts) - int(stay.sum()))
                 kept.append(b" ".join([parts[i] for i in np.flatnonzero(stay).tolist()]).decode())

@@ -132,11 +132,11 @@ def fingerprints(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(emit, ROWS)
 
 
-def resolve(rows: DataFrame, since: int | None, keep: bool) -> DataFrame:
+def resolve(rows: DataFrame, since: int | None, keep: bool, compact: bool = False) -> DataFrame:
     """Merges the rows of runs and batch, by anchor: rows of covered windows, without digests, for documents from `since` on.
 
     With `keep`, the batch's rows that hold a window seen for the first time follow, in the order of their anchors:
-    the run to be added to the index.
+    the run to be added to the index. With `compact`, the runs' own rows follow among them: the run that replaces all.
     """
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +170,7 @@ def resolve(rows: DataFrame, since: int | None, keep: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(d[head]), pa.array(d[head]), spanning(s[head], s[last]), pa.nulls(len(head), pa.binary())], names=NAMES)
             if keep:
                 new = np.bincount(row[first], minlength=len(anchor)) > 0
-                if since is not None:
+                if since is not None and not compact:
                     new &= doc >= since
                 yield batch.filter(pa.array(new))
 
@@ -181,8 +181,8 @@ def resolve(rows: DataFrame, since: int | None, keep: bool) -> DataFrame:
 class FingerprintIndex:
     """Sorted immutable runs of the windows of all documents so far.
 
-    Batches come in the order of their doc_ids: all of a batch's are larger than those before. Each adds a run; as
-    soon as there are `fan` runs they are merged into one.
+    Batches come in the order of their doc_ids: all of a batch's are larger than those before. Each adds a run; where
+    there would be `fan` runs, the merge with the batch, which has all their rows at hand in order, writes one instead.
     """
 
     def __init__(self, window: int = 20, fan: int = 2):
@@ -193,21 +193,14 @@ class FingerprintIndex:
         rows = fingerprints(batch, self.window)
         for run in self.runs:
             rows = rows.unionByName(run)
-        found = resolve(rows, since, add)
+        compact = add and len(self.runs) + 1 >= self.fan
+        found = resolve(rows, since, add, compact)
         if add:
             found = materialize(found)
-            self.runs.append(found.where("digests is not null"))
-            if len(self.runs) >= self.fan:
-                self.compact()
+            run = found.where("digests is not null")
+            self.runs = [run] if compact else [*self.runs, run]
         return found.where("digests is null").select("doc_id", "span")
 
-    def compact(self) -> None:
-        rows = self.runs[0]
-        for run in self.runs[1:]:
-            rows = rows.unionByName(run)
-        parts = shuffle_parts(rows.sparkSession)
-        self.runs = [materialize(rows.repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "span"))]
-
 
 def covered_windows(docs: DataFrame, *, window: int = 20, shares: tuple[float, ...] = (1 / 32, 1 / 8)) -> DataFrame:
     """doc_id, span of all windows that also start earlier: docs go through an index, in batches of doc_ids cut at `shares`."""

@@ -40,6 +40,25 @@ def test_assets_of_the_own_host_are_local():
     assert rewrite.local_assets(html, "nowhere") == rewrite.local_assets(html, None) == html
 
 
+def test_files_of_a_page_are_local():
+    local = lambda html, *failed: rewrite.localized(html, "https://h.org/p/q", failed)
+    sheets = '<link rel="stylesheet" href="/a/m.css"><link rel="stylesheet" href="b/m.css"><link rel="stylesheet" href="https://h.org/a/m.css"><link rel="icon" href="i.ico">'
+    assert local(sheets) == '<link rel="stylesheet" href="assets/m.css"><link rel="stylesheet" href="assets/m_1.css"><link rel="stylesheet" href="assets/m.css"><link rel="icon" href="i.ico">'
+    assert local('a<script src="https://cdnjs.org/x.js">f()</script>b<script>g()</script>') == "ab<script>g()</script>"
+    assert local('<script src="x/main?v=2"></script><script src="/"></script>') == '<script src="assets/main.js"></script><script src="assets/script.js"></script>'
+    assert local('<img src="/x/y"><img src="https://www.h.org/x/z.PNG"><img src="https://o.org/a.png"><img src="data:,"><img src="#">') == (
+        '<img src="assets/images/y.jpg"><img src="assets/images/z.PNG"><img src="https://o.org/a.png"><img src="data:,"><img src="#">'
+    )
+    lost = '<p><script src="l.js"><b></script><link rel="stylesheet" href="l.css"><img src="l.png">'
+    assert local(lost, "https://h.org/l.js", "https://h.org/l.css", "https://h.org/l.png") == '<p><img src="l.png">'
+    assert local('<img src="a/x.png?1"><img src="b/x.png"><img src="a/x.png?1"><img src="c/x.png">') == (
+        '<img src="assets/images/x.png"><img src="assets/images/x_1.png"><img src="assets/images/x.png"><img src="assets/images/x_2.png">'
+    )
+    assert local('<img src="http://[x" srcset="http://[x 1x"><script src="http://[x"></script>') == '<img src="http://[x" srcset="http://[x 1x">'
+    assert rewrite.localized(sheets, "http://[x") == sheets
+    assert rewrite.localized(sheets, "nowhere") == rewrite.localized(sheets, None) == sheets and local("") == ""
+
+
 def test_pretty():
     assert rewrite.pretty("<!DOCTYPE html><ul><li>a &amp; b<li><br>c</ul><!--d-->") == "<!DOCTYPE html>\n<ul>\n <li>\n  a &amp; b\n </li>\n <li>\n  <br>\n  c\n </li>\n</ul>\n<!--d-->"
     assert rewrite.pretty("") == ""

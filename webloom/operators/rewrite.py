@@ -6,8 +6,10 @@ Every function edits the places that change and leaves all other markup as it is
 from __future__ import annotations
 
 import re
+from collections.abc import Collection, Iterator
 from html import escape
-from urllib.parse import urljoin, urlsplit
+from itertools import count
+from urllib.parse import SplitResult, urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +23,8 @@ ANY_URL = re.compile(r"url\([\"']?([^\"')]+)[\"']?\)")
 IMAGE_URL = re.compile(r"url\([\"']?[^\"')]+\.(?:jpg|jpeg|png|gif|webp|svg)[\"']?\)", re.I)
 BACKGROUND = f'url("{v.PLACEHOLDER}/{v.IMAGE_SIZE[0]}/{v.IMAGE_SIZE[1]}")'
 WEB = ("http://", "https://")
+#: In place of an element's attributes: the element goes.
+GONE: dict = {}
 
 
 def start_tag(node: dict, attrs: dict) -> str:
@@ -29,11 +33,17 @@ def start_tag(node: dict, attrs: dict) -> str:
 
 
 def edited(html: str, change) -> str:
-    """html with the start tags for which change(node, nodes) gives attributes, and the style contents it gives."""
+    """html with the start tags for which change(node, nodes) gives attributes, and the style contents it gives.
+
+    An element for which change gives GONE goes, with all that is in it.
+    """
     tree = Tree(html)
     edits = []
     for node in tree.nodes:
         attrs, content = change(node, tree.nodes)
+        if attrs is GONE:
+            edits.append((node["start"], node["end"], ""))
+            continue
         if attrs is not None and attrs != node["attrs"]:
             node["self_closed"] = html[node["start"] : node["head"]].endswith("/>")
             edits.append((node["start"], node["head"], start_tag(node, attrs)))
@@ -43,6 +53,8 @@ def edited(html: str, change) -> str:
             edits.append((node["head"], end, content(html[node["head"] : end])))
     out, at = [], 0
     for begin, end, text in sorted(edits):
+        if begin < at:  # within an element that went
+            continue
         out += html[at:begin], text
         at = end
     return "".join(out) + html[at:]
@@ -103,9 +115,24 @@ def placeholder_links(html: str) -> str:
     return edited(html, with_placeholder_link)
 
 
+def parts_of(url: str) -> SplitResult:
+    """The parts of a url; none of one that can't be parsed."""
+    try:
+        return urlsplit(url)
+    except ValueError:
+        return urlsplit("")
+
+
+def absolute(base: str, link: str) -> str:
+    try:
+        return urljoin(base, link)
+    except ValueError:
+        return link
+
+
 def asset_name(url: str, default: str) -> str:
     """The file that holds an image: the last part of the url's path, with an image's ending."""
-    name = urlsplit(url).path.rpartition("/")[2] or default
+    name = parts_of(url).path.rpartition("/")[2] or default
     return name if re.search(r"\.(jpg|jpeg|png|gif|webp|svg)$", name, re.I) else f"{name}.jpg"
 
 
@@ -114,18 +141,18 @@ def local_assets(html: str, url: str) -> str:
 
     Pages without a host stay as they are.
     """
-    home = urlsplit(url or "")
+    home = parts_of(url or "")
     base = f"{home.scheme}://{home.netloc}"
-    own = lambda link: urlsplit(urljoin(base, link)).netloc == home.netloc
+    own = lambda link: parts_of(absolute(base, link)).netloc == home.netloc
 
     def change(node: dict, nodes: list[dict]):
         attrs = dict(node["attrs"])
         if node["tag"] == "img" and attrs.get("srcset"):
             parts = [p.split(None, 1) for p in attrs["srcset"].split(",") if p.strip()]
-            attrs["srcset"] = ", ".join(" ".join([f"assets/images/{asset_name(urljoin(base, p[0]), 'image.jpg')}" if own(p[0]) else p[0], *(x.strip() for x in p[1:])]) for p in parts)
+            attrs["srcset"] = ", ".join(" ".join([f"assets/images/{asset_name(absolute(base, p[0]), 'image.jpg')}" if own(p[0]) else p[0], *(x.strip() for x in p[1:])]) for p in parts)
         found = ANY_URL.search(attrs.get("style", "")) if "background" in attrs.get("style", "") else None
         if found and found[1].startswith(("http", "//")) and own(found[1]):
-            attrs["style"] = attrs["style"].replace(found[1], f"assets/images/{asset_name(urljoin(base, found[1]), 'bg.jpg')}")
+            attrs["style"] = attrs["style"].replace(found[1], f"assets/images/{asset_name(absolute(base, found[1]), 'bg.jpg')}")
         if node["tag"] == "link" and attrs.get("href", "").startswith(base):
             attrs["href"] = attrs["href"][len(base) :]
         return attrs, None
@@ -133,6 +160,75 @@ def local_assets(html: str, url: str) -> str:
     return edited(html, change) if home.netloc else html
 
 
+def linked_file(node: dict) -> tuple[str, str, tuple[str, ...]] | None:
+    """Attribute, kind and hosts of libraries of an element that stands for a file."""
+    attrs = node["attrs"]
+    if node["tag"] == "link" and "stylesheet" in attrs.get("rel", "").lower().split():
+        return "href", "css", v.STYLE_CDN_WORDS
+    return {"script": ("src", "js", v.CDN_WORDS), "img": ("src", "images", ())}.get(node["tag"])
+
+
+def file_name(url: str, kind: str) -> str:
+    """The file that holds a stylesheet, script or image; one without a name is called by its kind."""
+    if kind == "images":
+        return asset_name(url, "image.jpg")
+    name = parts_of(url).path.rpartition("/")[2] or {"css": "style.css", "js": "script.js"}[kind]
+    return name if name.endswith(f".{kind}") else f"{name}.{kind}"
+
+
+class FileNames:
+    """One name for each url: the wanted one, or the next of name_1, name_2, ... (before the ending) that is free."""
+
+    def __init__(self):
+        self.by_url: dict[str, str] = {}
+        self.taken: set[str] = set()
+        self.tries: dict[str, Iterator[int]] = {}
+
+    def of(self, url: str, wanted: str) -> str:
+        if url not in self.by_url:
+            stem, dot, ending = wanted.rpartition(".")
+            name = wanted
+            while name in self.taken:
+                name = f"{stem}_{next(self.tries.setdefault(wanted, count(1)))}{dot}{ending}"
+            self.taken.add(name)
+            self.by_url[url] = name
+        return self.by_url[url]
+
+
+def localized(html: str, url: str, failed: Collection[str] = ()) -> str:
+    """Stylesheets, scripts and images as assets/<name>, on top of `local_assets`; elements of libraries' hosts go.
+
+    A url has one name in a page; another url that would have the same gets a number. A stylesheet or script whose
+    absolute url is in `failed` (not downloaded) or has no host goes; an image stays as it is. So do empty, # and data: urls, and
+    images of other hosts (but for www.). Relative urls start from the page's host; without a host the page stays.
+    """
+    home = parts_of(url or "")
+    if not home.netloc:
+        return html
+    base, names = f"{home.scheme}://{home.netloc}", FileNames()
+    bare = lambda host: host.removeprefix("www.")
+
+    def change(node: dict, nodes: list[dict]):
+        attrs = dict(node["attrs"])
+        role = linked_file(node)
+        link = attrs.get(role[0], "").strip() if role else ""
+        if not link or link.startswith(("#", "data:")):
+            return attrs, None
+        key, kind, libraries = role
+        if any(w in link.lower() for w in libraries):
+            return GONE, None
+        whole = absolute(base, link)
+        if whole in failed or not parts_of(whole).netloc:
+            return (attrs, None) if kind == "images" else (GONE, None)
+        if kind == "images" and bare(parts_of(whole).netloc) != bare(home.netloc):
+            return attrs, None
+        folder = "assets/images/" if kind == "images" else "assets/"
+        attrs[key] = names.of(whole, folder + file_name(whole, kind))
+        return attrs, None
+
+    return edited(local_assets(html, url), change)
+
+
 class Printer(Tree):
     """One tag or text a line, a space deeper for each open element."""
 
@@ -193,4 +289,4 @@ def over_pages(function, *inputs: str):
     return query
 
 
-QUERIES = {"image_placeholders": over_pages(placeholder_images, "html"), "link_rewrite": over_pages(placeholder_links, "html"), "local_assets": over_pages(local_assets, "html", "url"), "pretty_html": over_pages(pretty, "html"), "prepared_html": over_pages(prepared, "html")}
+QUERIES = {"image_placeholders": over_pages(placeholder_images, "html"), "link_rewrite": over_pages(placeholder_links, "html"), "local_assets": over_pages(local_assets, "html", "url"), "localized_pages": over_pages(localized, "html", "url"), "pretty_html": over_pages(pretty, "html"), "prepared_html": over_pages(prepared, "html")}

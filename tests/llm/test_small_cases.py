@@ -342,6 +342,20 @@ def test_forest_on_held_out_findings(spark):
     assert "[SECRET]" in left and rows[200][1].split()[7] not in left
 
 
+def test_rare_secrets_of_a_large_table_train_the_forest(spark):
+    rows = spark.range(120_000).select(F.col("id").alias("doc_id"), F.expr("""if(id % 24000 = 7, concat('token = "', left(sha2(string(id), 256), 40), '"'),
+        concat('thing ', translate(left(sha2(string(id % 300), 256), 20), '0123456789', 'ghijklmnop'), ' end'))""").alias("text"))
+    forest = secrets.train(rows)
+    assert forest.trees
+    out = secrets.findings(rows, forest).where("doc_id % 24000 = 7 or doc_id < 300").collect()
+    assert len(out) == 304 and all(r.is_secret == (r.doc_id % 24000 == 7) for r in out)
+
+
+def test_without_a_forest_cues_before_count_too(spark):
+    docs = spark.createDataFrame([(1, f'token = "{"0a1b" * 10}"')], "doc_id long, text string")
+    assert [r.is_secret for r in secrets.findings(docs).collect()] == [True]
+
+
 def test_labels_given_are_used(spark):
     docs = spark.createDataFrame([(i, f"key {'Ab1' * 8}{i} x {'zz9' * 8}{i}") for i in range(40)], "doc_id long, text string")
     labels = spark.createDataFrame([(f"{'Ab1' * 8}{i}", 1) for i in range(40)] + [(f"{'zz9' * 8}{i}", 0) for i in range(40)], "run string, label int")

@@ -61,7 +61,7 @@ class SecretForest:
     @property
     def probability(self) -> str:
         """SQL over a struct f of the features."""
-        return f"({' + '.join(self.trees)}) / {len(self.trees)}" if self.trees else "f.cue_inside * f.digits"
+        return f"({' + '.join(self.trees)}) / {len(self.trees)}" if self.trees else "greatest(f.cue_before, f.cue_inside) * double(f.digits > 0)"
 
     @staticmethod
     def tree(node) -> str:
@@ -72,28 +72,35 @@ class SecretForest:
         return f"CASE WHEN f.{FEATURES[split.featureIndex()]} <= {split.threshold()!r}D THEN {SecretForest.tree(node.leftChild())} ELSE {SecretForest.tree(node.rightChild())} END"
 
 
-def train(docs: DataFrame, labels: DataFrame | None = None, *, sample_docs: int = 20_000, max_findings: int = 10_000, trees: int = 20, depth: int = 5, words: int = 400, seed: int = 5) -> SecretForest:
+def train(docs: DataFrame, labels: DataFrame | None = None, *, max_findings: int = 10_000, trees: int = 20, depth: int = 5, words: int = 400, seed: int = 5) -> SecretForest:
     """Fits the forest on labelled findings.
 
     labels: run, label (1 a secret, 0 none). Without it, findings are labelled by their format; formats aren't
-    features, so the forest also judges what has none. The sample is bounded: candidates of about `sample_docs`
-    documents, at most `max_findings` of each label; the dictionary holds the sample's `words` most frequent words of
-    three to eight letters. Without findings of both labels no forest is fitted: those with a cue and digits pass.
+    features, so the forest also judges what has none. All documents are read, whatever their number: the dictionary
+    holds their `words` most frequent words of three to eight letters, and only the labelled findings are bounded, to
+    the `max_findings` of each label with the lowest hashes. A run found in several places counts by its least
+    surroundings. If the whole table has findings of one label only, no forest is fitted: those with a cue and digits
+    pass.
     """
-    n = max(1, docs.count())
-    sample = docs.select("text").sample(min(1.0, sample_docs / n), seed)
-    frequent = sample.select(F.explode(F.split(F.lower("text"), SPACE_RUN)).alias("w")).where("w rlike '^[a-z]{3,8}$'")
+    frequent = docs.select(F.explode(F.split(F.lower("text"), SPACE_RUN)).alias("w")).where("w rlike '^[a-z]{3,8}$'")
     dictionary = [r.w for r in frequent.groupBy("w").count().orderBy(F.desc("count"), "w").limit(words).collect()]
-    found = candidates(sample).select(F.explode("found").alias("x")).select("x.run", F.expr(described(dictionary)).alias("f"))
+    found = candidates(docs.select("text")).select(F.explode("found").alias("x")).select("x.run", F.col("x").dropFields("at").alias("x"))
     if labels is None:
         found = found.withColumn("label", format_label(F.col("run")))
     else:
         found = found.join(labels.select("run", F.col("label").cast("double").alias("label")).dropDuplicates(["run"]), "run")
-    found = materialize(found.where("label is not null").dropDuplicates(["run"]).select("run", "label", *(F.col(f"f.{c}") for c in FEATURES)))
-    kinds = [found.where(F.col("label") == x).orderBy(F.xxhash64("run"), "run").limit(max_findings) for x in (0.0, 1.0)]
-    if not all(k.take(1) for k in kinds):
+    found = found.where("label in (0, 1)").groupBy("run", "label").agg(F.min("x").alias("x"))
+    found = materialize(found.withColumn("hash", F.xxhash64("run")))
+    counts = {r.label: r["count"] for r in found.groupBy("label").count().collect()}
+    if len(counts) < 2:
         return SecretForest(dictionary, [])
+    kinds = []
+    for label, n in sorted(counts.items()):
+        # half as many again as are taken pass this, so that the task that takes them doesn't see what grows with docs
+        cut = min((1 << 63) - 1, int((1.5 * max_findings + 200) / n * (1 << 64)) - (1 << 63))
+        kinds.append(found.where((F.col("label") == label) & (F.col("hash") <= F.lit(cut).cast("long"))).orderBy("hash", "run").limit(max_findings))
     both = kinds[0].unionByName(kinds[1]).orderBy("run").coalesce(1)  # bounded; the order makes reruns agree
+    both = both.select("label", F.expr(described(dictionary)).alias("f")).select("label", *(F.col(f"f.{c}") for c in FEATURES))
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(both).select("label", "features")
     model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=2).fit(rows)
     return SecretForest(dictionary, [SecretForest.tree(t._java_obj.rootNode()) for t in model.trees])

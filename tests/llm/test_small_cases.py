@@ -356,6 +356,24 @@ def test_without_a_forest_cues_before_count_too(spark):
     assert [r.is_secret for r in secrets.findings(docs).collect()] == [True]
 
 
+def test_every_run_of_a_word_is_a_candidate(spark):
+    rng = random.Random(10)
+    key = lambda n=40: "".join(rng.choices("abcdef0123456789", k=n))
+    word = lambda: "".join(rng.choices(["the", "ing", "tion", "ness", "ment", "able"], k=6))
+    train = spark.createDataFrame([(i, f'the token = {key()} and {{"{word()}":"x","token":"{key()}"}}') for i in range(150)], "doc_id long, text string")
+    a, b, c, d, e = (key() for _ in range(5))
+    rows = [(1, f'{{"session_identifier":"x","token":"{a}"}}', ["session_identifier", a]), (2, f"see https://example.com/organisation/settings?token:{b}", ["com/organisation/settings", b]), (3, f'the token = "{c}","{d}"', [c, d]), (4, f"token: {e[:20]} {e}", [e[:20], e])]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    forest = secrets.train(train)
+    out = secrets.findings(docs, forest).collect()
+    want = {(i, hashlib.sha256(r.encode()).hexdigest()) for i, _, runs in rows for r in runs}
+    assert {(r.doc_id, r.run_sha256) for r in out} == want and len(out) == len(want)
+    assert sorted((r.word_at, r.run_at) for r in out if r.doc_id == 3) == [(3, 0), (3, 1)]
+    left = {r.doc_id: r.text for r in secrets.redacted(docs, forest).collect()}
+    assert left[1] == '{"session_identifier":"x","token":"[SECRET]"}' and left[3] == 'the token = "[SECRET]","[SECRET]"'
+    assert b not in left[2] and e[20:] not in left[4]
+
+
 def test_labels_given_are_used(spark):
     docs = spark.createDataFrame([(i, f"key {'Ab1' * 8}{i} x {'zz9' * 8}{i}") for i in range(40)], "doc_id long, text string")
     labels = spark.createDataFrame([(f"{'Ab1' * 8}{i}", 1) for i in range(40)] + [(f"{'zz9' * 8}{i}", 0) for i in range(40)], "run string, label int")

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_RUN, boxed, materialize, unboxed
 
-#: A candidate is a word that holds such a run.
+#: Each such run of a word is a candidate.
 RUN = "[A-Za-z0-9_+/=-]{16,}"
+#: So many characters of what stands around a run are looked at.
+NEAR = 200
 #: Formats of findings that are labelled secrets, and of such that are labelled none, where no labels are given.
 SECRET_FORMATS = ("AKIA[A-Z0-9]{16}", "(?i)(password|passwd|pwd|secret|token|api_?key)[=:][0-9a-zA-Z+/_-]{16,}", "gh[pousr]_[A-Za-z0-9]{36,}", "[0-9a-f]{40}")
 PLAIN_FORMATS = ("[A-Za-z_-]+", "[0-9]+")
@@ -19,12 +21,18 @@ FEATURES = ("length", "transitions", "coverage", "digits", "variety", "path", "c
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Adds `found`: for each candidate word its place, itself, its run, and the two words before and the one after."""
+    """Adds `found`: for each run of each word the word's place, its own place among the word's runs, itself, the text
+    around it within the word, and the two words before.
+
+    `lead` is what stands between the run before and this one, with the end of that run in `prior`; `trail` is what
+    stands between this run and the next. All of them are cut to NEAR characters, so that long words stay linear.
+    """
     split = docs.withColumn("_words", F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE_RUN), ""))
-    found = f"""filter(transform(_words, (w, i) -> if(length(w) >= 16 and w rlike '{RUN}', named_struct(
-        'at', i, 'word', w, 'run', regexp_extract(w, '{RUN}', 0),
-        'before', concat_ws(' ', try_element_at(_words, if(i > 1, i - 1, null)), try_element_at(_words, if(i > 0, i, null))),
-        'after', coalesce(try_element_at(_words, i + 2), '')), null)), x -> x is not null)"""
+    words = f"""filter(transform(_words, (w, i) -> if(length(w) >= 16 and w rlike '{RUN}', named_struct(
+        'at', i, 'runs', regexp_extract_all(w, '{RUN}', 0), 'gaps', split(w, '{RUN}', -1),
+        'before', right(concat_ws(' ', try_element_at(_words, if(i > 1, i - 1, null)), try_element_at(_words, if(i > 0, i, null))), {NEAR})), null)), c -> c is not null)"""
+    found = f"""flatten(transform({words}, c -> transform(c.runs, (r, j) -> named_struct(
+        'at', c.at, 'nth', j, 'run', r, 'prior', if(j > 0, right(c.runs[j - 1], {NEAR}), ''), 'lead', right(c.gaps[j], {NEAR}), 'trail', left(c.gaps[j + 1], {NEAR}), 'before', c.before))))"""
     return split.withColumn("found", F.expr(found)).drop("_words")
 
 
@@ -38,10 +46,10 @@ def described(dictionary: list[str]) -> str:
         "coverage": f"1 - length(regexp_replace(lower(x.run), '{words}', '')) / length(x.run)",
         "digits": "1 - length(regexp_replace(x.run, '[0-9]', '')) / length(x.run)",
         "variety": "size(array_distinct(split(x.run, ''))) / length(x.run)",
-        "path": "double(length(x.word) - length(regexp_replace(x.word, '[/.@:]', '')))",
+        "path": "double(length(concat(x.lead, x.run, x.trail)) - length(regexp_replace(concat(x.lead, x.run, x.trail), '[/.@:]', '')))",
         "cue_before": f"double(x.before rlike '{CUES}')",
-        "cue_inside": f"double(x.word rlike '{CUES}')",
-        "assigned": "double(x.before rlike '[=:]$' or x.word rlike '[A-Za-z][=:]')",
+        "cue_inside": f"double(concat(x.prior, x.lead, x.run, x.trail) rlike '{CUES}')",
+        "assigned": "double(x.before rlike '[=:]$' or concat(x.prior, x.lead, x.run, x.trail) rlike '[A-Za-z][=:]' or x.lead rlike '[=:][^A-Za-z0-9]*$')",
     }
     return "named_struct(" + ", ".join(f"'{k}', {features[k]}" for k in FEATURES) + ")"
 
@@ -84,7 +92,7 @@ def train(docs: DataFrame, labels: DataFrame | None = None, *, max_findings: int
     """
     frequent = docs.select(F.explode(F.split(F.lower("text"), SPACE_RUN)).alias("w")).where("w rlike '^[a-z]{3,8}$'")
     dictionary = [r.w for r in frequent.groupBy("w").count().orderBy(F.desc("count"), "w").limit(words).collect()]
-    found = candidates(docs.select("text")).select(F.explode("found").alias("x")).select("x.run", F.col("x").dropFields("at").alias("x"))
+    found = candidates(docs.select("text")).select(F.explode("found").alias("x")).select("x.run", F.col("x").dropFields("at", "nth").alias("x"))
     if labels is None:
         found = found.withColumn("label", format_label(F.col("run")))
     else:
@@ -109,23 +117,27 @@ def train(docs: DataFrame, labels: DataFrame | None = None, *, max_findings: int
 def scanned(docs: DataFrame, forest: SecretForest, threshold: float = 0.5) -> DataFrame:
     """Adds `secrets`: the candidates of each text with their score, and whether they are kept as findings."""
     scored = f"""transform(transform(found, x -> named_struct('x', x, 'f', {described(forest.dictionary)})),
-        y -> named_struct('at', y.x.at, 'run', y.x.run, 'score', transform(array(y.f), f -> {forest.probability})[0]))"""
-    return candidates(docs).withColumn("secrets", F.expr(f"transform({scored}, s -> named_struct('at', s.at, 'run', s.run, 'score', s.score, 'is_secret', s.score >= {threshold}))")).drop("found")
+        y -> named_struct('at', y.x.at, 'nth', y.x.nth, 'run', y.x.run, 'score', transform(array(y.f), f -> {forest.probability})[0]))"""
+    return candidates(docs).withColumn("secrets", F.expr(f"transform({scored}, s -> named_struct('at', s.at, 'nth', s.nth, 'run', s.run, 'score', s.score, 'is_secret', s.score >= {threshold}))")).drop("found")
 
 
 def findings(docs: DataFrame, forest: SecretForest | None = None, **options) -> DataFrame:
-    """A row per candidate: doc_id, word_at (from 0), length, run_sha256, score, is_secret.
+    """A row per candidate: doc_id, word_at and run_at (its word, and its place among the runs of that word, from 0), length, run_sha256, score, is_secret.
 
     Null and empty texts have no candidates; each row is scanned by itself (repeated rows and null ids stay); columns
-    besides doc_id and text are ignored; an empty table gives no rows. A word counts by its first run.
+    besides doc_id and text are ignored; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
     out = scanned(docs, forest or train(docs, **options)).select("doc_id", F.explode("secrets").alias("s"))
-    return out.select("doc_id", F.col("s.at").cast("long").alias("word_at"), F.length("s.run").cast("long").alias("length"), F.sha2("s.run", 256).alias("run_sha256"), F.round("s.score", 6).alias("score"), "s.is_secret")
+    return out.select("doc_id", F.col("s.at").cast("long").alias("word_at"), F.col("s.nth").cast("long").alias("run_at"), F.length("s.run").cast("long").alias("length"), F.sha2("s.run", 256).alias("run_sha256"), F.round("s.score", 6).alias("score"), "s.is_secret")
 
 
 def redacted(docs: DataFrame, forest: SecretForest | None = None, mask: str = "[SECRET]", **options) -> DataFrame:
-    """docs with each finding's run replaced by `mask`, wherever it stands in its text; no document goes."""
+    """docs with each finding's run replaced by `mask`, wherever it stands in its text; no document goes.
+
+    Longer runs go first: one that another holds would else break the other up, and its rest would stay.
+    """
     out = scanned(boxed(docs, "text"), forest or train(docs, **options))
-    text = F.expr(f"aggregate(filter(secrets, s -> s.is_secret), text, (t, s) -> replace(t, s.run, '{mask}'))")
+    runs = "array_sort(array_distinct(transform(filter(secrets, s -> s.is_secret), s -> s.run)), (a, b) -> length(b) - length(a))"
+    text = F.expr(f"aggregate({runs}, text, (t, r) -> replace(t, r, '{mask}'))")
     return unboxed(out, docs.columns, text=text)

@@ -381,6 +381,15 @@ def test_labels_given_are_used(spark):
     assert all(r.is_secret == (r.word_at == 1) for r in out) and len(out) == 80
 
 
+def test_cues_after_a_run_count(spark):
+    rng = random.Random(11)
+    runs = ["".join(rng.choices("abcdef0123456789", k=40)) for _ in range(200)]
+    docs = spark.createDataFrame([(i, f"see {r} {('(build of it)', '(api key)')[i % 2]} end") for i, r in enumerate(runs)], "doc_id long, text string")
+    labels = spark.createDataFrame([(r, i % 2) for i, r in enumerate(runs[:100])], "run string, label int")
+    out = secrets.findings(docs, secrets.train(docs, labels)).where("doc_id >= 100").collect()
+    assert len(out) == 100 and all(r.is_secret == bool(r.doc_id % 2) for r in out)
+
+
 def test_stages_each_and_all(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     at = docs

@@ -17,12 +17,12 @@ NEAR = 200
 SECRET_FORMATS = ("AKIA[A-Z0-9]{16}", "(?i)(password|passwd|pwd|secret|token|api_?key)[=:][0-9a-zA-Z+/_-]{16,}", "gh[pousr]_[A-Za-z0-9]{36,}", "[0-9a-f]{40}")
 PLAIN_FORMATS = ("[A-Za-z_-]+", "[0-9]+")
 CUES = "(?i)pass|pwd|secret|token|key|auth|bearer|akia|cred"
-FEATURES = ("length", "transitions", "coverage", "digits", "variety", "path", "cue_before", "cue_inside", "assigned")
+FEATURES = ("length", "transitions", "coverage", "digits", "variety", "path", "cue_before", "cue_inside", "cue_after", "assigned")
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """Adds `found`: for each run of each word the word's place, its own place among the word's runs, itself, the text
-    around it within the word, and the two words before.
+    around it within the word, and the two words before and after.
 
     `lead` is what stands between the run before and this one, with the end of that run in `prior`; `trail` is what
     stands between this run and the next. All of them are cut to NEAR characters, so that long words stay linear.
@@ -30,9 +30,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     split = docs.withColumn("_words", F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE_RUN), ""))
     words = f"""filter(transform(_words, (w, i) -> if(length(w) >= 16 and w rlike '{RUN}', named_struct(
         'at', i, 'runs', regexp_extract_all(w, '{RUN}', 0), 'gaps', split(w, '{RUN}', -1),
-        'before', right(concat_ws(' ', try_element_at(_words, if(i > 1, i - 1, null)), try_element_at(_words, if(i > 0, i, null))), {NEAR})), null)), c -> c is not null)"""
+        'before', right(concat_ws(' ', try_element_at(_words, if(i > 1, i - 1, null)), try_element_at(_words, if(i > 0, i, null))), {NEAR}),
+        'after', left(concat_ws(' ', try_element_at(_words, i + 2), try_element_at(_words, i + 3)), {NEAR})), null)), c -> c is not null)"""
     found = f"""flatten(transform({words}, c -> transform(c.runs, (r, j) -> named_struct(
-        'at', c.at, 'nth', j, 'run', r, 'prior', if(j > 0, right(c.runs[j - 1], {NEAR}), ''), 'lead', right(c.gaps[j], {NEAR}), 'trail', left(c.gaps[j + 1], {NEAR}), 'before', c.before))))"""
+        'at', c.at, 'nth', j, 'run', r, 'prior', if(j > 0, right(c.runs[j - 1], {NEAR}), ''), 'lead', right(c.gaps[j], {NEAR}), 'trail', left(c.gaps[j + 1], {NEAR}), 'before', c.before, 'after', c.after))))"""
     return split.withColumn("found", F.expr(found)).drop("_words")
 
 
@@ -49,6 +50,7 @@ def described(dictionary: list[str]) -> str:
         "path": "double(length(concat(x.lead, x.run, x.trail)) - length(regexp_replace(concat(x.lead, x.run, x.trail), '[/.@:]', '')))",
         "cue_before": f"double(x.before rlike '{CUES}')",
         "cue_inside": f"double(concat(x.prior, x.lead, x.run, x.trail) rlike '{CUES}')",
+        "cue_after": f"double(x.after rlike '{CUES}')",
         "assigned": "double(x.before rlike '[=:]$' or concat(x.prior, x.lead, x.run, x.trail) rlike '[A-Za-z][=:]' or x.lead rlike '[=:][^A-Za-z0-9]*$')",
     }
     return "named_struct(" + ", ".join(f"'{k}', {features[k]}" for k in FEATURES) + ")"
@@ -69,7 +71,7 @@ class SecretForest:
     @property
     def probability(self) -> str:
         """SQL over a struct f of the features."""
-        return f"({' + '.join(self.trees)}) / {len(self.trees)}" if self.trees else "greatest(f.cue_before, f.cue_inside) * double(f.digits > 0)"
+        return f"({' + '.join(self.trees)}) / {len(self.trees)}" if self.trees else "greatest(f.cue_before, f.cue_inside, f.cue_after) * double(f.digits > 0)"
 
     @staticmethod
     def tree(node) -> str:

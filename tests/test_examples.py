@@ -40,12 +40,19 @@ def test_examples_are_united(spark, tmp_path):
 
 def test_component_scripts_match_whole_names(spark):
     page = spark.createDataFrame([(0, f'<nav id=top class=menu data-open=1>{"x" * 120}</nav>')], "page_id long, html string")
-    nodes = html.elements(page)
+    nodes = html.Elements(page)
     texts = ['document.getElementById("top")', "getElementById('topper')", "x('#top')", "a.menu.classList", "a.menu", "el.dataset.open", "y"]
-    found = code.component_js(nodes, html.components(nodes), spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "page_id long, script_ord int, code string"))
+    found = code.component_js(nodes.nodes, html.components(nodes), spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "page_id long, script_ord int, code string"))
     assert sorted(r.script_ord for r in found.collect()) == [0, 2, 3, 5]
 
 
 def test_rules_by_selector(spark):
     sheet = spark.createDataFrame([(0, ".Nav a{x:y} p{} nav{z:w}")], "page_id long, css string")
     assert code.rules_with(html.css_rules(sheet), "NAV").collect()[0].css == ".Nav a {\nx:y\n}\n\nnav {\nz:w\n}"
+
+
+def test_examples_parse_each_page_once(spark, tmp_path, monkeypatch):
+    parses, parsed = [], html.parsed
+    monkeypatch.setattr(html, "parsed", lambda pages: parses.append(1) or parsed(pages))
+    examples.training_examples(spark, folder(spark, tmp_path)).collect()
+    assert len(parses) == 1

@@ -23,7 +23,7 @@ def pages(spark, *texts):
 
 
 def test_list_items(spark):
-    rows = sites.list_items(html.elements(pages(spark, LIST, None, "")), "https://l.jp/").orderBy("item_id").collect()
+    rows = sites.list_items(html.Elements(pages(spark, LIST, None, "")), "https://l.jp/").orderBy("item_id").collect()
     assert [(r.detail_url, r.site_url, r.title) for r in rows] == [("https://l.jp/d/1", "https://s.jp/", "A shop"), ("https://l.jp/d/2", "https://t.jp/", "Unknown")]
     assert rows[0].credit_info.asDict() == {"url": "s.jp", "copyright": None, "creators": "B, C", "creator_source": None} and rows[1].credit_info is None
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import spread, table
-from .html import below, components, css_rules, elements
+from .html import below, css_rules
 from .rewrite import column
 
 # fixed values: what a line of a selector may name, and how cut-off marks look
@@ -85,7 +85,7 @@ def component_js(nodes: DataFrame, parts: DataFrame, code: DataFrame) -> DataFra
         array(if(attrs['id'] <> '', concat('#', lower(attrs['id'])), null)), transform(classes, c -> concat('.', lower(c))),
         transform(filter(map_keys(attrs), k -> startswith(k, 'data-')), k -> concat('@', k)),
         transform(filter(map_keys(attrs), k -> array_contains({handlers}, k)), k -> concat('#', k))))""")
-    inside = below(nodes.select("page_id", "path", named.alias("names")), parts.select("page_id", "type", "ord", "root_id")).select("page_id", "type", "ord", F.explode("names").alias("name")).distinct()
+    inside = below(nodes.select("page_id", "node_id", "levels", named.alias("names")), parts.select("page_id", "type", "ord", "root_id", "root_last")).select("page_id", "type", "ord", F.explode("names").alias("name")).distinct()
     find = lambda pattern: f"regexp_extract_all(lower(code), r'{pattern}', 1)"
     used = F.expr(f"""concat(
         transform({find(r'getelementbyid[(][\x22\x27]([^\x22\x27]+)')}, x -> concat('#', x)), transform({find(r'#([a-z_][\w-]*)')}, x -> concat('#', x)),
@@ -113,9 +113,4 @@ def css_by_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_with(css_rules(sheets(table(spark, sf_dir, "pages"))), "p")
 
 
-def matched_js(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "pages"))
-    return component_js(elements(pages, light=True), components(elements(pages)), scripts(pages))
-
-
-QUERIES = {"formatted_js": formatted_js, "css_repair": css_repair, "css_by_selector": css_by_selector, "component_js": matched_js}
+QUERIES = {"formatted_js": formatted_js, "css_repair": css_repair, "css_by_selector": css_by_selector}

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import values as v
 from ..functions.dialect import Spark
 from ..plans import pages as plans
-from ..sources.tables import spread, table, views
-from .code import sheets
-from .html import component_css, components, css_rules, elements
+from ..sources.tables import materialize, spread, table, views
+from .code import component_js, scripts, sheets
+from .html import Elements, component_css, components, css_rules
+from .rewrite import column, pretty
 
 #: A group's markup is cut here.
 GROUP_LIMIT = 200_000
@@ -98,12 +99,13 @@ def of_groups(found: DataFrame, css: DataFrame, traits: DataFrame) -> DataFrame:
 
 
 class Parts:
-    """The element, component and rule tables that examples share."""
+    """The element, component and rule tables that examples share, each made once and written."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, own: bool = False):
-        pages = spread(table(spark, sf_dir, "pages").where(F.length("html") <= plans.LONGEST_PAGE))
-        self.components, self.rules = components(elements(pages)), css_rules(sheets(pages))
-        self.matched, self.traits = component_css(elements(pages, light=True), self.components, self.rules), characteristics(spark, sf_dir, own)
+        pages = table(spark, sf_dir, "pages").where(F.length("html") <= plans.LONGEST_PAGE)
+        nodes = Elements(pages)
+        self.components, self.rules = materialize(laid_out(nodes)), materialize(css_rules(sheets(spread(pages))))
+        self.matched, self.traits = materialize(component_css(nodes.nodes, self.components, self.rules)), materialize(characteristics(spark, sf_dir, own))
 
     def component_examples(self) -> DataFrame:
         return of_components(self.components, rules_text(self.matched, self.rules, "type", "ord"), self.traits)
@@ -115,6 +117,27 @@ class Parts:
         return of_groups(found, css, self.traits)
 
 
+def laid_out(nodes: Elements) -> DataFrame:
+    """Components with their markup laid out."""
+    return components(nodes, lambda html: column(pretty, html))
+
+
+def page_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laid_out(Elements(table(spark, sf_dir, "pages"))).drop("root_last")
+
+
+def matched_css(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    nodes = Elements(pages)
+    return component_css(nodes.nodes, laid_out(nodes), materialize(css_rules(sheets(spread(pages)))))
+
+
+def matched_js(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    nodes = Elements(pages)
+    return component_js(nodes.nodes, laid_out(nodes), scripts(spread(pages)))
+
+
 def component_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Parts(spark, sf_dir).component_examples()
 
@@ -137,4 +160,4 @@ def training_examples(spark: SparkSession, sf_dir: str, full_page: bool = True,
     return both.unionByName(spark.sql(plans.full_page_examples(Spark(), own)).select("page_id", F.lit("full").alias("kind"), F.lit("page").alias("part"), "instruction", "output"))
 
 
-QUERIES = {"component_examples": component_examples, "grouped_examples": grouped_examples, "training_examples": training_examples}
+QUERIES = {"components": page_components, "component_css": matched_css, "component_js": matched_js, "component_examples": component_examples, "grouped_examples": grouped_examples, "training_examples": training_examples}

@@ -2,30 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import spread, table
+from ..sources.tables import materialize, spread, table
 
 #: Elements without content, and those that end where the next of their kind (or their parent) does.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 IMPLIED_END = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 BLOCKS = frozenset("address article aside blockquote div dl footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())
 
-ELEMENTS = "page_id long, node_id int, parent_id int, depth int, tag string, attrs map<string,string>, classes array<string>, text string, outer_html string, path array<int>"
+ELEMENTS = "page_id long, node_id int, parent_id int, last_id int, depth int, levels int, tag string, attrs map<string,string>, classes array<string>, start int, size int, text_start int, text_size int, text string"
+NAMES = [f.split()[0] for f in ELEMENTS.split(", ")]
+#: Characters of markup after which a task sends on the rows it holds.
+HELD = 4_000_000
+#: Runs of what counts as space in a text.
+TEXT_SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
 class Tree(HTMLParser):
-    """Elements of a document in order; open ones are closed where HTML implies it."""
+    """Elements of a document in order; open ones are closed where HTML implies it.
+
+    An element knows where its markup starts and ends, which pieces of the document's text are in it (from `first` on,
+    before `past`), and the number of its last descendant. So what a tree holds grows with the document alone.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.source, self.nodes, self.open = html, [], []
+        self.source, self.nodes, self.open, self.open_tags = html, [], [], Counter()
+        self.pieces: list[str] = []
+        self.chars = 0
         self.starts = [0, *accumulate(len(line) + 1 for line in html.split("\n"))]
         self.feed(html)
         self.close()
@@ -37,20 +49,21 @@ class Tree(HTMLParser):
         return self.starts[line - 1] + column
 
     def end(self, at: int) -> None:
-        self.open.pop()["end"] = at
+        node = self.open.pop()
+        self.open_tags[node["tag"]] -= 1
+        node.update(end=at, past=len(self.pieces), text_size=self.chars - node["text_start"], last=len(self.nodes) - 1)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         closes = IMPLIED_END.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
         while self.open and self.open[-1]["tag"] in closes:
             self.end(self.place())
-        values = {k: v or "" for k, v in attrs}
-        parent = self.open[-1]["id"] if self.open else None
-        node = {"id": len(self.nodes), "parent": parent, "depth": len(self.open), "tag": tag, "attrs": values, "text": [], "start": self.place()}
-        node["end"] = node["head"] = node["start"] + len(self.get_starttag_text() or "")
-        node["path"] = [*(n["id"] for n in self.open), node["id"]]
+        n, start, pieces = len(self.nodes), self.place(), len(self.pieces)
+        head = start + len(self.get_starttag_text() or "")
+        node = {"id": n, "last": n, "parent": self.open[-1]["id"] if self.open else None, "depth": len(self.open), "tag": tag, "attrs": {k: v or "" for k, v in attrs}, "start": start, "head": head, "end": head, "pieces": self.pieces, "first": pieces, "past": pieces, "text_start": self.chars, "text_size": 0}
         self.nodes.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.open_tags[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -58,7 +71,7 @@ class Tree(HTMLParser):
             self.end(self.nodes[-1]["end"])
 
     def handle_endtag(self, tag: str) -> None:
-        if not any(n["tag"] == tag for n in self.open):
+        if not self.open_tags[tag]:
             return
         after = self.source.find(">", self.place()) + 1 or len(self.source)
         while self.open:
@@ -68,31 +81,65 @@ class Tree(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        for node in self.open:
-            node["text"].append(data)
+        self.pieces.append(data)
+        self.chars += len(data)
 
 
-def elements(pages: DataFrame, light: bool = False) -> DataFrame:
-    """A row per element: its place, parent, depth, tag, attributes, classes, text, markup and path (ancestors, itself last). Null html has none.
+def parsed(pages: DataFrame) -> DataFrame:
+    """A row per element, and one with node_id -1 that holds the page's whole text. Null and empty html has none.
 
-    light leaves text and markup null, for those who ask for names and places only.
+    start and size say which characters of the page are an element's markup, text_start and text_size which of the
+    page's text are its own and its descendants'; last_id is the last descendant's node_id (or its own), levels how
+    many binary digits the number of the page's elements has. Neither markup nor text is repeated at each depth.
     """
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.int64(), *[pa.int32()] * 5, pa.string(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string()), *[pa.int32()] * 4, pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(types), types)], names=NAMES)
+
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for batch in batches:
-            rows = [(page, n) for page, html in zip(*(c.to_pylist() for c in batch.columns)) if html for tree in [Tree(html)] for n in tree.nodes for n["outer"] in [html[n["start"] : n["end"]]]]
-            cols = [
-                pa.array([p for p, _ in rows], pa.int64()), *(pa.array([n[k] for _, n in rows], pa.int32()) for k in ("id", "parent", "depth")), pa.array([n["tag"] for _, n in rows], pa.string()),
-                pa.array([list(n["attrs"].items()) for _, n in rows], pa.map_(pa.string(), pa.string())), pa.array([n["attrs"].get("class", "").split() for _, n in rows], pa.list_(pa.string())),
-                pa.array([None if light else " ".join("".join(n["text"]).split()) for _, n in rows], pa.string()), pa.array([None if light else n["outer"] for _, n in rows], pa.string()),
-                pa.array([n["path"] for _, n in rows], pa.list_(pa.int32())),
-            ]
-            yield pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in ELEMENTS.split(", ")])
+            for page, html in zip(*(c.to_pylist() for c in batch.columns)):
+                if not html:
+                    continue
+                tree = Tree(html)
+                levels = len(tree.nodes).bit_length()
+                rows += [(page, n["id"], n["parent"], n["last"], n["depth"], levels, n["tag"], list(n["attrs"].items()), n["attrs"].get("class", "").split(), n["start"], n["end"] - n["start"], n["text_start"], n["text_size"], None) for n in tree.nodes]
+                rows.append((page, -1, None, None, None, None, None, None, None, None, None, None, None, "".join(tree.pieces)))
+                held += len(html)
+                if held >= HELD:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+        yield batch_of(rows)
 
     return pages.select("page_id", "html").mapInArrow(parse, ELEMENTS)
 
 
-#: type: which elements, and the lengths of their markup that count
+class Elements:
+    """The element table of pages: parsed once, written, and read by all who need a part of it.
+
+    nodes: a row per element, as `parsed` describes. page_id tells pages apart.
+    """
+
+    def __init__(self, pages: DataFrame):
+        self.pages = pages.select("page_id", "html")
+        stored = materialize(parsed(spread(self.pages)))
+        self.nodes = stored.where("node_id >= 0").drop("text")
+        self.texts = stored.where("node_id < 0").select("page_id", F.col("text").alias("_page_text"))
+
+    def with_text(self, found: DataFrame) -> DataFrame:
+        """Elements with their text, each run of space as one."""
+        own = F.expr("substring(_page_text, text_start + 1, text_size)")
+        return found.join(self.texts, "page_id").withColumn("text", F.trim(F.regexp_replace(own, TEXT_SPACE, " "))).drop("_page_text")
+
+    def with_markup(self, found: DataFrame) -> DataFrame:
+        """Elements with their markup: cut from the page by start and size."""
+        pages = self.pages.withColumnRenamed("html", "_page_html")
+        return found.join(pages, "page_id").withColumn("outer_html", F.expr("substring(_page_html, start + 1, size)")).drop("_page_html")
+
+
+# fixed values: type: which elements, and the lengths of their laid-out markup that count
 COMPONENTS = {
     "headers": ("tag = 'header' or (tag = 'div' and exists(classes, c -> lower(c) rlike 'header|nav'))", "length(outer_html) > 100"),
     "footers": ("tag = 'footer' or (tag = 'div' and exists(classes, c -> lower(c) rlike 'footer'))", "length(outer_html) > 100"),
@@ -104,29 +151,30 @@ COMPONENTS = {
     "forms": ("tag = 'form'", "length(outer_html) > 100"),
     "typography": ("tag rlike '^h[1-6]$'", "length(outer_html) > 50"),
 }
+#: Buttons and headings stand within their parent, if its markup is shorter than this.
+SHORT_PARENT = 500
 
 
-def with_parents(found: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Buttons and headings stand beside their parent's markup, if that is short."""
-    parents = nodes.where("length(outer_html) < 500").select("page_id", F.col("node_id").alias("parent_id"), F.col("outer_html").alias("parent_html"))
-    return found.join(parents, ["page_id", "parent_id"], "left")
-
-
-def components(nodes: DataFrame) -> DataFrame:
-    """page_id, type, ord, node_id, root_id, html: the first of each markup within a page and type, in document order.
+def components(elements: Elements, layout: Callable[[Column], Column] | None = None) -> DataFrame:
+    """page_id, type, ord, node_id, root_id, root_last, html: the first of each markup within a page and type, in document order.
 
-    root_id is the element whose markup stands in html: the parent, where that is shown.
+    root_id is the element whose markup stands in html (the parent, where that is shown), root_last its last
+    descendant. layout rewrites the markup before sizes and repetitions count; header elements stay as written.
     """
+    nodes = elements.nodes
     kinds = F.array_compact(F.array(*(F.when(F.expr(test), F.lit(name)) for name, (test, _) in COMPONENTS.items())))
-    typed = nodes.select("page_id", "node_id", "parent_id", "outer_html", F.explode(kinds).alias("type"))
-    found = with_parents(typed, nodes)
-    short = F.col("type").isin("buttons", "typography") & F.col("parent_html").isNotNull()
-    found = found.withColumn("root_id", F.when(short, F.col("parent_id")).otherwise(F.col("node_id"))).withColumn("outer_html", F.when(short, F.col("parent_html")).otherwise(F.col("outer_html")))
+    typed = nodes.select("page_id", "node_id", "parent_id", "last_id", "tag", "start", "size", F.explode(kinds).alias("type"))
+    parents = nodes.where(F.col("size") < SHORT_PARENT).select("page_id", F.col("node_id").alias("parent_id"), F.struct("node_id", "last_id", "start", "size").alias("parent"))
+    found = typed.join(parents, ["page_id", "parent_id"], "left")
+    root = F.when(F.col("type").isin("buttons", "typography") & F.col("parent").isNotNull(), F.col("parent")).otherwise(F.struct("node_id", "last_id", "start", "size"))
+    found = elements.with_markup(found.withColumn("root", root).select("page_id", "type", "node_id", "tag", F.col("root.node_id").alias("root_id"), F.col("root.last_id").alias("root_last"), "root.start", "root.size"))
+    if layout:
+        found = found.withColumn("outer_html", F.when(F.col("tag") == "header", F.col("outer_html")).otherwise(layout(F.col("outer_html"))))
     fits = F.coalesce(*(F.when(F.col("type") == name, F.expr(size)) for name, (_, size) in COMPONENTS.items()))
     first = F.row_number().over(Window.partitionBy("page_id", "type", "md5").orderBy("node_id"))
     kept = found.where(fits).withColumn("md5", F.md5("outer_html")).withColumn("first", first).where("first = 1")
     ordinal = F.row_number().over(Window.partitionBy("page_id", "type").orderBy("node_id"))
-    return kept.select("page_id", "type", ordinal.alias("ord"), "node_id", "root_id", F.col("outer_html").alias("html"))
+    return kept.select("page_id", "type", ordinal.alias("ord"), "node_id", "root_id", "root_last", F.col("outer_html").alias("html"))
 
 
 CSS_RULES = "page_id long, rule_ord int, selector string, media string, body string"
@@ -169,27 +217,37 @@ def css_rules(sheets: DataFrame) -> DataFrame:
     """page_id, rule_ord, selector, media, body of each rule of sheets (page_id, css)."""
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
         for batch in batches:
-            rows = [(page, i, *rule) for page, css in zip(*(c.to_pylist() for c in batch.columns)) for i, rule in enumerate(rules_of(css or ""))]
-            types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)], names=["page_id", "rule_ord", "selector", "media", "body"])
+            for page, css in zip(*(c.to_pylist() for c in batch.columns)):
+                rows = [(page, i, *rule) for i, rule in enumerate(rules_of(css or ""))]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["page_id", "rule_ord", "selector", "media", "body"])
 
     return sheets.select("page_id", "css").mapInArrow(parse, CSS_RULES)
 
 
 def below(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Each root's row beside the elements in its subtree, itself included."""
-    return nodes.withColumn("root_id", F.explode("path")).join(roots, ["page_id", "root_id"])
+    """Each root's row (page_id, root_id, root_last and more) beside the elements in its subtree, itself included.
+
+    A subtree is a run of node_ids. It falls into at most two blocks of each power of two; an element is in one block
+    of each. So both meet by equality, however deep or wide a page is, and each pair once.
+    """
+    dealt = nodes.withColumn("_level", F.explode(F.sequence(F.lit(0), F.col("levels")))).withColumn("_block", F.expr("shiftright(node_id, _level)"))
+    wide = roots.withColumn("_level", F.explode(F.expr("sequence(0, cast(log2(root_last - root_id + 1) as int))")))
+    wide = wide.withColumn("_lo", F.expr("shiftright(root_id + shiftleft(1, _level) - 1, _level)")).withColumn("_hi", F.expr("shiftright(root_last + 1, _level)"))
+    blocks = F.expr("explode(array_compact(array(if(_lo & 1 = 1, _lo, null), if(_hi & 1 = 1, _hi - 1, null))))")
+    return dealt.join(wide.where("_lo < _hi").withColumn("_block", blocks).drop("_lo", "_hi"), ["page_id", "_level", "_block"]).drop("_level", "_block")
 
 
 def component_css(nodes: DataFrame, parts: DataFrame, rules: DataFrame) -> DataFrame:
     """page_id, type, ord, rule_ord of the rules that match a component, by equality of a class, id or tag.
 
-    The elements of a component are those with its root on their path: an equi-join. Their tokens and the selectors'
+    The elements of a component are those below its root: an equi-join. Their tokens and the selectors'
     meet in another. Rules of :root that define a variable which a matched rule uses come too.
     """
     tokens = F.array_union(F.array_union(F.transform("classes", lambda c: F.concat(F.lit("."), c)), F.array(F.col("tag"))), F.array_compact(F.array(F.concat(F.lit("#"), F.col("attrs")["id"]))))
-    inside = below(nodes.select("page_id", "path", tokens.alias("tokens")), parts.select("page_id", "type", "ord", "root_id")).select("page_id", "type", "ord", F.explode("tokens").alias("token")).distinct()
+    inside = below(nodes.select("page_id", "node_id", "levels", tokens.alias("tokens")), parts.select("page_id", "type", "ord", "root_id", "root_last")).select("page_id", "type", "ord", F.explode("tokens").alias("token")).distinct()
     names = F.expr(r"regexp_extract_all(selector, '(^|[\\s>+~,(])([a-z][a-z0-9]*)|([.#][A-Za-z_][A-Za-z0-9_-]*)', 0)")
     named = rules.withColumn("token", F.explode(F.transform(names, lambda x: F.regexp_replace(x, r"^[\s>+~,(]+", ""))))
     matched = inside.join(named, ["page_id", "token"]).select("page_id", "type", "ord", "rule_ord", "body").distinct()
@@ -200,21 +258,19 @@ def component_css(nodes: DataFrame, parts: DataFrame, rules: DataFrame) -> DataF
 
 
 def html_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return elements(spread(table(spark, sf_dir, "pages"))).drop("attrs", "path")
+    """Places of all elements: of their markup in the page, and of their text in the page's text."""
+    return parsed(spread(table(spark, sf_dir, "pages"))).where("node_id >= 0").drop("attrs", "text", "levels")
 
 
-def page_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components(elements(spread(table(spark, sf_dir, "pages"))))
-
-
-def matched_css(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "pages"))
-    sheets = pages.select("page_id", F.expr(r"array_join(regexp_extract_all(html, '(?is)<style[^>]*>(.*?)</style>', 1), '\n')").alias("css"))
-    return component_css(elements(pages, light=True), components(elements(pages)), css_rules(sheets))
+def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsed(spread(table(spark, sf_dir, "pages"))).where("node_id >= 0").groupBy("tag").agg(F.count("*").alias("n"), F.max("depth").alias("deepest"))
 
 
-def tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return elements(spread(table(spark, sf_dir, "pages"))).groupBy("tag").agg(F.count("*").alias("n"), F.max("depth").alias("deepest"))
+def page_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, n_elements, first_tags: how many elements a page has, and the names of the first ten."""
+    nodes = parsed(spread(table(spark, sf_dir, "pages"))).where("node_id >= 0")
+    early = F.collect_list(F.when(F.col("node_id") < 10, F.struct("node_id", "tag")))
+    return nodes.groupBy("page_id").agg(F.count("*").alias("n_elements"), F.array_join(F.array_sort(early)["tag"], " ").alias("first_tags"))
 
 
-QUERIES = {"html_elements": html_elements, "components": page_components, "component_css": matched_css, "tag_counts": tag_counts}
+QUERIES = {"html_elements": html_elements, "tag_counts": tag_counts, "page_outline": page_outline}

@@ -104,7 +104,7 @@ def link_target(href: str, label: str) -> str:
 def with_placeholder_link(node: dict, nodes: list[dict]):
     attrs = dict(node["attrs"])
     if node["tag"] == "a" and attrs.get("href", "").startswith(WEB):
-        attrs["href"] = link_target(attrs["href"], "".join(part.strip() for part in node["text"]))
+        attrs["href"] = link_target(attrs["href"], "".join(part.strip() for part in node["pieces"][node["first"] : node["past"]]))
     if node["tag"] == "form" and attrs.get("action", "").startswith(WEB):
         attrs["action"] = "#"
     return attrs, None

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.examples import training_examples
-from ..operators.html import elements
+from ..operators.html import Elements
 from ..operators.numbering import resumed
 from ..operators.rewrite import column, prepared
 from ..operators.sites import folder_url, site_metadata
@@ -27,7 +27,7 @@ def site_table(spark: SparkSession, root: str) -> DataFrame:
     """
     files = site_files(spark, root)
     found = site_pages(files)
-    nodes = elements(found)
+    nodes = Elements(found).nodes
 
     def held(kind: str, tag: str) -> DataFrame:
         texts = linked(nodes, found, files, kind).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("node_id", "text"))).alias("t"))

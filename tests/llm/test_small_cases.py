@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -205,6 +206,62 @@ def test_near_duplicates_against_all_pairs(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {i: (len(sets[i]), root(i)) for i in range(len(sets))}
 
 
+def near_copies(n, words=120, edits=8, seed=12):
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    out = []
+    for _ in range(n):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.randint(0, edits)):
+            copy[at] = f"e{rng.randrange(10**9)}"
+        out.append(copy)
+    return out
+
+
+def components_of(texts, k, percent):
+    sets = [{tuple(t[i : i + k]) for i in range(len(t) - k + 1)} or {tuple(t)} for t in texts]
+    least = list(range(len(texts)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if least[a] != least[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                lo, hi = sorted((least[a], least[b]))
+                least = [lo if x == hi else x for x in least]
+    return least
+
+
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "LEADERS", 2)
+    monkeypatch.setattr(minhash, "MEETING", 4)
+    texts = near_copies(250, words=60, edits=4)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, k=4).collect()} == dict(enumerate(components_of(texts, 4, 80)))
+
+
+def test_near_copies_in_one_bucket_are_not_all_compared(spark):
+    texts = near_copies(20_000, edits=3)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    began = time.time()
+    assert minhash.near_duplicates(docs, k=4).where("component_id = 0").count() > 19_000
+    assert time.time() - began < 120
+
+
+def test_texts_of_one_doc_id_keep_all_links(spark):
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    rows = [(1, a), (1, b), (2, [*a[:-1], "y"]), (3, [*b[:-1], "y"]), (4, [f"c{i}" for i in range(60)])]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(i, " ".join(t)) for i, t in order], "doc_id long, text string")
+        got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
+        assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)}
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a, "x"), (1, a, "y"), (2, a, "x"), (None, a, "x"), (None, b, "x"), (None, b, "x"), (None, "", "x"), (5, None, "x"), (5, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _hash string")
+    assert Counter((r.doc_id, r.text) for r in minhash.deduplicated(docs).collect()) == {(1, a): 1, (None, b): 1, (None, ""): 1, (5, None): 2}
+
+
 def test_low_bits_estimate_similarity():
     rng = np.random.default_rng(5)
     signer = minhash.Signer()
@@ -281,8 +338,6 @@ def test_quality_statistics(spark):
 
 
 def test_cascade_orders_by_rejection_per_cost(spark):
-    import time
-
     docs = spark.createDataFrame([(i, "x") for i in range(200)], "doc_id long, text string")
     rules = (quality.Rule("slow", lambda d: (time.sleep(0.002), True)[1]), quality.Rule("never", lambda d: False), quality.Rule("fast", lambda d: True))
     order = [r.name for r, _, _ in quality.cascade(docs, rules)]

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..sources.tables import shared_dir, table
+from ..sources.tables import discard, materialize, table
 
 #: Words are the runs of anything but these six characters.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -20,19 +18,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), "")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage is cut, and a lost executor costs no recomputation.
-
-    The files go when the session's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/webloom/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -58,6 +43,35 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     )
 
 
+#: A key with more than one in so many of all rows is a hot one: there are fewer than this many, so that they can be broadcast.
+HOT = 2000
+
+
+def attached(rows: DataFrame, keys: list[str], facts: DataFrame, total: int, values: list[str], spread: Column) -> DataFrame:
+    """rows with the values that facts have for their keys; null where there are none.
+
+    facts: keys, n (how many rows have them), values; a row for each key. `total` is the number of rows. The facts of
+    hot keys (fewer than HOT, of fixed size) are broadcast; rows of such keys, and those with a null key, go to any
+    task in the join with the other facts, by `spread`, so that no task gets all rows of one key.
+    """
+    value = F.struct(*values)
+    named = [F.col(k).alias(f"_{k}") for k in keys]
+    is_hot = F.col("n") > F.lit(max(1, total // HOT))
+    hot = facts.where(is_hot).select(*named, value.alias("_hot"))
+    rest = facts.where(~is_hot).select(*(F.col(k).alias(f"__{k}") for k in keys), value.alias("_rest"))
+    marked = rows.join(F.broadcast(hot), [F.col(k) == F.col(f"_{k}") for k in keys], "left").drop(*(f"_{k}" for k in keys))
+    null = F.lit(False)
+    for k in keys:
+        null |= F.col(k).isNull()
+    away = F.col("_hot").isNotNull() | null
+    marked = marked.withColumn("_away", away)
+    for i, k in enumerate(keys):
+        marked = marked.withColumn(f"_{k}", F.when(F.col("_away"), spread if i == 0 else F.lit(0)).otherwise(F.col(k)))
+    met = marked.join(rest, [F.col(f"_{k}") == F.col(f"__{k}") for k in keys], "left")
+    found = F.when(F.col("_hot").isNotNull(), F.col("_hot")).when(~F.col("_away"), F.col("_rest"))
+    return met.withColumn("_found", found).select(*rows.columns, *(F.col(f"_found.{v}").alias(v) for v in values))
+
+
 def boxed(docs: DataFrame, *names: str) -> DataFrame:
     """docs' rows as one column, beside the columns named: what else docs has can't clash with an operator's own."""
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *names)

@@ -5,32 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import attached, discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) for every id that has an edge to another; edges: a, b.
 
     Each round links every node's larger neighbours to its smallest one, then the smaller ones. Minima are partial
-    aggregates and the joins can be split by Spark at a hub, so that no task sees all edges of one.
+    aggregates; the minima of hubs are broadcast, so that no task sees all edges of one.
     """
     star = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
+    seen, n = None, star.count()
     while True:
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        star = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        now = star.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
-        if now == seen:
+        low = both.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("m")).select("u", "n", F.least("u", "m").alias("m"))
+        large = attached(both, ["u"], low, 2 * n, ["m"], F.xxhash64("u", "v")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialize(large)
+        low = large.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("m"))
+        small = attached(large, ["u"], low, 2 * n, ["m"], F.xxhash64("u", "v")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, star = star, materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        discard(before), discard(large)
+        n, mark = star.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
+        if (n, mark) == seen:
             return star.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(star.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        seen = now
+        seen = n, mark
 
 
 def forest(n: int, left, right) -> list[int]:
-    """Places of pairs (left[i], right[i]) of 0..n-1 that suffice to connect what all of them connect."""
+    """Places of pairs (left[i], right[i]) of 0..n-1 that suffice to connect what all of them connect: early ones first."""
     parent = list(range(n))
 
     def root(x: int) -> int:
@@ -39,10 +41,12 @@ def forest(n: int, left, right) -> list[int]:
             x = parent[x]
         return x
 
-    out = []
+    out: list[int] = []
     for i, (a, b) in enumerate(zip(left, right)):
         a, b = root(a), root(b)
         if a != b:
             parent[max(a, b)] = min(a, b)
             out.append(i)
+            if len(out) == n - 1:
+                break
     return out

@@ -288,6 +288,18 @@ def test_vectors_against_all_pairs(spark):
     assert all(out[i].n_links == 0 and out[i].kept for i in range(901, 906)) and len(out) == len(rows)
 
 
+def test_vectors_of_all_lengths_and_sizes_link(spark):
+    wide = [1.0] * 64
+    rows = [(i, [float(i), 1.0, 0.0], 0) for i in range(100, 130)] + [(1, [3.0, 4.0], 0), (2, [3.0, 4.0], 0), (3, [3e-200, 4e-200], 0), (4, [3e200, 4e200], 0), (5, wide, 0), (6, wide, 0), (7, [], 0), (8, None, 0), (9, [0.0, 0.0], 0), (9, [3.0, 4.0], 0), (None, [3.0, 4.0], 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("rep", F.lit(1)).withColumn("row", F.lit(1))
+    for sample in (4096, 1):  # in the latter case most lengths are not in the sample
+        out = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(frame, sample_rows=sample).collect() if (r.vec_id or 0) < 100}
+        assert out == {(1, 4, 1, True), (2, 4, 1, False), (3, 4, 1, False), (4, 4, 1, False), (5, 1, 5, True), (6, 1, 5, False), (7, 0, 7, True), (8, 0, 8, True), (9, 0, 9, True), (9, 4, 1, False), (None, 0, None, True)}
+    named = frame.withColumn("label", F.lit("a word"))
+    assert vectors.near_vectors(named).where("vec_id = 1").first().n_links == 4
+    assert vectors.near_vectors(frame.limit(0)).collect() == []
+
+
 def test_substrings_against_all_windows(spark):
     rng = random.Random(7)
     vocabulary = [f"w{i}" for i in range(50)]

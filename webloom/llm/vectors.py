@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_parts
+from .common import attached, materialize, shuffle_parts
 from .components import components, forest
 from .minhash import blocked, units
 
@@ -18,11 +18,16 @@ from .minhash import blocked, units
 SUB = 16
 
 
-def usable(vector: list | None, dim: int | None = None) -> bool:
-    if not vector or dim is not None and len(vector) != dim or None in vector:
-        return False
+def unit(vector: list | None) -> np.ndarray | None:
+    """The vector at length 1; None for those that link with nothing."""
+    if not vector or None in vector:
+        return None
     v = np.asarray(vector, dtype=np.float64)
-    return bool(np.isfinite(v).all() and np.isfinite(v @ v) and v @ v > 0)
+    top = np.abs(v).max()
+    if not (np.isfinite(top) and top > 0):
+        return None
+    v = v / top  # so that squares neither overflow nor vanish
+    return v / np.linalg.norm(v)
 
 
 class Codes:
@@ -58,16 +63,21 @@ class Codes:
         return np.stack(out, axis=1).astype(np.int32)
 
 
-def learned(vectors: DataFrame, rotations: int, sample_rows: int) -> Codes | None:
-    """Codes fitted on the `sample_rows` vectors of the lowest hashes."""
+def learned(vectors: DataFrame, rotations: int, sample_rows: int) -> dict[int, Codes]:
+    """Codes for each length of vectors, fitted on those among the `sample_rows` vectors of the lowest hashes."""
     rows = vectors.where("embedding is not null").orderBy(F.xxhash64("vec_id", "embedding")).select("embedding").limit(sample_rows).collect()
-    rows = [r[0] for r in rows if usable(r[0])]
-    if not rows:
-        return None
-    sizes = [len(r) for r in rows]
-    dim = max(set(sizes), key=lambda n: (sizes.count(n), n))
-    sample = np.array([r for r in rows if len(r) == dim], dtype=np.float64)
-    return Codes(sample / np.linalg.norm(sample, axis=1, keepdims=True), rotations)
+    by_length: dict[int, list[np.ndarray]] = {}
+    for r in rows:
+        if (v := unit(r[0])) is not None:
+            by_length.setdefault(len(v), []).append(v)
+    return {n: Codes(np.array(sample), rotations) for n, sample in by_length.items()}
+
+
+def codes_for(codes: dict[int, Codes], n: int, rotations: int) -> Codes:
+    """The codes of a length; of one that the sample lacks, under rotations learned on made-up directions, the same everywhere."""
+    if n not in codes:
+        codes[n] = Codes(np.random.default_rng(n).standard_normal((256, n)), rotations)
+    return codes[n]
 
 
 def near_vectors(vectors: DataFrame, *, cosine: float = 0.98, rotations: int = 4, sample_rows: int = 4096) -> DataFrame:
@@ -77,8 +87,8 @@ def near_vectors(vectors: DataFrame, *, cosine: float = 0.98, rotations: int = 4
     (16 bits of one rotation's code) are compared as originals, in double precision and in blocks; a pair counts in
     the first table that both share. Equal vectors are one class, so that copies cost nothing.
 
-    Null labels and vectors that are null, empty, zero, of another dimension than most of the sample, or with null or
-    non-finite components link with nothing (n_links 0, a component of their own). Repeated rows of one vec_id count
+    Null labels and vectors that are null, empty, zero, or with null or non-finite components link with nothing
+    (n_links 0, a component of their own). Vectors of different lengths don't link. Repeated rows of one vec_id count
     as other vectors, in one component. A null vec_id links with nothing; its component_id is null and it is kept. Other
     columns are ignored; an empty table gives no rows.
     """
@@ -87,33 +97,31 @@ def near_vectors(vectors: DataFrame, *, cosine: float = 0.98, rotations: int = 4
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vec, a, b, keys = [], [], [], []
+            vec, a, b, keys, labels = [], [], [], [], []
             for i, label, v in zip(*(c.to_pylist() for c in batch.columns)):
-                fit = codes is not None and i is not None and label is not None and usable(v, len(codes.mean))
-                x = np.asarray(v, dtype=np.float64) if fit else None
-                vec.append(x.tobytes() if fit else None)
-                h = xxhash.xxh3_128_intdigest((x + 0.0).tobytes()) if fit else None
-                a.append((h >> 64) - (1 << 63) if fit else None), b.append((h & ((1 << 64) - 1)) - (1 << 63) if fit else None)
-                keys.append(codes.of((x / np.linalg.norm(x))[None])[0] if fit else None)
-            arrays = [batch.column(0), batch.column(1), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(vec, pa.binary()), pa.array(keys, pa.list_(pa.int32()))]
+                x = unit(v) if i is not None and label is not None else None
+                h = None if x is None else xxhash.xxh3_128_intdigest((np.asarray(v, dtype=np.float64) + 0.0).tobytes())
+                vec.append(None if x is None else x.tobytes())
+                labels.append(None if x is None else label)
+                a.append(None if x is None else (h >> 64) - (1 << 63)), b.append(None if x is None else (h & ((1 << 64) - 1)) - (1 << 63))
+                keys.append(None if x is None else codes_for(codes, len(x), rotations).of(x[None])[0])
+            arrays = [batch.column(0), pa.array(labels, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(vec, pa.binary()), pa.array(keys, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["vec_id", "label", "vec_a", "vec_b", "vec", "keys"])
 
-    coded = materialize(vectors.select("vec_id", F.col("label").cast("long").alias("label"), "embedding").mapInArrow(encode, "vec_id long, label long, vec_a long, vec_b long, vec binary, keys array<int>"))
+    label = F.when(F.col("label").isNotNull(), F.xxhash64("label")).alias("label")  # of any type
+    coded = materialize(vectors.select("vec_id", label, "embedding").mapInArrow(encode, "vec_id long, label long, vec_a long, vec_b long, vec binary, keys array<int>").withColumn("row", F.monotonically_increasing_id()))
     same = ["label", "vec_a", "vec_b"]
-    classes = materialize(coded.where("vec is not null").groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
-    first = coded.select("vec_id", *(F.col(c).alias(f"_{c}") for c in same), "vec", "keys").join(classes, F.col("vec_id") == F.col("rep"))
-    first = first.where(" and ".join(f"{c} = _{c}" for c in same)).select(F.xxhash64("rep", *same).alias("doc_id"), "rep", "label", "copies", "vec", "keys")
-    reps = materialize(first.dropDuplicates(["doc_id"]))
+    kinds = coded.where("vec is not null").groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vec").alias("vec"), F.first("keys").alias("keys"))
+    reps = materialize(kinds.withColumn("doc_id", F.monotonically_increasing_id()))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit in units(batches, 3):
-            if unit.num_rows < 2:
+        for group in units(batches, 3):
+            if group.num_rows < 2:
                 continue
-            ids, rep, mine, copies = (unit.column(c).to_numpy() for c in ("doc_id", "rep", "mine", "copies"))
-            i, j, at = (unit.column(c)[0].as_py() for c in ("i", "j", "at"))
-            keys = np.array(unit.column("keys").to_pylist())
-            x = np.frombuffer(b"".join(unit.column("vec").to_pylist())).reshape(len(ids), -1)
-            x = x / np.linalg.norm(x, axis=1, keepdims=True)
+            ids, rep, mine, copies = (group.column(c).to_numpy() for c in ("doc_id", "rep", "mine", "copies"))
+            i, j, at = (group.column(c)[0].as_py() for c in ("i", "j", "at"))
+            keys = np.array(group.column("keys").to_pylist())
+            x = np.frombuffer(b"".join(group.column("vec").to_pylist())).reshape(len(ids), -1)
             left, right = (np.flatnonzero(mine == m) for m in (i, j))
             links, found = np.zeros(len(ids), dtype=np.int64), []
             for lo in range(0, len(left), 256):
@@ -132,16 +140,17 @@ def near_vectors(vectors: DataFrame, *, cosine: float = 0.98, rotations: int = 4
             pair, has = np.concatenate(found, axis=1), np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays([pa.array(np.r_[rep[pair[0]], ids[has]]), pa.array(np.r_[rep[pair[1]], ids[has]]), pa.array(np.r_[np.zeros(pair.shape[1], np.int64), links[has]])], names=["a", "b", "n"])
 
-    inside = reps.select("doc_id", "label", F.posexplode("keys").alias("at", "key")).select("doc_id", "at", F.xxhash64("label", "at", "key").alias("bucket"))
+    inside = reps.select("doc_id", "label", "vec", F.posexplode("keys").alias("at", "key")).select("doc_id", "at", F.xxhash64("label", F.length("vec"), "at", "key").alias("bucket"))
     shared = inside.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     dealt = blocked(inside.join(shared, "bucket"), "bucket", "members").join(reps.select("doc_id", "rep", "copies", "vec", "keys"), "doc_id")
     dealt = dealt.select("bucket", "i", "j", "at", "mine", "doc_id", "rep", "copies", "vec", "keys").repartition(shuffle_parts(spark), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     found = materialize(dealt.mapInArrow(compare, "a long, b long, n long"))
     counts = found.where("n > 0").groupBy(F.col("a").alias("doc_id")).agg(F.sum("n").alias("near"))
     parts = components(found.where("n = 0").select("a", "b").distinct())
-    per_class = reps.select("doc_id", "rep").join(counts, "doc_id", "left").join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left").select("doc_id", F.coalesce("near", F.lit(0)).alias("_near"), F.coalesce("component", "rep").alias("_component"))
-    per_class = classes.select(*same, "copies", F.xxhash64("rep", *same).alias("doc_id")).join(per_class, "doc_id")
-    out = coded.select("vec_id", *same).join(per_class, same, "left")
+    total = reps.agg(F.sum("copies")).first()[0] or 0
+    per_class = reps.select(*same, "doc_id", "rep", "copies", F.col("copies").alias("n")).join(counts, "doc_id", "left").join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    per_class = materialize(per_class.withColumn("_near", F.coalesce("near", F.lit(0))).withColumn("_component", F.coalesce("component", "rep")))
+    out = attached(coded.select("row", "vec_id", *same), same, per_class, total, ["_near", "_component", "copies"], F.col("row"))
     component = F.when(F.col("vec_id").isNull(), None).otherwise(F.coalesce("_component", "vec_id"))
     links = F.coalesce(F.col("_near") + F.col("copies") - 1, F.lit(0)).cast("long")
     return out.select("vec_id", links.alias("n_links"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -39,8 +39,7 @@ def test_odd_rows_empty_tables_and_clashing_columns(spark, name):
     assert operator(docs.limit(0)).collect() == []
     wide = docs.select("*", *(F.lit(i).alias(c) for i, c in enumerate(CLASH)))
     again = operator(wide).select(*out.columns)
-    if name != "pack_matrices":  # which rows a task packs together may differ
-        assert Counter(map(str, rows)) == Counter(map(str, again.collect()))
+    assert Counter(map(str, rows)) == Counter(map(str, again.collect()))
     per_row = {"trimmed", "mix", "near_duplicates", "judge", "shard", "redacted"}
     if name in per_row:
         assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in docs.collect())
@@ -102,7 +101,7 @@ def test_pack_round_trip(spark):
 def test_matrices_round_trip(spark):
     docs = odd_docs(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
     bpe, got = byte_bpe(), defaultdict(dict)
-    for r in packing.pack_matrices(docs, cap=128, chunk=2000).collect():
+    for r in packing.pack_matrices(docs, cap=128).collect():
         ids, places = np.frombuffer(r.input_ids, "<u2"), np.frombuffer(r.position_ids, "<u2")
         assert len(ids) == 128 and r.cu_seqlens[-1] == r.n_tokens <= 128
         for doc, start, lo, hi in zip(r.doc_ids, r.starts, r.cu_seqlens, r.cu_seqlens[1:]):
@@ -113,6 +112,38 @@ def test_matrices_round_trip(spark):
         assert whole.tolist() == [*bpe.ids(r.text or "").tolist(), 50256]
 
 
+def test_matrices_are_those_of_one_by_one_packing(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    bpe, cap, lengths = byte_bpe(), 512, []
+    for r in docs.collect():
+        n = len(bpe.ids(r.text or "")) + 1
+        lengths += [n % cap] * (n % cap > 0) + [cap] * (n // cap)
+    bins: list[list[int]] = []
+    for n in sorted(lengths, reverse=True):
+        open_ = [b for b in bins if sum(b) + n <= cap]
+        if open_:
+            max(open_, key=sum).append(n)
+        else:
+            bins.append([n])
+    seen = []
+    for parts in (1, 4, 32, 211):
+        packing.write_packed(packing.pack_matrices(docs.repartition(parts), cap=cap), f"{tmp_path}/{parts}")
+        seen.append(sorted(spark.read.parquet(f"{tmp_path}/{parts}").collect(), key=lambda r: r.sequence_id))
+    assert all(rows == seen[0] for rows in seen)
+    assert Counter(r.n_tokens for r in seen[0]) == Counter(map(sum, bins))  # which of equally full ones takes a piece is open
+    assert sorted(n for r in seen[0] for n in np.diff(r.cu_seqlens).tolist()) == sorted(lengths)
+
+
+def test_ids_that_do_not_fit_are_refused(spark):
+    docs = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        packing.pack_matrices(docs, end_id=70_000)
+    with pytest.raises(Exception, match="doesn't fit"):
+        packing.pack_matrices(docs, end_id=2, pad_id=2, id_bytes=1, cap=64).collect()
+    row = packing.pack_matrices(docs, end_id=70_000, pad_id=0, id_bytes=4, cap=8).first()
+    assert np.frombuffer(row.input_ids, "<u4").tolist() == [*byte_bpe().ids("hello world").tolist(), 70_000, 0, 0, 0, 0, 0]
+
+
 def test_special_strings_are_cut_as_the_tokenizer_does():
     from tokenizers import Tokenizer
     import public_tokenizers

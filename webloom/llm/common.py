@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -72,6 +76,26 @@ def attached(rows: DataFrame, keys: list[str], facts: DataFrame, total: int, val
     return met.withColumn("_found", found).select(*rows.columns, *(F.col(f"_found.{v}").alias(v) for v in values))
 
 
+def units(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows of one unit after the other; the input is sorted by its first `keys` columns."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(i).to_numpy() for i in range(keys)])
+        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            this = tuple(key[:, lo])
+            if held and this != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = this
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def boxed(docs: DataFrame, *names: str) -> DataFrame:
     """docs' rows as one column, beside the columns named: what else docs has can't clash with an operator's own."""
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *names)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attached, boxed, discard, materialize, shuffle_parts, unboxed
+from .common import attached, boxed, discard, materialize, shuffle_parts, unboxed, units
 from .components import components, forest
 from .shingles import WordHashes, mixed, shingle_set
 
@@ -70,26 +70,6 @@ def mismatches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def units(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """The rows of one unit after the other; the input is sorted by its first `keys` columns."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = np.stack([batch.column(i).to_numpy() for i in range(keys)])
-        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-        for lo, hi in zip(cuts, cuts[1:]):
-            this = tuple(key[:, lo])
-            if held and this != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(lo, hi - lo))
-            last = this
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def blocked(members: DataFrame, group: str, count: str, block: int = BLOCK) -> DataFrame:
     """Adds i, j, mine: a group of more than `block` members is dealt to blocks, and each pair of blocks is a unit.
 

@@ -8,11 +8,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ranked
+from .common import discard, materialize, ranked, shuffle_parts, units
 from .tokens import byte_bpe
 
 
@@ -129,27 +128,30 @@ def tokenized(doc_ids: pa.Array, texts: pa.Array, end_id: int, paths: tuple) ->
         yield doc_id, np.append(bpe.ids(text or ""), np.uint32(end_id))
 
 
-def pack(docs: DataFrame, *, cap: int = 1024, end_id: int = 2, tokenizer: tuple = ()) -> DataFrame:
-    """Packs all documents into as few sequences of `cap` tokens as best-fit decreasing finds, over the whole table.
-
-    Returns a row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+def packing(docs: DataFrame, cap: int, end_id: int, tokenizer: tuple, id_bytes: int | None = None) -> DataFrame:
+    """A row per piece with its sequence_id and offset, by best-fit decreasing over the whole table. With id_bytes, pieces carry their ids, each in as many bytes.
 
     The lengths' histogram (at most `cap` rows) is all that comes to the driver; each piece finds its place by its
-    rank among the pieces of its length. A null or empty text is one piece that holds `end_id` alone. Each row is
-    packed on its own, so a repeated row (or a null doc_id) is packed as often as it occurs; columns besides doc_id
-    and text are ignored, and an empty table gives no rows. Pieces of equal length go by doc_id, piece, start.
+    rank among the pieces of its length, which go by doc_id, piece, start and checksum: so the plan doesn't depend on
+    how rows are dealt to tasks.
     """
+    kind = None if id_bytes is None else np.dtype(f"<u{id_bytes}")
+    schema = PIECES if kind is None else PIECES.append(pa.field("ids", pa.binary()))
+    columns = "doc_id long, piece int, start long, length long, ids_crc32 long" + ("" if kind is None else ", ids binary")
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [
-                (doc_id, i, start, length, zlib.crc32(ids[start : start + length].astype("<u4").tobytes()))
-                for doc_id, ids in tokenized(*batch.columns, end_id, tokenizer)
-                for i, (start, length) in enumerate(cut(len(ids), cap))
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, PIECES.types)], schema=PIECES)
-
-    cut_up = materialize(docs.select("doc_id", "text").mapInArrow(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long"))
+            out = []
+            for doc_id, ids in tokenized(*batch.columns, end_id, tokenizer):
+                if kind is not None and len(ids) and int(ids.max()) > np.iinfo(kind).max:
+                    raise ValueError(f"id {ids.max()} doesn't fit into {id_bytes} bytes")
+                for i, (start, length) in enumerate(cut(len(ids), cap)):
+                    part = ids[start : start + length]
+                    row = (doc_id, i, start, length, zlib.crc32(part.astype("<u4").tobytes()))
+                    out.append(row if kind is None else (*row, part.astype(kind).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(schema), schema.types)], schema=schema)
+
+    cut_up = materialize(docs.select("doc_id", "text").mapInArrow(pieces, columns))
     counts = {r["length"]: r["n"] for r in cut_up.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most cap rows
     lengths = sorted(counts)
     first = np.cumsum([0] + [counts[n] for n in lengths])
@@ -161,77 +163,65 @@ def pack(docs: DataFrame, *, cap: int = 1024, end_id: int = 2, tokenizer: tuple
         for batch in batches:
             length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))
             bins, offsets = places.of(length, rank - before[length]) if batch.num_rows else (np.array([], np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(bins), pa.array(offsets)], names=[*PIECES.names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(schema)], pa.array(bins), pa.array(offsets)], names=[*schema.names, "sequence_id", "offset"])
 
     by_length = ranked(cut_up, [F.col(c) for c in ("length", "doc_id", "piece", "start", "ids_crc32")])
-    return by_length.mapInArrow(placed, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    discard(cut_up)
+    columns += ", sequence_id long, offset long"
+    return by_length.mapInArrow(placed, columns)
 
 
-#: Tokens after which a task packs what it holds: some ten MB, and thousands of sequences, so that few stay open.
-CHUNK = 1 << 21
+def pack(docs: DataFrame, *, cap: int = 1024, end_id: int = 2, tokenizer: tuple = ()) -> DataFrame:
+    """Packs all documents into as few sequences of `cap` tokens as best-fit decreasing finds, over the whole table.
 
+    Returns a row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-def pack_matrices(docs: DataFrame, *, cap: int = 1024, end_id: int = 50256, pad_id: int = 50256, tokenizer: tuple = (), chunk: int = CHUNK) -> DataFrame:
-    """Rows of packed id matrices, made where the documents lie: no shuffle.
+    A null or empty text is one piece that holds `end_id` alone. Each row is packed on its own, so a repeated row (or a
+    null doc_id) is packed as often as it occurs; columns besides doc_id and text are ignored, and an empty table gives
+    no rows. Pieces of equal length go by doc_id, piece, start.
+    """
+    return packing(docs, cap, end_id, tokenizer)
 
-    Each task packs every `chunk` tokens by best-fit decreasing. A document over `cap` ids is cut into pieces as in
-    `pack`, losslessly: doc_ids, starts and cu_seqlens say which ids of which document each segment holds.
 
-    Returns a row per sequence: sequence_id, n_tokens, input_ids (cap little-endian uint16, padded with pad_id),
-    position_ids (cap little-endian uint16, from 0 anew in each segment and in the padding), cu_seqlens (from 0, one more entry than
-    segments), doc_ids and starts of the segments. Null texts, repeated rows, clashing columns and empty tables are treated as in `pack`.
-    """
+MATRIX = "sequence_id long, n_tokens long, input_ids binary, position_ids binary, cu_seqlens array<int>, doc_ids array<long>, starts array<long>"
 
-    def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, tokens, base = [], 0, TaskContext.get().partitionId() << 33
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, tokens, base
-            held.sort(key=lambda x: (-len(x[2]), x[0] is None, x[0] or 0, x[1]))
-            length = np.array([len(x[2]) for x in held], dtype=np.int64)
-            kinds, first, counts = np.unique(-length, return_index=True, return_counts=True)
-            moves = best_fit_decreasing(dict(zip((-kinds).tolist(), counts.tolist())), cap)
-            k = np.arange(len(held)) - np.repeat(first, counts)
-            bins, offsets = Places(moves).of(length, k)
-            n = int(bins.max()) + 1
-            ids, places = np.full((n, cap), pad_id, dtype="<u2"), np.zeros((n, cap), dtype="<u2")
-            steps = np.arange(cap, dtype="<u2")
-            order = np.lexsort((offsets, bins))
-            segments: list[list[int]] = [[] for _ in range(n)]
-            for i in order.tolist():
-                b, o, m = bins[i], offsets[i], length[i]
-                ids[b, o : o + m], places[b, o : o + m] = held[i][2], steps[:m]
-                segments[b].append(i)
-            full = np.bincount(bins, weights=length, minlength=n).astype(np.int64)
-            for b in range(n):
-                places[b, full[b] :] = steps[: cap - full[b]]
-            for lo in range(0, n, 1024):
-                part = range(lo, min(n, lo + 1024))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([base + b for b in part], pa.int64()), pa.array(full[lo : lo + 1024]),
-                        pa.array([ids[b].tobytes() for b in part], pa.binary()), pa.array([places[b].tobytes() for b in part], pa.binary()),
-                        pa.array([[0, *np.cumsum(length[segments[b]]).tolist()] for b in part], pa.list_(pa.int32())),
-                        pa.array([[held[i][0] for i in segments[b]] for b in part], pa.list_(pa.int64())),
-                        pa.array([[held[i][1] for i in segments[b]] for b in part], pa.list_(pa.int64())),
-                    ],
-                    names=["sequence_id", "n_tokens", "input_ids", "position_ids", "cu_seqlens", "doc_ids", "starts"],
-                )
-            base += n
-            held, tokens = [], 0
 
-        for batch in batches:
-            for doc_id, ids in tokenized(*batch.columns, end_id, tokenizer):
-                ids = ids.astype(np.uint16)
-                for start, n in cut(len(ids), cap):
-                    held.append((doc_id, start, ids[start : start + n]))
-                tokens += len(ids)
-                if tokens >= chunk:
-                    yield from flush()
-        if held:
-            yield from flush()
-
-    return docs.select("doc_id", "text").mapInArrow(packed, "sequence_id long, n_tokens long, input_ids binary, position_ids binary, cu_seqlens array<int>, doc_ids array<long>, starts array<long>")
+def pack_matrices(docs: DataFrame, *, cap: int = 1024, end_id: int = 50256, pad_id: int = 50256, tokenizer: tuple = (), id_bytes: int = 2) -> DataFrame:
+    """Rows of packed id matrices, by the plan of `pack`: over the whole table, whatever the partitions.
+
+    A document over `cap` ids is cut into pieces as in `pack`, losslessly: doc_ids, starts and cu_seqlens say which ids
+    of which document each segment holds. Pieces come together by their sequence, in one shuffle of the ids.
+
+    Returns a row per sequence: sequence_id, n_tokens, input_ids (cap little-endian numbers of id_bytes each, padded with
+    pad_id), position_ids (the same, from 0 anew in each segment and in the padding), cu_seqlens (from 0, one more entry
+    than segments), doc_ids and starts of the segments. Ids or places that id_bytes can't hold raise an error. Null
+    texts, repeated rows, clashing columns and empty tables are treated as in `pack`.
+    """
+    kind = np.dtype(f"<u{id_bytes}")
+    if max(pad_id, end_id, cap - 1) > np.iinfo(kind).max:
+        raise ValueError(f"id_bytes = {id_bytes} can't hold pad_id, end_id or cap")
+
+    def matrices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps = np.arange(cap, dtype=kind)
+        rows: list[tuple] = []
+        for unit in units(batches, 1):
+            parts = unit.select(["offset", "length", "doc_id", "start", "ids"]).to_pydict()
+            order = sorted(range(unit.num_rows), key=parts["offset"].__getitem__)
+            lengths, ids = [parts["length"][i] for i in order], b"".join(parts["ids"][i] for i in order)
+            full = sum(lengths)
+            places = np.concatenate([*(steps[:n] for n in lengths), steps[: cap - full]])
+            rows.append((unit.column("sequence_id")[0].as_py(), full, ids + np.full(cap - full, pad_id, dtype=kind).tobytes(), places.tobytes(), [0, *np.cumsum(lengths).tolist()], [parts["doc_id"][i] for i in order], [parts["start"][i] for i in order]))
+            if len(rows) >= 1024:
+                yield batch_of(rows)
+                rows = []
+        yield batch_of(rows)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, types)], names=[f.split()[0] for f in MATRIX.split(", ")])
+
+    placed = packing(docs, cap, end_id, tokenizer, id_bytes).select("sequence_id", "offset", "length", "doc_id", "start", "ids")
+    return placed.repartition(shuffle_parts(docs.sparkSession), "sequence_id").sortWithinPartitions("sequence_id").mapInArrow(matrices, MATRIX)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:

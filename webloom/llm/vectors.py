@@ -10,9 +10,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attached, materialize, shuffle_parts
+from .common import attached, materialize, shuffle_parts, units
 from .components import components, forest
-from .minhash import blocked, units
+from .minhash import blocked
 
 #: Bits of a code that one Hamming table indexes.
 SUB = 16

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator and stage."""
 
 import hashlib
+import math
 import random
 import time
 import zlib
@@ -398,22 +399,47 @@ def test_url_parts_and_rules(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
 
 
-def test_url_scores_against_plain_loops(spark):
+def mean_difference(url, models):
+    """The mean log ratio of a url's characters under two models, each a counter of (context, character), by plain loops."""
+    text, out = "\x02" * 6 + (url or "") + "\x03", []
+    for i in range(6, len(text)):
+        p = [1 / 0x110000] * 2
+        for k in range(7):
+            context = text[i - k : i]
+            for m, model in enumerate(models):
+                followers = model.get(context, {})
+                n = sum(followers.values())
+                if n >= 2:
+                    p[m] = (followers.get(text[i], 0) + len(followers) * p[m]) / (n + len(followers))
+        out.append(round((math.log(p[0]) - math.log(p[1])) * 1e6))
+    return math.floor(sum(out) / len(out))
+
+
+def test_url_scores_thresholds_and_verdicts_against_plain_loops(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    rows = urls.judge(pages).collect()
+    extra = spark.createDataFrame([(-1, None), (-2, ""), (-3, "äöü𝔘/x"), (-4, "http://m.unseen.net/q")], "page_id long, url string")
+    pages = pages.select("page_id", "url").unionByName(extra)
+    rows = {r.page_id: r for r in urls.judge(pages).collect()}
     url = {r.page_id: r.url for r in pages.collect()}
-    fold = lambda u: "^^" + "".join("0" if c.isdigit() else c if c in urls.ALPHABET[:-3] else "!" for c in u.lower()) + "$"
-    counts = {"allow": np.zeros((urls.V,) * 3), "block": np.zeros((urls.V,) * 3)}
-    for r in rows:
-        if r.rule:
-            code = [urls.ALPHABET.index(c) for c in fold(url[r.page_id])]
-            for t in zip(code, code[1:], code[2:]):
-                counts[r.verdict][t] += 1
-    ratio = np.rint((urls.log_probabilities(counts["allow"]) - urls.log_probabilities(counts["block"])) * 1e6)
-    assert np.allclose(np.exp(urls.log_probabilities(counts["allow"])).sum(-1), 1)
-    for r in rows:
-        code = [urls.ALPHABET.index(c) for c in fold(url[r.page_id])]
-        assert r.score == int(np.floor(sum(ratio[t] for t in zip(code, code[1:], code[2:])) / (len(code) - 2)))
+    hosts = spark.createDataFrame([(h,) for h in {r.host for r in rows.values()}], "host string")
+    held = {r.host for r in hosts.where(F.expr("pmod(xxhash64(host), 5) = 0")).collect()}
+    models = [{}, {}]
+    for i, r in rows.items():
+        if r.rule and r.host not in held:
+            text = "\x02" * 6 + url[i] + "\x03"
+            for at in range(6, len(text)):
+                for k in range(7):
+                    models[r.verdict == "block"].setdefault(text[at - k : at], Counter())[text[at]] += 1
+    assert all(models) and {r.verdict for r in rows.values() if r.rule and r.host in held} == {"allow", "block"}
+    for i, r in rows.items():
+        assert abs(r.score - mean_difference(url[i], models)) <= 1
+    test = [(r.score, r.verdict == "allow") for r in rows.values() if r.rule and r.host in held]
+    right = lambda level: sum(s >= level for s, ok in test if ok) / sum(ok for _, ok in test) + sum(s < level for s, ok in test if not ok) / sum(not ok for _, ok in test)
+    others = [r for r in rows.values() if not r.rule]
+    low, high = max((r.score for r in others if r.verdict == "block"), default=-(10**9)), min((r.score for r in others if r.verdict == "allow"), default=10**9)
+    assert low < high
+    best = max(right(s // 1000 * 1000) for s, _ in test)
+    assert max(right(x // 1000 * 1000) for x in (low + 1000, high)) >= best - 1e-9
 
 
 def test_url_models_tell_kinds_apart_that_they_have_not_seen(spark):
@@ -488,6 +514,12 @@ def test_cues_after_a_run_count(spark):
     assert len(out) == 100 and all(r.is_secret == bool(r.doc_id % 2) for r in out)
 
 
+def test_urls_take_any_columns_and_no_rows(spark):
+    wide = spark.createDataFrame([(1, "http://a.org/x"), (1, "http://a.org/x"), (None, None)], "page_id long, url string").select("*", *(F.lit(1).alias(c) for c in ("host", "row", "framed", "n", "score", "key")))
+    assert Counter((r.page_id, r.host, r.verdict) for r in urls.judge(wide).collect()) == {(1, "a.org", "allow"): 2, (None, "", "allow"): 1}
+    assert urls.judge(wide.limit(0)).collect() == []
+
+
 def test_stages_each_and_all(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     at = docs

@@ -67,10 +67,11 @@ def attached(rows: DataFrame, keys: list[str], facts: DataFrame, total: int, val
     null = F.lit(False)
     for k in keys:
         null |= F.col(k).isNull()
+    types = {f.name: f.dataType for f in rows.schema.fields}
     away = F.col("_hot").isNotNull() | null
     marked = marked.withColumn("_away", away)
     for i, k in enumerate(keys):
-        marked = marked.withColumn(f"_{k}", F.when(F.col("_away"), spread if i == 0 else F.lit(0)).otherwise(F.col(k)))
+        marked = marked.withColumn(f"_{k}", F.when(F.col("_away"), (F.lit(0) if i else spread).cast(types[k])).otherwise(F.col(k)))
     met = marked.join(rest, [F.col(f"_{k}") == F.col(f"__{k}") for k in keys], "left")
     found = F.when(F.col("_hot").isNotNull(), F.col("_hot")).when(~F.col("_away"), F.col("_rest"))
     return met.withColumn("_found", found).select(*rows.columns, *(F.col(f"_found.{v}").alias(v) for v in values))

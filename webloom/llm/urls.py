@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-import json
 import string
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import attached, discard, materialize
+
 #: rule, verdict
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-#: What a folded url is written in: letters, 0 for any digit, signs, ! for all else, and its two ends.
-ALPHABET = string.ascii_lowercase + "0-._/:?=&#%~+@" + "!^$"
-V = len(ALPHABET)
+#: The longest context, in characters, and how often one must have been seen to be used.
+ORDER, SUPPORT = 6, 2
+#: Stand before a url's first character, and after its last.
+START, END = "\x02", "\x03"
+#: What a character is worth that a model has never seen: one of all code points.
+FLOOR = 1 / 0x110000
+#: One in so many hosts is kept from the models, for the threshold.
+HELD = 5
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -31,75 +36,107 @@ def longest_rule(host: Column, path: Column, rules: tuple) -> Column:
     return found
 
 
-def folded(url: Column) -> Column:
-    """The url in ALPHABET, with two starts and an end, so that each character has a context."""
-    low = F.translate(F.lower(F.coalesce(url, F.lit(""))), string.digits, "0" * 10)
-    return F.concat(F.lit("^^"), F.regexp_replace(low, r"[^a-z0\-._/:?=&#%~+@]", "!"), F.lit("$"))
+def framed(url: Column) -> Column:
+    """The url, as it is, with ORDER starts and an end, so that each character has a full context."""
+    return F.concat(F.lit(START * ORDER), F.coalesce(url, F.lit("")), F.lit(END))
+
+
+def grams(rows: DataFrame, *columns: str) -> DataFrame:
+    """columns and gram: each character of the framed url behind its ORDER characters of context."""
+    return rows.select(*columns, F.explode(F.expr(f"transform(sequence(1, length(framed) - {ORDER}), i -> substring(framed, i, {ORDER + 1}))")).alias("gram"))
 
 
-def log_probabilities(counts: np.ndarray) -> np.ndarray:
-    """ln P(c | a, b) for all three characters, from trigram counts [a, b, c].
+def learned(urls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Markov models of all orders up to ORDER, of the urls that rules allow and of those they block.
 
-    Orders mix by how many different characters have followed a context: the more, the more the shorter context counts.
+    The first table has how often each character (the last of key) has followed each context (the rest) in either kind
+    (allow, block); the second, per context, how often it was seen (allow_n, block_n) and how many different
+    characters followed it (allow_kinds, block_kinds). Both grow with the urls; they stay tables.
     """
-    p = (counts.sum((0, 1)) + 0.5) / (counts.sum() + 0.5 * V)
-    for table in (counts.sum(0), counts):
-        total, kinds = table.sum(-1, keepdims=True), np.maximum(1, (table > 0).sum(-1, keepdims=True))
-        p = (table + kinds * p) / (total + kinds)
-    return np.log(p)
+    of = lambda kind: F.sum(F.when(F.col("ruled") == kind, F.col("n")).otherwise(0)).alias(kind)
+    whole = grams(urls, "ruled", "n").groupBy("gram").agg(of("allow"), of("block"))
+    cut = F.expr(f"transform(sequence(0, {ORDER}), k -> substring(gram, {ORDER + 1} - k))")
+    follow = materialize(whole.select(F.explode(cut).alias("key"), "allow", "block").groupBy("key").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")))
+    context = F.expr("left(key, length(key) - 1)").alias("context")
+    seen = follow.groupBy(context).agg(*(x for kind in ("allow", "block") for x in (F.sum(kind).alias(f"{kind}_n"), F.count_if(F.col(kind) > 0).alias(f"{kind}_kinds"))))
+    return follow, materialize(seen)
 
 
-def learned(pages: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """Trigram counts of all urls that a rule allows and of all that one blocks; None if either has none.
+def gram_scores(asked: DataFrame, follow: DataFrame, seen: DataFrame) -> DataFrame:
+    """gram, n, score: millionths of ln P(last character | the others), allowed less blocked, for each gram asked (gram, n).
 
-    At most V^3 rows (some 80,000) come to the driver, however many the urls.
+    A context counts if it was seen SUPPORT times. By how much a longer one counts against a shorter depends on how
+    many different characters have followed it: that is how likely one escapes to the shorter context.
     """
-    gram = F.explode(F.transform(F.sequence(F.lit(1), F.length("folded") - 2), lambda i: F.substring(F.col("folded"), i, F.lit(3))))
-    ruled = pages.where("ruled is not null").select("ruled", gram.alias("gram")).groupBy("ruled", "gram").agg(F.count("*").alias("n"))
-    counts = {v: np.zeros((V, V, V)) for v in ("allow", "block")}
-    for r in ruled.collect():
-        counts[r.ruled][tuple(map(ALPHABET.index, r.gram))] = r.n
-    return (counts["allow"], counts["block"]) if all(c.any() for c in counts.values()) else None
+    cut = F.expr(f"transform(sequence(0, {ORDER}), k -> substring(gram, {ORDER + 1} - k))")
+    x = asked.select("gram", F.posexplode(cut).alias("k", "key")).withColumn("context", F.expr("left(key, length(key) - 1)"))
+    total = asked.count() * (ORDER + 1)
+    for key, facts in (("key", follow), ("context", seen)):
+        values = [c for c in facts.columns if c != key]
+        x = attached(x, [key], x.groupBy(key).agg(F.count("*").alias("n")).join(facts, key), total, values, F.xxhash64("gram", "k"))
+    levels = x.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("k", *follow.columns[1:], *seen.columns[1:]))).alias("levels"))
+    chance = lambda kind: F.expr(f"aggregate(levels, {FLOOR!r}D, (p, l) -> if(coalesce(l.{kind}_n, 0) < {SUPPORT}, p, (coalesce(l.{kind}, 0) + l.{kind}_kinds * p) / (l.{kind}_n + l.{kind}_kinds)))")
+    score = F.round((F.log(chance("allow")) - F.log(chance("block"))) * 1e6).cast("long")
+    return asked.join(levels.select("gram", score.alias("score")), "gram")
+
+
+def scores(urls: DataFrame, fit: DataFrame) -> DataFrame:
+    """uid, score of each url: the mean of its characters' scores, rounded down; models are learned on fit (framed, ruled, n)."""
+    follow, seen = learned(fit)
+    asked = materialize(grams(urls).groupBy("gram").agg(F.count("*").alias("n")))
+    scored = materialize(gram_scores(asked, follow, seen))
+    total = asked.agg(F.sum("n")).first()[0] or 0
+    places = attached(grams(urls, "uid"), ["gram"], scored, total, ["score"], F.xxhash64("uid", "gram"))
+    out = materialize(places.groupBy("uid").agg(F.floor(F.sum("score") / F.count("*")).cast("long").alias("score")))
+    for stored in (follow, seen, asked, scored):
+        discard(stored)
+    return out
 
 
 def judge(pages: DataFrame, *, rules: tuple = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, score (millionths of the mean log-likelihood difference a character).
 
     The longest rule that fits decides. Other urls are allowed if their characters are likelier, by the mean, under the
-    model of the urls that rules allow than under that of those they block; by how much is calibrated on all urls with
-    a rule, for the best mean of both kinds' accuracy. If one kind has no url, all without a rule are allowed.
+    model of the urls that rules allow than under that of those they block. The models are variable-order: contexts of
+    up to ORDER characters, as long as they were seen. One in HELD hosts is kept from them; the threshold is the one
+    that tells the ruled urls of these hosts apart best. If they lack one kind, all hosts teach and calibrate; if all
+    do, urls without a rule are allowed.
 
     Null urls, and such without ://, have an empty host and path, no rule, and are scored as they are. Each row is
     judged by itself (repeated rows and null ids stay), other columns are ignored, an empty table gives no rows.
     """
     verdicts = F.create_map(*(F.lit(x) for rule in rules for x in rule))
     host, path = host_and_path(F.col("url"))
-    parted = pages.select("page_id", host.alias("host"), path.alias("path"), folded(F.col("url")).alias("folded"))
+    parted = pages.select("page_id", host.alias("host"), path.alias("path"), framed(F.col("url")).alias("framed"))
     parted = parted.withColumn("rule", longest_rule(F.col("host"), F.col("path"), rules)).withColumn("ruled", verdicts[F.col("rule")])
-    counts = learned(parted)
-    if counts is None:
+    urls = parted.groupBy("framed", "host", "ruled").agg(F.count("*").alias("n"))
+    urls = materialize(urls.withColumn("held", F.pmod(F.xxhash64("host"), F.lit(HELD)) == 0).withColumn("uid", F.monotonically_increasing_id()))
+    ruled = urls.where("ruled is not null")
+    kinds = ruled.agg(*(F.count_if((F.col("ruled") == kind) & test) for test in (F.lit(True), F.col("held"), ~F.col("held")) for kind in ("allow", "block"))).first()
+    if not all(kinds[:2]):
         return parted.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"), F.lit(0).cast("long").alias("score"))
-    ratio = log_probabilities(counts[0]) - log_probabilities(counts[1])
-    table = F.from_json(F.lit(json.dumps(np.rint(ratio.ravel() * 1e6).astype(int).tolist())), "array<bigint>")
-    coded = parted.withColumn("codes", F.transform(F.split("folded", ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1))
-    at = lambda i: F.get(F.col("codes"), i)
-    places = F.transform(F.sequence(F.lit(0), F.size("codes") - 3), lambda i: (at(i) * V + at(i + 1)) * V + at(i + 2))
-    total = F.aggregate(places, F.lit(0).cast("long"), lambda sum_, place: sum_ + F.get(table, place))
-    scored = coded.withColumn("score", F.floor(total / (F.size("codes") - 2)).cast("long"))
-    level = calibrated(scored)
+    apart = all(kinds)
+    scored = scores(urls, ruled.where(~F.col("held")) if apart else ruled)
+    level = calibrated((ruled.where("held") if apart else ruled).join(scored, "uid"))
+    total = urls.agg(F.sum("n")).first()[0]
+    by_url = materialize(urls.select("framed", "n", "uid").join(scored, "uid").select("framed", "n", "score"))
+    numbered = parted.withColumn("row", F.monotonically_increasing_id())
+    out = attached(numbered, ["framed"], by_url, total, ["score"], F.col("row"))
     verdict = F.coalesce("ruled", F.when(F.col("score") >= level, "allow").otherwise("block"))
-    return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
+    return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
 
 
 def calibrated(scored: DataFrame, step: int = 1000) -> int:
     """The threshold, in steps, with the best mean of the shares of both kinds that it puts on their side; of equal ones, the middle."""
-    bins = scored.where("ruled is not null").groupBy(F.floor(F.greatest(F.least(F.col("score"), F.lit(20_000_000)), F.lit(-20_000_000)) / step).alias("bin")).agg(F.count_if(F.col("ruled") == "allow").alias("good"), F.count_if(F.col("ruled") == "block").alias("bad"))
-    rows = sorted((r.bin, r.good, r.bad) for r in bins.collect())  # at most 40,001
+    limit = 20_000_000
+    place = F.floor(F.greatest(F.least(F.col("score"), F.lit(limit)), F.lit(-limit)) / step).alias("place")
+    of = lambda kind: F.sum(F.when(F.col("ruled") == kind, F.col("n")).otherwise(0)).alias(kind)
+    rows = sorted(map(tuple, scored.groupBy(place).agg(of("allow"), of("block")).collect()))  # at most 40,001
     good, bad = sum(r[1] for r in rows), sum(r[2] for r in rows)
     best, level, passed_good, passed_bad, before = -1.0, 0, 0, 0, rows[0][0]
-    for place, g, b in rows:
+    for at, g, b in rows:
         gain = (good - passed_good) / good + passed_bad / bad
         if gain > best + 1e-12:
-            best, level = gain, (before + place + 1) // 2 * step
-        passed_good, passed_bad, before = passed_good + g, passed_bad + b, place
+            best, level = gain, (before + at + 1) // 2 * step
+        passed_good, passed_bad, before = passed_good + g, passed_bad + b, at
     return level

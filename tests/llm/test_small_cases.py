@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from webloom.llm import minhash, mixing, packing, quality, secrets, sharding, substrings, urls, vectors
+from webloom.llm import labelled, minhash, mixing, packing, quality, secrets, sharding, substrings, urls, vectors
 from webloom.llm.tokens import byte_bpe
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -451,44 +452,124 @@ def test_url_models_tell_kinds_apart_that_they_have_not_seen(spark):
     assert sum((r.verdict == "allow") == bool(r.page_id % 2) for r in held) >= 0.95 * len(held)
 
 
-def test_forest_on_held_out_findings(spark):
-    rng = random.Random(9)
-    secret = lambda: "".join(rng.choices("abcdef0123456789", k=40))
-    word = lambda: "".join(rng.choices(["the", "ing", "tion", "ness", "ment", "able"], k=6))
-    rows = [(i, f"intro of the thing ment token = {secret()} and {word()} end tion") for i in range(300)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    forest = secrets.train(docs.where("doc_id < 150"))
-    assert forest.trees
-    out = secrets.findings(docs.where("doc_id >= 150"), forest).collect()
-    good = sum(r.is_secret == (r.word_at == 7) for r in out)
-    assert len(out) >= 290 and good >= 0.98 * len(out)
-    left = secrets.redacted(docs.where("doc_id = 200"), forest).first().text
-    assert "[SECRET]" in left and rows[200][1].split()[7] not in left
+def python_features(known, row):
+    """The features of a candidate by plain loops, beside the SQL that the operator makes of them."""
+    run = row["run"]
+    inside, around = row["lead"] + run + row["trail"], row["prior"] + row["lead"] + " " + row["trail"]
+    kind = lambda c: "a" if c in labelled.LOWER else "A" if c in labelled.UPPER else "9" if c in labelled.DIGITS else "-"
+    changes = sum(kind(a) != kind(b) for a, b in zip(run, run[1:]))
+    has = lambda pattern, text: float(bool(re.search(pattern, text)))
+    low, covered, at, words = run.lower(), 0, 0, sorted(known.words, key=lambda w: (-len(w), w))
+    while at < len(low):
+        hit = next((w for w in words if low.startswith(w, at)), None)
+        covered, at = covered + len(hit or ""), at + len(hit or "x")
+    pairs = [(a, b) for a, b in zip(low, low[1:]) if a in labelled.LOWER and b in labelled.LOWER]
+    nearest = re.search("([A-Za-z0-9_]+)[^A-Za-z0-9_]*$", row["before"] + " " + row["prior"] + row["lead"])
+    share = lambda letters: sum(c in letters for c in run) / len(run)
+    return {
+        "length": len(run), "transitions": changes / len(run), "coverage": covered / len(run), "digits": share(labelled.DIGITS), "upper": share(labelled.UPPER), "separators": share("_+/=-"), "variety": len(set(run)) / len(run),
+        "bigrams": sum(known.bigrams[(ord(a) - 97) * 26 + ord(b) - 97] for a, b in pairs) / len(pairs) if pairs else -1e5, "hexadecimal": has("^([0-9a-f]+|[0-9A-F]+)$", run), "path": sum(c in "/.@:" for c in inside),
+        **{f"{name}_{place}": has(pattern, text) for name, pattern in (("cue", secrets.CUES), ("harmless", secrets.HARMLESS)) for place, text in (("before", row["before"]), ("inside", around), ("after", row["after"]), ("nearest", nearest[1] if nearest else ""))},
+        "assigned": max(has("[=:]$", row["before"]), has("[A-Za-z][^A-Za-z0-9]?[=:]", row["prior"] + row["lead"]), has("[=:][^A-Za-z0-9]*$", row["lead"]), has("^[A-Za-z_]{3,}=", run)),
+    }
+
+
+def python_candidates(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    for i, w in enumerate(words):
+        gaps, runs = re.split("[A-Za-z0-9_+/=-]{16,}", w), re.findall("[A-Za-z0-9_+/=-]{16,}", w)
+        for j, run in enumerate(runs):
+            yield {"at": i, "nth": j, "run": run, "prior": runs[j - 1][-200:] if j else "", "lead": gaps[j][-200:], "trail": gaps[j + 1][:200], "before": " ".join(words[max(0, i - 2) : i])[-200:], "after": " ".join(words[i + 1 : i + 3])[:200]}
+
+
+def grown(sql):
+    """A tree's SQL as a function of the features."""
+    tokens = iter(re.findall(r"CASE|WHEN|THEN|ELSE|END|<=|f\.\w+|-?[\d.]+(?:[eE][+-]?\d+)?D", sql))
+
+    def node(token):
+        if token != "CASE":
+            return lambda f, x=float(token[:-1]): x
+        name, limit = [next(tokens) for _ in range(4)][1:4:2]
+        assert next(tokens) == "THEN"
+        left = node(next(tokens))
+        assert next(tokens) == "ELSE"
+        right = node(next(tokens))
+        assert next(tokens) == "END"
+        return lambda f: left(f) if f[name[2:]] <= float(limit[:-1]) else right(f)
+
+    return node(next(tokens))
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secrets.train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+
+def scores(spark, forest, lines):
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    return {(r.doc_id, r.word_at, r.run_at): r for r in secrets.findings(docs, forest).collect()}
+
+
+def test_secret_scores_against_plain_loops(spark, forest):
+    lines = [f.text for f in labelled.made(forest.known.words, 300, 77)] + [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect()]
+    got, trees, seen = scores(spark, forest, lines), [grown(t) for t in forest.trees], 0
+    for i, text in enumerate(lines):
+        for c in python_candidates(text):
+            r = got[i, c["at"], c["nth"]]
+            f = python_features(forest.known, c)
+            score = sum(t(f) for t in trees) / len(trees)
+            assert abs(score - r.score) < 1e-5 and r.is_secret == (score >= 0.5) and r.run_sha256 == hashlib.sha256(c["run"].encode()).hexdigest()
+            seen += 1
+    assert seen == len(got) > 300
+
+
+def judged(spark, forest, lines):
+    got, out = scores(spark, forest, [f.text for f in lines]), Counter()
+    for i, f in enumerate(lines):
+        for c in python_candidates(f.text):
+            if c["run"] in f.runs:
+                out[f.label, got[i, c["at"], c["nth"]].is_secret] += 1
+    return out
 
 
-def test_rare_secrets_of_a_large_table_train_the_forest(spark):
-    rows = spark.range(120_000).select(F.col("id").alias("doc_id"), F.expr("""if(id % 24000 = 7, concat('token = "', left(sha2(string(id), 256), 40), '"'),
-        concat('thing ', translate(left(sha2(string(id % 300), 256), 20), '0123456789', 'ghijklmnop'), ' end'))""").alias("text"))
-    forest = secrets.train(rows)
-    assert forest.trees
-    out = secrets.findings(rows, forest).where("doc_id % 24000 = 7 or doc_id < 300").collect()
-    assert len(out) == 304 and all(r.is_secret == (r.doc_id % 24000 == 7) for r in out)
+def test_forest_on_findings_that_it_has_not_seen(spark, forest):
+    n = judged(spark, forest, labelled.made(forest.known.words, 1500, 99))
+    assert n[1, True] >= 0.97 * (n[1, True] + n[1, False]) and n[1, True] >= 0.97 * (n[1, True] + n[0, True])
+
+
+def test_forest_on_formats_that_it_has_not_seen(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for family, label in (("prefixed", 1), ("web_token", 1), ("uuids", 0), ("paths", 0)):
+        forest = secrets.train(docs, without=(family,))
+        n = judged(spark, forest, [f for f in labelled.made(forest.known.words, 1500, 99) if f.family == family])
+        assert n[label, bool(label)] >= 0.9 * sum(n.values()) > 10
+
+
+def test_known_lines(spark, forest):
+    rng = random.Random(5)
+    key = lambda letters, n: "".join(rng.choices(letters, k=n))
+    a, g, h = "AKIA" + key(labelled.UPPER + "234567", 16), "ghp_" + key(labelled.ALNUM, 36), key(labelled.HEX, 40)
+    yes = [a, f"see {a} here", g, f"{a}:{g}", f"https://x.example.com/a?t={g}", f'token = "{h}"', f"password={key(labelled.ALNUM, 22)}", "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4gRG9lIn0.SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"]
+    no = ["id 123e4567-e89b-12d3-a456-426614174000 ok", f"commit {h}", "com/organisation/settings", "user_account_settings_page", "----------------------", "9807915762804490"]
+    got = scores(spark, forest, yes + no)
+    assert all(r.is_secret == (i < len(yes)) for (i, _, _), r in got.items()) and {i for i, _, _ in got} == set(range(len(yes + no)))
+    left = [r.text for r in secrets.redacted(spark.createDataFrame(list(enumerate(yes)), "doc_id long, text string"), forest).collect()]
+    assert not any(x in t for x in (a, g, h) for t in left)
 
 
-def test_without_a_forest_cues_before_count_too(spark):
-    docs = spark.createDataFrame([(1, f'token = "{"0a1b" * 10}"')], "doc_id long, text string")
-    assert [r.is_secret for r in secrets.findings(docs).collect()] == [True]
+def test_rare_secrets_of_a_large_table_are_found(spark):
+    rows = spark.range(120_000).select(F.col("id").alias("doc_id"), F.expr("""if(id % 24000 = 7, concat('token = "', left(sha2(string(id), 256), 40), '"'),
+        concat('thing ', translate(left(sha2(string(id % 300), 256), 20), '0123456789', 'ghijklmnop'), ' end'))""").alias("text"))
+    out = secrets.findings(rows).where("doc_id % 24000 = 7").collect()
+    assert len(out) == 5 and all(r.is_secret for r in out)
 
 
-def test_every_run_of_a_word_is_a_candidate(spark):
+def test_every_run_of_a_word_is_a_candidate(spark, forest):
     rng = random.Random(10)
     key = lambda n=40: "".join(rng.choices("abcdef0123456789", k=n))
-    word = lambda: "".join(rng.choices(["the", "ing", "tion", "ness", "ment", "able"], k=6))
-    train = spark.createDataFrame([(i, f'the token = {key()} and {{"{word()}":"x","token":"{key()}"}}') for i in range(150)], "doc_id long, text string")
     a, b, c, d, e = (key() for _ in range(5))
     rows = [(1, f'{{"session_identifier":"x","token":"{a}"}}', ["session_identifier", a]), (2, f"see https://example.com/organisation/settings?token:{b}", ["com/organisation/settings", b]), (3, f'the token = "{c}","{d}"', [c, d]), (4, f"token: {e[:20]} {e}", [e[:20], e])]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
-    forest = secrets.train(train)
     out = secrets.findings(docs, forest).collect()
     want = {(i, hashlib.sha256(r.encode()).hexdigest()) for i, _, runs in rows for r in runs}
     assert {(r.doc_id, r.run_sha256) for r in out} == want and len(out) == len(want)

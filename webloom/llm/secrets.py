@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import SPACE_RUN, boxed, materialize, unboxed
+from .labelled import WORDS, Finding, made
 
 #: Each such run of a word is a candidate.
 RUN = "[A-Za-z0-9_+/=-]{16,}"
 #: So many characters of what stands around a run are looked at.
 NEAR = 200
-#: Formats of findings that are labelled secrets, and of such that are labelled none, where no labels are given.
-SECRET_FORMATS = ("AKIA[A-Z0-9]{16}", "(?i)(password|passwd|pwd|secret|token|api_?key)[=:][0-9a-zA-Z+/_-]{16,}", "gh[pousr]_[A-Za-z0-9]{36,}", "[0-9a-f]{40}")
-PLAIN_FORMATS = ("[A-Za-z_-]+", "[0-9]+")
-CUES = "(?i)pass|pwd|secret|token|key|auth|bearer|akia|cred"
-FEATURES = ("length", "transitions", "coverage", "digits", "variety", "path", "cue_before", "cue_inside", "cue_after", "assigned")
+CUES = "(?i)pass|pwd|secret|token|key|auth|bearer|cred"
+HARMLESS = "(?i)commit|revision|sha[0-9]|md5|checksum|etag|digest|hash|uuid|_id|build|merge|version|tree|fingerprint|object|index|base64|integrity"
+FEATURES = ("length", "transitions", "bigrams", "coverage", "digits", "upper", "separators", "hexadecimal", "variety", "path", "cue_before", "cue_inside", "cue_after", "cue_nearest", "harmless_before", "harmless_inside", "harmless_after", "harmless_nearest", "assigned")
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -37,88 +39,114 @@ def candidates(docs: DataFrame) -> DataFrame:
     return split.withColumn("found", F.expr(found)).drop("_words")
 
 
-def described(dictionary: list[str]) -> str:
+class Lexicon(NamedTuple):
+    """The dictionary, and ln P(letter | letter before) of its words, in ten-thousandths, for 26 x 26 letters."""
+
+    words: list[str]
+    bigrams: list[int]
+
+
+def lexicon(docs: DataFrame, words: int) -> Lexicon:
+    """The `words` most frequent words of three to eight letters of all documents, and the fixed words of names."""
+    frequent = docs.select(F.explode(F.split(F.lower("text"), SPACE_RUN)).alias("w")).where("w rlike '^[a-z]{3,8}$'")
+    found = [r.w for r in frequent.groupBy("w").count().orderBy(F.desc("count"), "w").limit(words).collect()]
+    both = list(dict.fromkeys([*found, *WORDS]))
+    counts = [[1] * 26 for _ in range(26)]
+    for w in (w for w in both if w.isascii() and w.isalpha()):
+        for a, b in zip(w, w[1:]):
+            counts[ord(a) - 97][ord(b) - 97] += 1
+    return Lexicon(both, [round(1e4 * math.log(n / sum(row))) for row in counts for n in row])
+
+
+def described(known: Lexicon) -> str:
     """SQL for the features of a candidate x: length, character transitions, dictionary coverage, path, neighbours."""
-    words = "|".join(sorted(dictionary, key=lambda w: (-len(w), w))) or "(?!)"
+    words = "|".join(sorted(known.words, key=lambda w: (-len(w), w)))
     edges = "(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[^A-Za-z0-9])(?=[A-Za-z0-9])"
+    around = "concat(x.prior, x.lead, ' ', x.trail)"
+    nearest = "regexp_extract(concat(x.before, ' ', x.prior, x.lead), '([A-Za-z0-9_]+)[^A-Za-z0-9_]*$', 1)"
+    share = lambda letters: f"1 - length(regexp_replace(x.run, '{letters}', '')) / length(x.run)"
+    pairs = "filter(transform(sequence(1, length(x.run) - 1), i -> translate(lower(substring(x.run, i, 2)), '0123456789_+/=-', '')), p -> length(p) = 2)"
+    table = f"array({', '.join(map(str, known.bigrams))})"
     features = {
         "length": "double(length(x.run))",
         "transitions": f"(length(regexp_replace(x.run, '{edges}', '#')) - length(x.run)) / length(x.run)",
+        "bigrams": f"aggregate(array({pairs}), -1e5D, (none, ps) -> if(size(ps) = 0, none, aggregate(ps, 0L, (s, p) -> s + {table}[(ascii(p) - 97) * 26 + ascii(substring(p, 2, 1)) - 97]) / size(ps)))",
         "coverage": f"1 - length(regexp_replace(lower(x.run), '{words}', '')) / length(x.run)",
-        "digits": "1 - length(regexp_replace(x.run, '[0-9]', '')) / length(x.run)",
+        "digits": share("[0-9]"),
+        "upper": share("[A-Z]"),
+        "separators": share("[_+/=-]"),
+        "hexadecimal": "double(x.run rlike '^([0-9a-f]+|[0-9A-F]+)$')",
         "variety": "size(array_distinct(split(x.run, ''))) / length(x.run)",
         "path": "double(length(concat(x.lead, x.run, x.trail)) - length(regexp_replace(concat(x.lead, x.run, x.trail), '[/.@:]', '')))",
         "cue_before": f"double(x.before rlike '{CUES}')",
-        "cue_inside": f"double(concat(x.prior, x.lead, x.run, x.trail) rlike '{CUES}')",
+        "cue_inside": f"double({around} rlike '{CUES}')",
         "cue_after": f"double(x.after rlike '{CUES}')",
-        "assigned": "double(x.before rlike '[=:]$' or concat(x.prior, x.lead, x.run, x.trail) rlike '[A-Za-z][=:]' or x.lead rlike '[=:][^A-Za-z0-9]*$')",
+        "cue_nearest": f"double({nearest} rlike '{CUES}')",
+        "harmless_before": f"double(x.before rlike '{HARMLESS}')",
+        "harmless_inside": f"double({around} rlike '{HARMLESS}')",
+        "harmless_after": f"double(x.after rlike '{HARMLESS}')",
+        "harmless_nearest": f"double({nearest} rlike '{HARMLESS}')",
+        "assigned": "double(x.before rlike '[=:]$' or concat(x.prior, x.lead) rlike '[A-Za-z][^A-Za-z0-9]?[=:]' or x.lead rlike '[=:][^A-Za-z0-9]*$' or x.run rlike '^[A-Za-z_]{3,}=')",
     }
     return "named_struct(" + ", ".join(f"'{k}', {features[k]}" for k in FEATURES) + ")"
 
 
-def format_label(run: Column) -> Column:
-    """1 for the formats of secrets, 0 for those of plain words and numbers, null for the rest."""
-    whole = lambda formats: F.coalesce(F.expr("run").rlike(f"^({'|'.join(formats)})$"), F.lit(False))
-    return F.when(whole(SECRET_FORMATS), 1.0).when(whole(PLAIN_FORMATS), 0.0)
-
-
 class SecretForest:
     """A random forest over the features, as SQL: trees are nested CASEs, so that scoring needs no join and no Python."""
 
-    def __init__(self, dictionary: list[str], trees: list[str]):
-        self.dictionary, self.trees = dictionary, trees
+    def __init__(self, known: Lexicon, trees: list[str]):
+        self.known, self.trees = known, trees
 
     @property
     def probability(self) -> str:
         """SQL over a struct f of the features."""
-        return f"({' + '.join(self.trees)}) / {len(self.trees)}" if self.trees else "greatest(f.cue_before, f.cue_inside, f.cue_after) * double(f.digits > 0)"
+        return f"({' + '.join(self.trees)}) / {len(self.trees)}"
 
     @staticmethod
     def tree(node) -> str:
         if node.subtreeDepth() == 0:
             stats = list(node.impurityStats().stats())
-            return f"{stats[1] / sum(stats):.6f}D" if len(stats) > 1 and sum(stats) else "0D"
+            return f"{stats[1] / sum(stats):.6f}D"
         split = node.split()
         return f"CASE WHEN f.{FEATURES[split.featureIndex()]} <= {split.threshold()!r}D THEN {SecretForest.tree(node.leftChild())} ELSE {SecretForest.tree(node.rightChild())} END"
 
 
-def train(docs: DataFrame, labels: DataFrame | None = None, *, max_findings: int = 10_000, trees: int = 20, depth: int = 5, words: int = 400, seed: int = 5) -> SecretForest:
+def labelled_candidates(spark: SparkSession, lines: list[Finding]) -> DataFrame:
+    """run, label, x of the labelled runs of made-up lines."""
+    table = spark.createDataFrame([(f.text, list(f.runs), float(f.label)) for f in lines], "text string, runs array<string>, label double")
+    found = candidates(table).select("runs", "label", F.explode("found").alias("x"))
+    return found.where("array_contains(runs, x.run)").select("x.run", "label", F.col("x").dropFields("at", "nth").alias("x"))
+
+
+def train(docs: DataFrame, labels: DataFrame | None = None, *, max_findings: int = 10_000, made_up: int = 6_000, trees: int = 30, depth: int = 8, words: int = 400, seed: int = 5, without: tuple[str, ...] = ()) -> SecretForest:
     """Fits the forest on labelled findings.
 
-    labels: run, label (1 a secret, 0 none). Without it, findings are labelled by their format; formats aren't
-    features, so the forest also judges what has none. All documents are read, whatever their number: the dictionary
-    holds their `words` most frequent words of three to eight letters, and only the labelled findings are bounded, to
-    the `max_findings` of each label with the lowest hashes. A run found in several places counts by its least
-    surroundings. If the whole table has findings of one label only, no forest is fitted: those with a cue and digits
-    pass.
+    labels: run, label (1 a secret, 0 none), for runs in docs; a run found in several places counts by its least
+    surroundings, and of more than `max_findings` of a label those with the lowest hashes count. `made_up` findings
+    of `labelled` are learned beside them (but not the families in `without`), so that the forest always knows both
+    kinds; a table without labels is judged by these alone. The dictionary is drawn from all documents.
     """
-    frequent = docs.select(F.explode(F.split(F.lower("text"), SPACE_RUN)).alias("w")).where("w rlike '^[a-z]{3,8}$'")
-    dictionary = [r.w for r in frequent.groupBy("w").count().orderBy(F.desc("count"), "w").limit(words).collect()]
-    found = candidates(docs.select("text")).select(F.explode("found").alias("x")).select("x.run", F.col("x").dropFields("at", "nth").alias("x"))
-    if labels is None:
-        found = found.withColumn("label", format_label(F.col("run")))
-    else:
-        found = found.join(labels.select("run", F.col("label").cast("double").alias("label")).dropDuplicates(["run"]), "run")
-    found = found.where("label in (0, 1)").groupBy("run", "label").agg(F.min("x").alias("x"))
-    found = materialize(found.withColumn("hash", F.xxhash64("run")))
-    counts = {r.label: r["count"] for r in found.groupBy("label").count().collect()}
-    if len(counts) < 2:
-        return SecretForest(dictionary, [])
-    kinds = []
-    for label, n in sorted(counts.items()):
-        # half as many again as are taken pass this, so that the task that takes them doesn't see what grows with docs
-        cut = min((1 << 63) - 1, int((1.5 * max_findings + 200) / n * (1 << 64)) - (1 << 63))
-        kinds.append(found.where((F.col("label") == label) & (F.col("hash") <= F.lit(cut).cast("long"))).orderBy("hash", "run").limit(max_findings))
-    both = kinds[0].unionByName(kinds[1]).orderBy("run").coalesce(1)  # bounded; the order makes reruns agree
-    both = both.select("label", F.expr(described(dictionary)).alias("f")).select("label", *(F.col(f"f.{c}") for c in FEATURES))
+    spark = docs.sparkSession
+    known = lexicon(docs, words)
+    both = labelled_candidates(spark, made(known.words, made_up, seed, without)).select("run", "label", "x")
+    if labels is not None:
+        named = labels.where("label in (0, 1)").select("run", F.col("label").cast("double").alias("label")).dropDuplicates(["run"])
+        found = candidates(docs.select("text")).select(F.explode("found").alias("x")).select("x.run", F.col("x").dropFields("at", "nth").alias("x"))
+        found = materialize(found.join(named, "run").groupBy("run", "label").agg(F.min("x").alias("x")).withColumn("hash", F.xxhash64("run")))
+        for label, n in sorted((r.label, r["count"]) for r in found.groupBy("label").count().collect()):
+            # half as many again as are taken pass this, so that the task that takes them doesn't see what grows with docs
+            cut = min((1 << 63) - 1, int((1.5 * max_findings + 200) / n * (1 << 64)) - (1 << 63))
+            both = both.unionByName(found.where((F.col("label") == label) & (F.col("hash") <= F.lit(cut).cast("long"))).orderBy("hash", "run").limit(max_findings).drop("hash"))
+    both = both.orderBy("run", "label").coalesce(1)  # bounded; the order makes reruns agree
+    both = both.select("label", F.expr(described(known)).alias("f")).select("label", *(F.col(f"f.{c}") for c in FEATURES))
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(both).select("label", "features")
-    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=2).fit(rows)
-    return SecretForest(dictionary, [SecretForest.tree(t._java_obj.rootNode()) for t in model.trees])
+    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=5).fit(materialize(rows))
+    return SecretForest(known, [SecretForest.tree(t._java_obj.rootNode()) for t in model.trees])
 
 
 def scanned(docs: DataFrame, forest: SecretForest, threshold: float = 0.5) -> DataFrame:
     """Adds `secrets`: the candidates of each text with their score, and whether they are kept as findings."""
-    scored = f"""transform(transform(found, x -> named_struct('x', x, 'f', {described(forest.dictionary)})),
+    scored = f"""transform(transform(found, x -> named_struct('x', x, 'f', {described(forest.known)})),
         y -> named_struct('at', y.x.at, 'nth', y.x.nth, 'run', y.x.run, 'score', transform(array(y.f), f -> {forest.probability})[0]))"""
     return candidates(docs).withColumn("secrets", F.expr(f"transform({scored}, s -> named_struct('at', s.at, 'nth', s.nth, 'run', s.run, 'score', s.score, 'is_secret', s.score >= {threshold}))")).drop("found")
 

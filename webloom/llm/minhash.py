@@ -21,7 +21,9 @@ BLOCK = 1024
 #: Members of a large bucket, about, that are compared with all of its parts.
 LEADERS = 32
 #: Rows of one text that meet it in one task.
-MEETING = 256
+MEETING = 64
+#: Members of a candidate group up to which it is one unit, instead of one in each bucket that they share.
+GROUP = 256
 
 
 class Signer:
@@ -176,22 +178,25 @@ def with_texts(rows: DataFrame, texts: DataFrame, salt: Column) -> DataFrame:
 
 
 def verified_edges(edges: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the edges whose full sets are similar enough."""
+    """Those of the edges (a, b) whose full sets are similar enough. The edges of one a, MEETING at a time, are checked together."""
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, out = WordHashes(), []
+        memo = WordHashes()
         for unit in units(batches, 2):
-            if unit.num_rows < 2:
-                continue
-            x, y = (shingle_set(words(t), k, memo) for t in unit.column("text").to_pylist()[:2])
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= percent * (len(x) + len(y) - both):
-                out.append((unit.column("a")[0].as_py(), unit.column("b")[0].as_py()))
-        yield pa.RecordBatch.from_arrays([pa.array([e[i] for e in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            a, ids = unit.column("a")[0].as_py(), unit.column("cls").to_pylist()
+            sets = [shingle_set(words(t), k, memo) for t in unit.column("text").to_pylist()]
+            x, out = sets[ids.index(a)], []
+            for other, y in zip(ids, sets):
+                both = len(np.intersect1d(x, y, assume_unique=True)) if other != a else 0
+                if other != a and 100 * both >= percent * (len(x) + len(y) - both):
+                    out.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array([a] * len(out), pa.int64()), pa.array(out, pa.int64())], names=["a", "b"])
 
-    ends = with_texts(edges.select("a", "b", F.explode(F.array("a", "b")).alias("cls")), texts, F.xxhash64("a", "b"))
-    ends = ends.select("a", "b", "text").repartition(shuffle_parts(edges.sparkSession), "a", "b").sortWithinPartitions("a", "b")
-    return ends.mapInArrow(confirm, "a long, b long")
+    degrees = edges.groupBy("a").agg(F.count("*").alias("n")).withColumn("times", F.ceil(F.col("n") / MEETING).cast("int"))
+    salted = materialize(attached(edges.select("a", "b"), ["a"], degrees, edges.count(), ["times"], F.col("b")).select("a", F.pmod(F.xxhash64("b"), F.col("times")).cast("int").alias("s"), "b"))
+    ends = salted.select("a", "s", F.col("b").alias("cls")).unionByName(salted.select("a", "s", F.col("a").alias("cls")).distinct())
+    ready = with_texts(ends, texts, F.xxhash64("a", "s"))
+    return ready.repartition(shuffle_parts(edges.sparkSession), "a", "s").sortWithinPartitions("a", "s").mapInArrow(confirm, "a long, b long")
 
 
 def cross_edges(open_: DataFrame, texts: DataFrame, k: int, percent: int, block: int = 256) -> DataFrame:
@@ -277,6 +282,8 @@ def linked(docs: DataFrame, k: int, percent: int, null_ids: bool) -> DataFrame:
     pairs that connect the others are verified on full sets. Wherever members of a bucket that may be linked are then
     still in different components, all pairs of different ones are compared, on full sets where signatures are similar.
 
+    A candidate group of up to GROUP members is compared as one, instead of in each of the buckets that they share.
+
     Classes that share a doc_id are in one component. group_id is null for what nothing links: wordless texts and,
     unless null_ids, rows without a doc_id.
     """
@@ -303,10 +310,12 @@ def linked(docs: DataFrame, k: int, percent: int, null_ids: bool) -> DataFrame:
     links = materialize(verified_edges(edges, texts, k, percent))
     parts = components(links)
     parted = materialize(classes.select("cls", "n_shingles", "sig").join(groups.select(F.col("id").alias("cls"), F.col("component").alias("grp")), "cls", "left").join(parts.select(F.col("id").alias("cls"), "component"), "cls", "left").select("cls", "n_shingles", "sig", "grp", F.coalesce("component", "cls").alias("part")))
-    split = parted.groupBy("grp").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi and grp is not null").select("grp", F.lit(True).alias("is_split"))
-    small = shared.where("parts = 1").select("bucket", "cls").join(parted.join(split, "grp"), "cls").select(F.xxhash64("bucket", "grp").alias("bucket"), "cls", "part", "n_shingles", "sig")
+    split = parted.groupBy("grp").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size")).where("lo <> hi and grp is not null").select("grp", (F.col("size") <= GROUP).alias("whole"))
+    still = parted.join(split, "grp")
+    whole = still.where("whole").select(F.xxhash64("grp", F.lit("whole")).alias("bucket"), "cls", "part", "n_shingles", "sig")
+    small = shared.where("parts = 1").select("bucket", "cls").join(still.where("not whole"), "cls").select(F.xxhash64("bucket", "grp").alias("bucket"), "cls", "part", "n_shingles", "sig")
     big = shared.where("parts > 1").select("bucket", "cls").join(parted, "cls").select("bucket", "cls", "part", "n_shingles", "sig")
-    more = materialize(cross_edges(materialize(small.unionByName(big)), texts, k, percent))
+    more = materialize(cross_edges(materialize(whole.unionByName(small).unionByName(big)), texts, k, percent))
 
     found = components(links.unionByName(more).unionByName(same_id))
     grouped = materialize(classes.select("cls", "n", "rep.doc_id").join(found.select(F.col("id").alias("cls"), "component"), "cls", "left").select("cls", "n", "doc_id", F.coalesce("component", "cls").alias("group_id")))
@@ -326,9 +335,8 @@ def class_texts(docs: DataFrame, asked: DataFrame, total: int) -> DataFrame:
     keys = asked.select("cls", F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_hash"), is_hot.alias("hot"))
     hot = F.broadcast(keys.where("hot"))  # fewer than 2,000
     found = hashed.join(hot, same).select("cls", "text")
-    if keys.where("not hot").limit(1).count():
-        rest = hashed.join(hot, same, "left_anti").join(keys.where("not hot"), same).select("cls", "text")
-        found = found.unionByName(rest)
+    rest = hashed.join(hot, same, "left_anti").join(keys.where("not hot").hint("merge"), same).select("cls", "text")  # alike at every size
+    found = found.unionByName(rest)
     return found.dropDuplicates(["cls"])
 
 

@@ -118,9 +118,10 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
     About LEADERS members of a large bucket, those whose hashes come out low, are in each of its parts.
     """
     inside = classes.select("cls", F.explode("bands").alias("bucket"))
-    counted = inside.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    counted = inside.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").withColumn("members", F.col("n"))
     parts = F.ceil(F.col("members") / BLOCK).cast("int")
-    return inside.join(counted, "bucket").select("bucket", "cls", "members", parts.alias("parts"), F.pmod(F.xxhash64("cls", "bucket"), parts).cast("int").alias("part_of"))
+    found = attached(inside, ["bucket"], counted, classes.count() * BANDS, ["members"], F.xxhash64("cls", "bucket")).where("members is not null")
+    return found.select("bucket", "cls", "members", parts.alias("parts"), F.pmod(F.xxhash64("cls", "bucket"), parts).cast("int").alias("part_of"))
 
 
 def candidate_edges(shared: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -241,14 +242,14 @@ def cross_edges(open_: DataFrame, texts: DataFrame, k: int, percent: int, block:
 
     sizes = open_.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("total"), F.count("*").alias("parts")).where("parts > 1")
-    sizes = sizes.select("bucket", F.col("most.part").alias("most"), F.ceil(F.col("most.n") / block).cast("int").alias("blocks"), F.ceil((F.col("total") - F.col("most.n")) / block).cast("int").alias("others"))
+    sizes = sizes.select("bucket", F.col("total").alias("n"), F.col("most.part").alias("most"), F.ceil(F.col("most.n") / block).cast("int").alias("blocks"), F.ceil((F.col("total") - F.col("most.n")) / block).cast("int").alias("others"))
     hashed = lambda count: F.pmod(F.xxhash64("cls", "bucket"), F.col(count)).cast("int")
     # units: i a block of the others (side 0); j one of the largest part (from 0) or of the others (-1 - block), side 1
     inner = F.col("part") == F.col("most")
     met = F.when(inner, F.expr("transform(sequence(0, others - 1), x -> named_struct('i', x, 'j', own, 'side', 1))"))
     met = met.otherwise(F.expr("""concat(transform(sequence(0, blocks - 1), x -> named_struct('i', own, 'j', x, 'side', 0)),
         transform(sequence(0, others - 1), x -> named_struct('i', least(x, own), 'j', -1 - greatest(x, own), 'side', int(own > x))))"""))
-    dealt = open_.join(sizes, "bucket").withColumn("own", F.when(inner, hashed("blocks")).otherwise(hashed("others")))
+    dealt = attached(open_, ["bucket"], sizes, open_.count(), ["most", "blocks", "others"], F.xxhash64("cls", "bucket")).where("most is not null").withColumn("own", F.when(inner, hashed("blocks")).otherwise(hashed("others")))
     dealt = dealt.withColumn("u", F.explode(met)).select("bucket", "u.i", "u.j", "u.side", "cls", "part", "n_shingles", "sig")
     parts = shuffle_parts(spark)
     found = dealt.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(active, "bucket long, i int, j int, side int, cls long, part long")

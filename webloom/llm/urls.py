@@ -46,6 +46,15 @@ def grams(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.select(*columns, F.explode(F.expr(f"transform(sequence(1, length(framed) - {ORDER}), i -> substring(framed, i, {ORDER + 1}))")).alias("gram"))
 
 
+def parts(urls: DataFrame, *columns: str) -> DataFrame:
+    """columns, framed, n of the two parts of each url, equal ones as one: as far as its host goes, and the rest behind the last ORDER characters before it.
+
+    Each character of a url is in one of them, in full context; hosts come up again and again and count once.
+    """
+    both = urls.select(*columns, "n", F.explode(F.array("head", "tail")).alias("framed")).where(F.length("framed") > ORDER)
+    return both.groupBy(*columns, "framed").agg(F.sum("n").alias("n"))
+
+
 def learned(urls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Markov models of all orders up to ORDER, of the urls that rules allow and of those they block.
 
@@ -81,14 +90,24 @@ def gram_scores(asked: DataFrame, follow: DataFrame, seen: DataFrame) -> DataFra
 
 
 def scores(urls: DataFrame, fit: DataFrame) -> DataFrame:
-    """uid, score of each url: the mean of its characters' scores, rounded down; models are learned on fit (framed, ruled, n)."""
-    follow, seen = learned(fit)
-    asked = materialize(grams(urls).groupBy("gram").agg(F.count("*").alias("n")))
+    """urls with the score of each: the mean of its characters' scores, rounded down; models are learned on fit, some of urls."""
+    follow, seen = learned(parts(fit, "ruled"))
+    pieces = materialize(parts(urls).withColumn("piece", F.monotonically_increasing_id()))
+    asked = materialize(grams(pieces).groupBy("gram").agg(F.count("*").alias("n")))
     scored = materialize(gram_scores(asked, follow, seen))
     total = asked.agg(F.sum("n")).first()[0] or 0
-    places = attached(grams(urls, "uid"), ["gram"], scored, total, ["score"], F.xxhash64("uid", "gram"))
-    out = materialize(places.groupBy("uid").agg(F.floor(F.sum("score") / F.count("*")).cast("long").alias("score")))
-    for stored in (follow, seen, asked, scored):
+    places = attached(grams(pieces, "piece"), ["gram"], scored, total, ["score"], F.xxhash64("piece", "gram"))
+    sums = places.groupBy("piece").agg(F.sum("score").alias("sum"))
+    summed = materialize(pieces.withColumnRenamed("n", "urls").join(sums, "piece").select("framed", F.col("urls").alias("n"), "sum"))
+    total = urls.agg(F.sum("n")).first()[0] or 0
+    out = urls
+    for part in ("head", "tail"):
+        facts = summed.select(F.col("framed").alias(part), "n", F.col("sum").alias(f"{part}_sum"))
+        out = attached(out, [part], facts, total, [f"{part}_sum"], F.col("uid"))
+    none = F.lit(0).cast("long")
+    out = out.withColumn("score", F.floor((F.coalesce("head_sum", none) + F.coalesce("tail_sum", none)) / (F.length("framed") - ORDER)).cast("long"))
+    out = materialize(out.select("framed", "n", "ruled", "held", "score"))
+    for stored in (follow, seen, pieces, asked, scored, summed):
         discard(stored)
     return out
 
@@ -110,6 +129,8 @@ def judge(pages: DataFrame, *, rules: tuple = RULES) -> DataFrame:
     parted = pages.select("page_id", host.alias("host"), path.alias("path"), framed(F.col("url")).alias("framed"))
     parted = parted.withColumn("rule", longest_rule(F.col("host"), F.col("path"), rules)).withColumn("ruled", verdicts[F.col("rule")])
     urls = parted.groupBy("framed", "host", "ruled").agg(F.count("*").alias("n"))
+    length = F.when(F.col("host") != "", F.instr(F.col("framed"), "://") + 2 + F.length("host")).otherwise(ORDER)
+    urls = urls.withColumn("head", F.left(F.col("framed"), length)).withColumn("tail", F.substr(F.col("framed"), length - ORDER + 1))
     urls = materialize(urls.withColumn("held", F.pmod(F.xxhash64("host"), F.lit(HELD)) == 0).withColumn("uid", F.monotonically_increasing_id()))
     ruled = urls.where("ruled is not null")
     kinds = ruled.agg(*(F.count_if((F.col("ruled") == kind) & test) for test in (F.lit(True), F.col("held"), ~F.col("held")) for kind in ("allow", "block"))).first()
@@ -117,9 +138,8 @@ def judge(pages: DataFrame, *, rules: tuple = RULES) -> DataFrame:
         return parted.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"), F.lit(0).cast("long").alias("score"))
     apart = all(kinds)
     scored = scores(urls, ruled.where(~F.col("held")) if apart else ruled)
-    level = calibrated((ruled.where("held") if apart else ruled).join(scored, "uid"))
-    total = urls.agg(F.sum("n")).first()[0]
-    by_url = materialize(urls.select("framed", "n", "uid").join(scored, "uid").select("framed", "n", "score"))
+    level = calibrated(scored.where("ruled is not null and held" if apart else "ruled is not null"))
+    by_url, total = scored.select("framed", "n", "score"), urls.agg(F.sum("n")).first()[0]
     numbered = parted.withColumn("row", F.monotonically_increasing_id())
     out = attached(numbered, ["framed"], by_url, total, ["score"], F.col("row"))
     verdict = F.coalesce("ruled", F.when(F.col("score") >= level, "allow").otherwise("block"))

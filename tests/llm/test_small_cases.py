@@ -363,6 +363,18 @@ def test_an_index_takes_later_batches(spark):
     assert len(index.runs) == 1
 
 
+def test_a_later_session_finds_the_index(spark, tmp_path):
+    words = [f"v{i}" for i in range(90)]
+    frame = lambda *rows: spark.createDataFrame([(i, " ".join(words[a:b])) for i, a, b in rows], "doc_id long, text string")
+    open_index = lambda: substrings.FingerprintIndex(20, folder=str(tmp_path))
+    first = substrings.trimmed(frame((1, 0, 40), (2, 30, 60)), index=open_index(), shares=()).collect()
+    assert [r.n_removed for r in first] == [0, 0]
+    later = {r.doc_id: r.n_removed for r in substrings.trimmed(frame((3, 10, 50), (4, 55, 90), (5, 60, 85)), index=open_index(), shares=()).collect()}
+    assert later == {3: 40, 4: 0, 5: 25}  # 10..40 of 1, 30..50 of 2; 60..85 of 4
+    assert len(open_index().runs) == 1
+    assert [r.n_removed for r in substrings.trimmed(frame((9, 0, 90)), index=open_index(), shares=()).collect()] == [90]
+
+
 def test_windows_around_a_frequent_run_of_words_stay_apart():
     rng = np.random.default_rng(1)
     run = rng.integers(0, 1 << 63, 8, dtype=np.uint64)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_parts
+from .common import discard, materialize, shuffle_parts
 from .shingles import WordHashes, mixed
 
 #: span: first and last window that a row is about, as (first << 32) | last.
@@ -183,10 +184,32 @@ class FingerprintIndex:
 
     Batches come in the order of their doc_ids: all of a batch's are larger than those before. Each adds a run; where
     there would be `fan` runs, the merge with the batch, which has all their rows at hand in order, writes one instead.
+
+    Runs lie in `folder`, a shared one, where a later session finds them again; without it they go with the session.
+    A run is whole once its _SUCCESS is there. Those that a merged run replaces go after it is whole; where a session
+    ends between, windows are in two runs, which changes no result.
     """
 
-    def __init__(self, window: int = 20, fan: int = 2):
-        self.window, self.fan, self.runs = window, fan, []
+    def __init__(self, window: int = 20, fan: int = 2, folder: str | None = None, spark: SparkSession | None = None):
+        self.window, self.fan, self.folder, self.runs = window, fan, folder and folder.rstrip("/"), []
+        if self.folder:
+            spark = spark or SparkSession.active()
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/run-*/_SUCCESS")
+            found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+            self.runs = [self.stored(spark, str(f.getPath().getParent())) for f in found]
+
+    @staticmethod
+    def stored(spark: SparkSession, path: str) -> DataFrame:
+        run = spark.read.schema(ROWS).parquet(path)
+        run.stored_at = path
+        return run
+
+    def write(self, run: DataFrame) -> DataFrame:
+        if not self.folder:
+            return run
+        path = f"{self.folder}/run-{uuid.uuid4().hex}"
+        run.write.option("compression", "zstd").parquet(path)
+        return self.stored(run.sparkSession, path)
 
     def dedupe(self, batch: DataFrame, since: int | None, add: bool = True) -> DataFrame:
         """doc_id, span: the batch's windows that the index or an earlier place of the batch holds."""
@@ -197,20 +220,30 @@ class FingerprintIndex:
         found = resolve(rows, since, add, compact)
         if add:
             found = materialize(found)
-            run = found.where("digests is not null")
-            self.runs = [run] if compact else [*self.runs, run]
+            run, old = self.write(found.where("digests is not null")), self.runs
+            self.runs = [run] if compact else [*old, run]
+            if compact and self.folder:
+                for replaced in old:
+                    discard(replaced)
         return found.where("digests is null").select("doc_id", "span")
 
 
-def covered_windows(docs: DataFrame, *, window: int = 20, shares: tuple[float, ...] = (1 / 32, 1 / 8)) -> DataFrame:
-    """doc_id, span of all windows that also start earlier: docs go through an index, in batches of doc_ids cut at `shares`."""
+def covered_windows(docs: DataFrame, *, window: int = 20, shares: tuple[float, ...] = (1 / 32, 1 / 8), index: FingerprintIndex | None = None) -> DataFrame:
+    """doc_id, span of all windows that also start earlier: docs go through an index, in batches of doc_ids cut at `shares`.
+
+    Without `index` the last batch isn't added, since nothing would be merged with it; with one, all are, and windows
+    that the index holds already count as earlier: docs' ids are then larger than all in it.
+    """
     named = docs.where("doc_id is not null")
     cuts = sorted(set(named.approxQuantile("doc_id", list(shares), 0.01))) if shares else []
-    index, since, out = FingerprintIndex(window), None, None
+    since, out, keep = None, None, index is not None
+    if keep and index.runs:
+        since = named.agg(F.min("doc_id")).first()[0]
+    index = index or FingerprintIndex(window)
     for cut in [*map(int, cuts), None]:
         batch = named if since is None else named.where(F.col("doc_id") >= since)
         batch = batch if cut is None else batch.where(F.col("doc_id") < cut)
-        found = index.dedupe(batch, since, add=cut is not None)
+        found = index.dedupe(batch, since, add=keep or cut is not None)
         out = found if out is None else out.unionByName(found)
         since = cut
     return out

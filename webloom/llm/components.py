@@ -5,30 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attached, discard, materialize
+from .common import discard, materialize
+
+#: The edges of one node are dealt to so many tasks.
+SALTS = 64
+
+
+def with_least(edges: DataFrame) -> DataFrame:
+    """edges (u, v) with m, the least of u and all its v. A hub's edges are split by SALTS; its minima by salt are few."""
+    salted = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    some = salted.groupBy("u", "s").agg(F.min("v").alias("low"))
+    least = some.groupBy("u").agg(F.min("low").alias("low")).select("u", F.least("u", "low").alias("m"))
+    return salted.join(some.select("u", "s").join(least, "u"), ["u", "s"]).select("u", "v", "m")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) for every id that has an edge to another; edges: a, b.
 
-    Each round links every node's larger neighbours to its smallest one, then the smaller ones. Minima are partial
-    aggregates; the minima of hubs are broadcast, so that no task sees all edges of one.
+    Each round links every node's larger neighbours to its smallest one, then the smaller ones. A round's table is
+    written, and the one before deleted.
     """
     star = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen, n = None, star.count()
+    seen = None
     while True:
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("m")).select("u", "n", F.least("u", "m").alias("m"))
-        large = attached(both, ["u"], low, 2 * n, ["m"], F.xxhash64("u", "v")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(large)
-        low = large.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("m"))
-        small = attached(large, ["u"], low, 2 * n, ["m"], F.xxhash64("u", "v")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        before, star = star, materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        discard(before), discard(large)
-        n, mark = star.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
-        if (n, mark) == seen:
+        large = with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        found = with_least(large)
+        small = found.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(found.select("u", F.col("m").alias("v")))
+        before, star = star, materialize(small.distinct())
+        discard(before)
+        now = star.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
+        if now == seen:
             return star.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(star.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        seen = n, mark
+        seen = now
 
 
 def forest(n: int, left, right) -> list[int]:

@@ -118,7 +118,7 @@ def labelled_candidates(spark: SparkSession, lines: list[Finding]) -> DataFrame:
     return found.where("array_contains(runs, x.run)").select("x.run", "label", F.col("x").dropFields("at", "nth").alias("x"))
 
 
-def train(docs: DataFrame, labels: DataFrame | None = None, *, max_findings: int = 10_000, made_up: int = 6_000, trees: int = 30, depth: int = 8, words: int = 400, seed: int = 5, without: tuple[str, ...] = ()) -> SecretForest:
+def train(docs: DataFrame, labels: DataFrame | None = None, *, max_findings: int = 10_000, made_up: int = 6_000, trees: int = 20, depth: int = 7, words: int = 400, seed: int = 5, without: tuple[str, ...] = ()) -> SecretForest:
     """Fits the forest on labelled findings.
 
     labels: run, label (1 a secret, 0 none), for runs in docs; a run found in several places counts by its least

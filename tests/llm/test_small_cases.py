@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from webloom.llm import components as connected
 from webloom.llm import labelled, minhash, mixing, packing, quality, secrets, sharding, substrings, urls, vectors
 from webloom.llm.tokens import byte_bpe
 
@@ -271,6 +272,19 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, k=4).collect()} == dict(enumerate(components_of(texts, 4, 80)))
 
 
+def test_components_of_hubs_and_chains(spark, monkeypatch):
+    edges = [(i, i + 1) for i in range(100, 140)] + [(500, i) for i in range(501, 560)] + [(700, i) for i in range(600, 650)] + [(i, 900 - i) for i in range(200, 210)] + [(3, 3)]
+    least = {}
+    for a, b in edges * 60:
+        least[a] = least[b] = min(least.get(a, a), least.get(b, b))
+    least.pop(3)
+    frame = spark.createDataFrame(edges, "a long, b long")
+    for hub in (1_000_000, 10):
+        monkeypatch.setattr(connected, "HUB", hub)
+        assert {r.id: r.component for r in connected.components(frame).collect()} == least
+    assert connected.components(frame.limit(0)).collect() == []
+
+
 def test_near_copies_in_one_bucket_are_not_all_compared(spark):
     texts = near_copies(20_000, edits=3)
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from .common import discard, materialize
 
-#: The edges of one node are dealt to so many tasks.
-SALTS = 64
+#: Edges of one node that a task may take; those of a node with more are dealt to SALTS tasks.
+HUB, SALTS = 1_000_000, 256
 
 
-def with_least(edges: DataFrame) -> DataFrame:
-    """edges (u, v) with m, the least of u and all its v. A hub's edges are split by SALTS; its minima by salt are few."""
+def with_least(edges: DataFrame, hubs: bool) -> DataFrame:
+    """edges (u, v) with m, the least of u and all its v. Where there are hubs, their edges are split, and their minima by salt are few."""
+    if not hubs:
+        return edges.join(edges.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m")), "u")
     salted = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
     some = salted.groupBy("u", "s").agg(F.min("v").alias("low"))
     least = some.groupBy("u").agg(F.min("low").alias("low")).select("u", F.least("u", "low").alias("m"))
@@ -23,21 +25,21 @@ def components(edges: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) for every id that has an edge to another; edges: a, b.
 
     Each round links every node's larger neighbours to its smallest one, then the smaller ones. A round's table is
-    written, and the one before deleted.
+    written, and the one before deleted. A node with more than HUB edges doesn't have them all in one task.
     """
     star = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
     while True:
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        found = with_least(large)
+        degrees = both.groupBy("u").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("mark"))
+        most, *now = degrees.agg(F.max("n"), F.sum("n"), F.bit_xor("mark")).first()
+        if now == seen or not most:
+            return star.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(star.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+        large = with_least(both, most > HUB).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        found = with_least(large, most > HUB)
         small = found.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(found.select("u", F.col("m").alias("v")))
-        before, star = star, materialize(small.distinct())
+        before, star, seen = star, materialize(small.distinct()), now
         discard(before)
-        now = star.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
-        if now == seen:
-            return star.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(star.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        seen = now
 
 
 def forest(n: int, left, right) -> list[int]:

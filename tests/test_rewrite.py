@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from webloom.operators import code, rewrite
 
 
@@ -64,9 +65,10 @@ def test_pretty():
     assert rewrite.pretty("") == ""
 
 
-def test_scripts_are_spaced():
-    assert code.spaced_script("if(a){b();}") == "if(a) {\n  b();\n}"
-    assert code.spaced_script("}}a,b") == "}\n}\na, b" and code.spaced_script("") == ""
+def test_scripts_are_spaced(spark):
+    cases = [("if(a){b();}", "if(a) {\n  b();\n}"), ("}}a,b", "}\n}\na, b"), ("", ""), ("}{a;{b}", "}\n{\n  a;\n  {\n    b}"), ("x\n\n y", "x\ny")]
+    out = code.spaced_scripts(spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "id long, code string"), "id")
+    assert [r.code for r in out.orderBy("id").collect()] == [new for _, new in cases]
 
 
 @pytest.mark.parametrize(
@@ -76,11 +78,18 @@ def test_scripts_are_spaced():
         ("/* x\n.a\n*/\nb{}", "/* x\n.a\n*/\nb{}"), ("... 3 more rules\np{}", "p{}"), ("", ""),
     ],
 )
-def test_css_repair(css, new):
-    assert code.repaired_css(css) == new
+def test_css_repair(spark, css, new):
+    assert spark.createDataFrame([(css,)], "css string").select(code.repaired_css(F.col("css"))).first()[0] == new
 
 
 def test_columns_keep_nulls(spark):
     df = spark.createDataFrame([(0, None, "u"), (1, "<p>x", None)], "page_id long, html string, url string")
     rows = df.select("page_id", rewrite.column(rewrite.local_assets, df.html, df.url).alias("h")).orderBy("page_id").collect()
     assert [r.h for r in rows] == [None, "<p>x"]
+
+
+def test_minified_code_is_told_from_code_laid_out(spark):
+    tight, plain = "p{color:red;margin:0}" * 30, "p {\n  margin: 0;\n}\n" * 30
+    cases = [(tight, "css", True), (plain, "css", False), ("function a(){return b}" * 30, "js", True), ("const a = 1;\n" * 30, "js", False), ("x" * 40 + "eval(1)" + "y" * 20, "js", True), ("eval(1)", "js", False), ("/* webpack */ " + "w " * 150, "css", True), (None, "js", False)]
+    for text, kind, want in cases:
+        assert spark.createDataFrame([(text,)], "t string").select(code.obfuscated(F.col("t"), kind)).first()[0] == want, (text, kind)

@@ -11,7 +11,7 @@ def test_stream_keeps_each_text_once(spark):
 
 def test_a_batch_that_runs_again_adds_nothing(spark):
     sink = f"{shared_dir(spark)}/sink-again"
-    batch = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "text_md5 string, chars int")
+    batch = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3)], "text_md5 string, chars int")
     for _ in range(2):
         dedupe.append_new(batch, sink)
-    assert spark.read.parquet(sink).count() == 2
+    assert spark.read.parquet(sink).count() == 3

@@ -41,6 +41,11 @@ class Spark:
     def exploded(self, table: str, items: str, at: str, item: str, columns: str = "*") -> str:
         return f"(SELECT {columns}, pos + 1 AS {at}, col AS {item} FROM (SELECT *, posexplode({items}) FROM {table}))"
 
+    def tagged(self, table: str, arrays: list[str]) -> str:
+        """page_id, pattern (which of the arrays, from 0), nth, token of each item of the arrays, in one pass."""
+        items = ", ".join(f"transform({a}, (x, i) -> named_struct('pattern', {k}, 'nth', i + 1, 'token', x))" for k, a in enumerate(arrays))
+        return f"(SELECT page_id, t.pattern, t.nth, t.token FROM (SELECT page_id, explode(concat({items})) AS t FROM {table}))"
+
     def md5(self, x: str) -> str:
         return f"md5({x})"
 
@@ -95,6 +100,9 @@ class Duck(Spark):
     def exploded(self, table: str, items: str, at: str, item: str, columns: str = "*") -> str:
         return f"(SELECT {columns}, unnest(range(1, len({items}) + 1)) AS {at}, unnest({items}) AS {item} FROM {table})"
 
+    def tagged(self, table: str, arrays: list[str]) -> str:
+        return "(" + " UNION ALL ".join(f"SELECT page_id, {k} AS pattern, nth, token FROM {self.exploded(table, a, 'nth', 'token', 'page_id')} t" for k, a in enumerate(arrays)) + ")"
+
     @staticmethod
     def back(group: int) -> str:
         return f"\\{group}"

@@ -40,6 +40,7 @@ INDUSTRIES = (
 
 # fixed values: tones
 INDUSTRY_TONES = (("Healthcare", "Professional, Trustworthy, Medical"), ("Beauty", "Elegant, Refined, Aesthetic"), ("Food & Beverage", "Warm, Inviting, Appetizing"))
+CATEGORY_TONES = ((("清涼", "fresh"), "Fresh, Modern, Clean"), (("ピンク", "pink"), "Warm, Friendly, Approachable"))
 WORD_TONES = ((("minimal",), "Minimalist, Clean, Simple"), (("luxury", "premium"), "Luxury, Premium, Sophisticated"))
 
 # fixed values: hosts and names of trackers and of libraries
@@ -47,6 +48,13 @@ STYLE_CDN_WORDS = ("cdnjs", "cdn.jsdelivr", "googleapis", "bootstrapcdn", "fonts
 CDN_WORDS = ("cdnjs", "cdn.jsdelivr", "googleapis", "googletagmanager", "gtag", "google-analytics", "analytics", "cloudflare", "ajax.googleapis")
 LIBRARY_NAMES = (".min.js", "bundle", "chunk", "vendor", "lib")
 
+# fixed values: marks of build tools, patterns of obfuscated code
+BUILD_MARKS = ("webpack", "rollup", "bundle", "chunk", "dist/", "build/", "/*!", "/*#", "sourcemappingurl", "sourcemap")
+OBFUSCATED = (r"(?i)_0x[a-f0-9]+", r"[a-z]\s*=\s*[\x22\x27][a-z]{1,3}[\x22\x27]", r"eval\s*\(", r"atob\s*\(", r"String\.fromCharCode", r"\\x[0-9a-f]{2}")
+
+# entities that a visible text has decoded, the ampersand last
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+
 # fixed values: hosts of social networks, link texts and where their placeholders lead
 SOCIAL_HOSTS = ("facebook.com", "twitter.com", "instagram.com", "linkedin.com", "youtube.com")
 LINK_WORDS = (

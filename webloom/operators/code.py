@@ -4,59 +4,74 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import spread, table
+from ..functions import values as v
+from ..sources.tables import table
 from .html import below, css_rules
-from .rewrite import column
 
 # fixed values: what a line of a selector may name, and how cut-off marks look
 SELECTOR_TAGS = ("header", "footer", "nav", "div", "section", "button", "a", "ul", "li")
-CUT_MARK = re.compile(r"/\*\s*\.\.\.\s*.*?\s*\.\.\.\s*\*/", re.I | re.S)
-
-
-def spaced_script(code: str) -> str:
-    """A statement a line, two spaces deeper in each brace, never below the margin; blank lines go."""
-    for pattern, new in ((r";\s*", ";\n"), (r"\{\s*", " {\n"), (r"\}\s*", "}\n"), (r",\s*", ", ")):
-        code = re.sub(pattern, new, code)
-    depth, out = 0, []
-    for line in filter(None, map(str.strip, code.split("\n"))):
-        depth = max(0, depth - line.startswith("}"))
-        out.append("  " * depth + line)
-        depth += line.endswith("{")
-    return "\n".join(out).strip()
-
-
-def dangling(lines: list[str], i: int) -> bool:
-    """A line that names a selector, without a brace in it or in the four lines after it."""
-    line = lines[i].strip()
-    if not line or line.startswith("--") or set(line) & set(":{}"):
-        return False
-    names = line.endswith(",") or bool(set(line) & set(".#@")) or any(t in line.lower() for t in SELECTOR_TAGS)
-    return names and not any("{" in x for x in lines[i + 1 : i + 5])
-
-
-def repaired_css(css: str) -> str:
-    """Without cut-off marks; bare variables gathered under :root if there is none, else dangling selectors left out."""
-    css = CUT_MARK.sub("", css)
-    lines = css.split("\n")
-    variables = [x.strip() for x in lines if x.strip().startswith("--") and ":" in x]
-    if variables and ":root" not in css:
-        rest = [x for x in lines if x.strip() not in variables]
-        return ":root {\n  " + "\n  ".join(variables) + "\n}" + ("\n\n" + "\n".join(rest) if rest else "")
-    kept, in_comment = [], False
-    for i, line in enumerate(lines):
-        text = line.strip()
-        if in_comment:
-            kept.append(line)
-            in_comment = "*/" not in line
-        elif text.startswith("/*") and not text.endswith("*/"):
-            kept.append(line)
-            in_comment = True
-        elif not ("..." in text and "more" in text.lower()) and not dangling(lines, i):
-            kept.append(line)
-    return CUT_MARK.sub("", "\n".join(kept)).strip()
+CUT_MARK = r"(?is)/[*]\s*[.][.][.]\s*.*?\s*[.][.][.]\s*[*]/"
+
+
+def spaced_scripts(scripts: DataFrame, *keys: str) -> DataFrame:
+    """keys, code: a statement a line, two spaces deeper in each brace, never below the margin; blank lines go. keys tell scripts apart.
+
+    Lines are rows. The braces open before a line are a running sum, less the lowest that it came to below zero.
+    """
+    broken = F.regexp_replace(F.regexp_replace(F.regexp_replace("code", r"\{", " {"), r"([;{}])\s*", "$1\n"), r",\s*", ", ")
+    lines = scripts.select(*keys, F.posexplode_outer(F.split(broken, "\n")).alias("at", "line")).withColumn("line", F.regexp_replace("line", r"^\s+|\s+$", ""))
+    opens, closes = (F.col("line").endswith("{")).cast("int"), (F.col("line").startswith("}")).cast("int")
+    so_far = Window.partitionBy(*keys).orderBy("at")
+    lines = lines.withColumn("sum", F.sum(opens - closes).over(so_far) - opens)
+    lines = lines.withColumn("depth", F.col("sum") - F.least(F.lit(0), F.min("sum").over(so_far)))
+    shown = F.when(F.col("line") != "", F.concat(F.repeat(F.lit("  "), F.col("depth").cast("int")), "line"))
+    return lines.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(shown.isNotNull(), F.struct("at", shown.alias("line"))))).alias("l")).select(*keys, F.array_join("l.line", "\n").alias("code"))
+
+
+def repaired_css(css: Column) -> Column:
+    """Without cut-off marks; bare variables gathered under :root if there is none, else dangling selectors left out.
+
+    A line is dangling if it names a selector and neither it nor one of the four lines below has a brace. Lines within a
+    comment of several lines stay, those that say that more was cut off go.
+    """
+    marked = F.regexp_replace(css, CUT_MARK, "")
+    table = F.transform(F.split(marked, "\n"), lambda x, i: F.struct(i.alias("at"), x.alias("line"), F.regexp_replace(x, r"^\s+|\s+$", "").alias("bare")))
+    step = F.transform(F.array(F.struct(marked.alias("css"), table.alias("ls"))), lambda t: F.struct(t["css"].alias("css"), t["ls"].alias("ls"), F.transform(F.filter(t["ls"], lambda l: l["bare"].startswith("/*") & ~l["bare"].endswith("*/")), lambda l: l["at"]).alias("opened"), F.transform(F.filter(t["ls"], lambda l: F.contains(l["line"], F.lit("*/")) & ~(l["bare"].startswith("/*") & ~l["bare"].endswith("*/"))), lambda l: l["at"]).alias("closed"), F.transform(F.filter(t["ls"], lambda l: l["bare"].startswith("--") & F.contains(l["bare"], F.lit(":"))), lambda l: l["bare"]).alias("bare_variables")))
+    return F.transform(step, settled)[0]
+
+
+def settled(t: Column) -> Column:
+    """The repaired sheet, from its lines (ls: at, line, bare), the places of lines that open and close comments, and its variables."""
+    variables = t["bare_variables"]
+    rest = F.transform(F.filter(t["ls"], lambda l: ~F.array_contains(variables, l["bare"])), lambda l: l["line"])
+    rooted = F.concat(F.lit(":root {\n  "), F.array_join(variables, "\n  "), F.lit("\n}"), F.when(F.size(rest) > 0, F.concat(F.lit("\n\n"), F.array_join(rest, "\n"))).otherwise(""))
+
+    def stays(l: Column) -> Column:
+        last = lambda places, test: F.coalesce(F.array_max(F.filter(places, test)), F.lit(-1))
+        commented = last(t["opened"], lambda o: o <= l["at"]) > last(t["closed"], lambda c: c < l["at"])
+        names = l["bare"].endswith(",") | l["bare"].rlike("[.#@]") | F.lower(l["bare"]).rlike("|".join(SELECTOR_TAGS))
+        braces = F.exists(F.slice(t["ls"], l["at"] + 2, F.lit(4)), lambda n: F.contains(n["line"], F.lit("{")))
+        dangling = (l["bare"] != "") & ~l["bare"].startswith("--") & ~l["bare"].rlike("[:{}]") & names & ~braces
+        cut_off = F.contains(l["bare"], F.lit("...")) & F.contains(F.lower(l["bare"]), F.lit("more"))
+        return commented | ~(dangling | cut_off)
+
+    kept = F.array_join(F.transform(F.filter(t["ls"], stays), lambda l: l["line"]), "\n")
+    plain = F.regexp_replace(F.regexp_replace(kept, CUT_MARK, ""), r"^\s+|\s+$", "")
+    return F.when((F.size(variables) > 0) & ~F.contains(t["css"], F.lit(":root")), rooted).otherwise(plain)
+
+
+def obfuscated(code: Column, kind: str) -> Column:
+    """Whether code ("js" or "css") is obfuscated or minified: by its patterns, or the lengths of its lines with what goes with them."""
+    lines = F.filter(F.split(code, "\n"), lambda x: x.rlike(r"\S"))
+    mean = F.length(F.array_join(lines, "")) / F.nullif(F.size(lines), F.lit(0))
+    breaks = F.size(lines) / F.nullif(F.length(code), F.lit(0))
+    longest, fewest, tight = {"js": (500, 0.01, r"[a-z]\{[a-z]|[a-z]\}[a-z]"), "css": (300, 0.005, ":[a-z]|;[a-z]")}[kind]
+    marks = "|".join(re.escape(m) for m in v.BUILD_MARKS)
+    odd = code.rlike("|".join(f"(?:{p})" for p in v.OBFUSCATED)) | ((mean > longest) & (breaks < fewest)) | ((mean > 200) & (code.rlike(tight) | F.lower(code).rlike(marks)))
+    return F.coalesce((F.length(F.regexp_replace(code, r"^\s+|\s+$", "")) >= 50) & odd, F.lit(False))
 
 
 def rules_with(rules: DataFrame, part: str) -> DataFrame:
@@ -97,11 +112,11 @@ def component_js(nodes: DataFrame, parts: DataFrame, code: DataFrame) -> DataFra
 
 
 def formatted_js(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scripts(table(spark, sf_dir, "pages")).select("page_id", "script_ord", column(spaced_script, F.col("code")).alias("code"))
+    return spaced_scripts(scripts(table(spark, sf_dir, "pages")), "page_id", "script_ord")
 
 
 def css_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets(table(spark, sf_dir, "pages")).select("page_id", column(repaired_css, F.col("css")).alias("css"))
+    return sheets(table(spark, sf_dir, "pages")).select("page_id", repaired_css(F.col("css")).alias("css"))
 
 
 def sheets(pages: DataFrame) -> DataFrame:

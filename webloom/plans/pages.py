@@ -34,9 +34,9 @@ def industry(x: str) -> str:
 def scheme(d: Spark, own: bool = False) -> str:
     """Top colours and colour scheme of each page's stylesheet: tokens by count, then by pattern and place."""
     patterns = ((r"(?i)color:\s*([#\w]+)", 1), (r"(?i)background(?:-color)?:\s*([#\w]+)", 1), (r"#[0-9a-fA-F]{3,6}", 0), (r"(?i)rgb\([^)]+\)", 0), (r"(?i)rgba\([^)]+\)", 0))
-    branches = [f"SELECT page_id, {i} AS pattern, nth, lower(token) AS token FROM {d.exploded('f', d.find_all('css', p, g), 'nth', 'token', 'page_id')} t" for i, (p, g) in enumerate(patterns)]
+    found = d.tagged("f", [d.find_all("css", p, g) for p, g in patterns])
     return f"""f AS {facts(d, own)},
-        tokens AS ({' UNION ALL '.join(branches)}),
+        tokens AS (SELECT page_id, pattern, nth, lower(token) AS token FROM {found} t),
         counted AS (SELECT page_id, token, count(*) AS n, min(pattern * 1000000 + nth) AS first_at FROM tokens WHERE length(token) > 2 GROUP BY page_id, token),
         top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY n DESC, first_at) AS place FROM counted) c WHERE place <= 3),
         schemes AS (SELECT page_id, CASE WHEN max(CASE WHEN {any_of('token', ('dark', 'black'))} THEN 1 ELSE 0 END) = 1 THEN 'Dark' WHEN max(CASE WHEN {any_of('token', ('light', 'white'))} THEN 1 ELSE 0 END) = 1 THEN 'Light' ELSE 'Mixed' END AS color_scheme FROM top GROUP BY page_id)"""
@@ -51,7 +51,7 @@ def characteristics(d: Spark, own: bool = False) -> str:
     events = " + ".join(times("lower(js)", w) for w in ("addeventlistener", "onclick", "on("))
     stack = choose([(any_of(c, ("react", "vue", "angular", "svelte")), "Modern Framework"), (any_of(c, ("jquery",)), "HTML + CSS + JS + jQuery"), (any_of(c, ("typescript", ".ts")), "HTML + CSS + TypeScript")], "'HTML + CSS + JS'")
     fonts = choose([(any_of(css, ("googleapis", "fonts.com", "typekit", "adobe fonts")), "Custom web fonts"), (any_of(css, ("font-family",)), "Custom typography")], "'Standard'")
-    tone = choose([(f"industry = '{name}'", t) for name, t in v.INDUSTRY_TONES] + [(any_of(c, words), t) for words, t in v.WORD_TONES], "'Professional'")
+    tone = choose([(f"industry = '{name}'", t) for name, t in v.INDUSTRY_TONES] + [(any_of("lower(told)", words), t) for words, t in v.CATEGORY_TONES if own] + [(any_of(c, words), t) for words, t in v.WORD_TONES], "'Professional'")
     return f"""{scheme(d, own)},
         g AS (SELECT *, {industry('told')} AS industry, {images} AS images, {events} AS events FROM f),
         ch AS (SELECT g.*, {tone} AS tone, {layout} AS layout, CASE WHEN images > 30 THEN 'Very High' WHEN images > 20 THEN 'High' WHEN images < 5 THEN 'Low' ELSE 'Medium' END AS photo_usage,
@@ -111,16 +111,22 @@ def minified_flag(d: Spark) -> str:
     """Obfuscated or minified code, by its patterns, mean line length and share of line breaks."""
     patterns = r"(?i)_0x[a-f0-9]+", r"[a-z]\s*=\s*[\x22\x27][a-z]{1,3}[\x22\x27]", r"eval\s*\(", r"atob\s*\(", r"String\.fromCharCode", r"\\x[0-9a-f]{2}"
     odd = " OR ".join(d.matches("code", p) for p in patterns)
+    built = any_of("lower(code)", v.BUILD_MARKS)
     nonblank = d.keep(d.split("code", "\n"), d.matches("x", r"\S"))
     size = "size(lines)" if d.name == "spark" else "len(lines)"
     return f"""WITH c AS (SELECT page_id, {d.join(d.find_all('html', r'(?is)<script[^>]*>(.*?)</script>'), chr(10))} AS code FROM pages),
         l AS (SELECT page_id, code, {nonblank} AS lines FROM c),
         m AS (SELECT page_id, code, CAST({size} AS DOUBLE) AS n, CAST(length({d.join('lines', '')}) AS DOUBLE) AS chars FROM l)
-        SELECT page_id, length({strip(d, 'code')}) >= 50 AND ({odd} OR (n > 0 AND chars / n > 500 AND n / length(code) < 0.01) OR (n > 0 AND chars / n > 200 AND {d.matches('code', r'[a-z]\{[a-z]|[a-z]\}[a-z]')})) AS minified FROM m"""
+        SELECT page_id, length({strip(d, 'code')}) >= 50 AND ({odd} OR (n > 0 AND chars / n > 500 AND n / length(code) < 0.01) OR (n > 0 AND chars / n > 200 AND {d.matches('code', r'[a-z]\{[a-z]|[a-z]\}[a-z]')}) OR (n > 0 AND chars / n > 200 AND {built})) AS minified FROM m"""
 
 
 def visible_text(d: Spark) -> str:
-    bare = d.sub(d.sub("html", r"(?is)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>", " "), r"(?s)<!--.*?-->|<[^>]*>", " ")
+    bare = "html"
+    for tag in ("script", "style", "noscript"):  # each ends at its own end alone
+        bare = d.sub(bare, rf"(?is)<{tag}(\s[^>]*)?>.*?</{tag}>", " ")
+    bare = d.sub(bare, r"(?s)<!--.*?-->|<[^>]*>", " ")
+    for entity, character in v.ENTITIES:
+        bare = f"replace({bare}, {d.text(entity)}, {d.text(character)})"
     clean = strip(d, d.sub(bare, r"\s+", " "))
     return f"WITH t AS (SELECT page_id, {clean} AS t FROM pages) SELECT page_id, CASE WHEN length(t) > 5000 THEN concat(substring(t, 1, 5000), '...') ELSE t END AS text FROM t"
 
@@ -136,7 +142,10 @@ def strip_comment_artifacts(d: Spark) -> str:
 def doctype_charset(d: Spark) -> str:
     """The doctype and a charset, put in where they are missing."""
     legacy = d.sub("html", r"(?i)<meta[^>]*http-equiv=[\x22\x27]?content-type[^>]*>", "")
-    head = d.sub("h", r"(?i)(<head[^>]*>)", d.back(1) + '<meta charset="utf-8">')
+    meta = '<meta charset="utf-8">'
+    first = lambda pattern, more: d.sub("h", rf"(?is)^(.*?{pattern})", d.back(1) + more)
+    headed, rooted = r"<head(?:\s[^>]*)?>", r"<html(?:\s[^>]*)?>"
+    head = f"CASE WHEN {d.matches('h', '(?i)' + headed)} THEN {first(headed, meta)} WHEN {d.matches('h', '(?i)' + rooted)} THEN {first(rooted, f'<head>{meta}</head>')} ELSE concat('<head>{meta}</head>', h) END"
     return f"""WITH a AS (SELECT page_id, {legacy} AS h FROM pages), b AS (SELECT page_id, CASE WHEN {d.matches('h', r'(?i)<meta[^>]*charset')} THEN h ELSE {head} END AS h FROM a)
         SELECT page_id, CASE WHEN starts_with_doctype THEN h ELSE concat('<!DOCTYPE html>\n', h) END AS html FROM (SELECT page_id, h, substring(h, 1, 9) IN ('<!DOCTYPE', '<!doctype') AS starts_with_doctype FROM b) c"""
 

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import values as v
 from ..functions.encoding import decoded
-from ..operators.code import repaired_css
+from ..operators.code import obfuscated, repaired_css, spaced_scripts
 from ..operators.numbering import numbered
-from ..operators.rewrite import column
 
 #: Longer files are skipped, at the scan.
 LONGEST_FILE = 50 * 1024 * 1024
@@ -41,7 +40,8 @@ def resolved(ref: Column) -> Column:
 def linked(nodes: DataFrame, pages: DataFrame, files: DataFrame, kind: str) -> DataFrame:
     """page_id, node_id, path, text of the stylesheets ("css") or scripts ("js") that a page names and its site holds.
 
-    Absolute references are left out, and scripts by the names of libraries.
+    Absolute references are left out, scripts by the names of libraries, and code that is obfuscated or minified.
+    Scripts are laid out.
     """
     if kind == "css":
         refs = nodes.where("tag = 'link' and lower(attrs['rel']) rlike '(^|\\\\s)stylesheet(\\\\s|$)'").select("page_id", "node_id", F.col("attrs")["href"].alias("ref"))
@@ -50,7 +50,11 @@ def linked(nodes: DataFrame, pages: DataFrame, files: DataFrame, kind: str) -> D
         refs = nodes.where("tag = 'script'").select("page_id", "node_id", F.col("attrs")["src"].alias("ref")).where(~F.lower("ref").rlike(library))
     refs = refs.where("ref <> '' and not startswith(ref, 'http')").select("page_id", "node_id", resolved(F.col("ref")).alias("path"))
     held = files.select("site", "path", F.decode("content", "UTF-8").alias("text"))
-    return refs.join(pages.select("page_id", "site"), "page_id").join(held, ["site", "path"]).select("page_id", "node_id", "path", "text")
+    found = refs.join(pages.select("page_id", "site"), "page_id").join(held, ["site", "path"]).where(~obfuscated(F.col("text"), kind)).select("page_id", "node_id", "path", "text")
+    if kind == "css":
+        return found
+    keys = ("page_id", "node_id", "path")
+    return spaced_scripts(found.withColumnRenamed("text", "code"), *keys).withColumnRenamed("code", "text")
 
 
 def processed_sites(spark: SparkSession, root: str) -> DataFrame:
@@ -72,7 +76,7 @@ def example_files(examples: DataFrame, *keys: str) -> DataFrame:
     reasoning = F.when(F.contains("output", F.lit("Code:")), F.trim(F.replace(F.substring_index("output", "Code:", 1), F.lit("Design reasoning:"), F.lit("")), F.lit(" \t\r\n"))).otherwise("")
     parts = numbered(examples, *keys).withColumn("html", block("html"))
     html = F.when(F.col("html") != "", in_shell(F.col("html"), F.col("number"))).otherwise("")
-    texts = {"instruction.txt": F.col("instruction"), "reasoning.txt": reasoning, "index.html": html, "style.css": column(repaired_css, block("css")), "output.txt": F.col("output")}
+    texts = {"instruction.txt": F.col("instruction"), "reasoning.txt": reasoning, "index.html": html, "style.css": repaired_css(block("css")), "output.txt": F.col("output")}
     files = parts.select("number", F.format_string("example_%04d", "number").alias("folder"), F.explode(F.array(*(F.struct(F.lit(k).alias("file"), x.alias("text")) for k, x in texts.items()))).alias("f"))
     return files.select("number", "folder", "f.file", "f.text").where("text <> '' or file in ('instruction.txt', 'output.txt')")
 

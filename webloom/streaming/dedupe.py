@@ -15,8 +15,8 @@ def append_new(batch: DataFrame, sink: str, key: str = "text_md5") -> None:
     spark = batch.sparkSession
     new = batch.dropDuplicates([key])
     try:
-        known = spark.read.schema(batch.schema).parquet(sink).select(key)
-        new = new.join(known, key, "left_anti")
+        known = spark.read.schema(batch.schema).parquet(sink).select(F.col(key).alias("_known"))
+        new = new.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")  # a null key is one key
     except Exception as e:  # the sink's first batch
         if "PATH_NOT_FOUND" not in str(e):
             raise

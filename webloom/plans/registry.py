@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dialect import Duck, Spark
-from ..operators import code, examples, html, numbering, rewrite, sites
+from ..operators import code, examples, html, numbering, rewrite, sites, training
 from ..functions.encoding import decoded, sound
 from ..sources.folders import example_files
 from ..sources.tables import table, views
@@ -44,5 +44,5 @@ def decoded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PLANS = (*pages.QUERIES, *corpus.QUERIES)
 OWN = {f.__name__: f for f in (example_numbering, resume_offset, export_files, decoded_pages)}
-QUERIES: dict = {p.__name__: in_spark(p) for p in PLANS} | html.QUERIES | rewrite.QUERIES | code.QUERIES | examples.QUERIES | sites.QUERIES | dedupe.QUERIES | OWN
+QUERIES: dict = {p.__name__: in_spark(p) for p in PLANS} | html.QUERIES | rewrite.QUERIES | code.QUERIES | examples.QUERIES | sites.QUERIES | training.QUERIES | dedupe.QUERIES | OWN
 SQL: dict = {p.__name__: p(Duck()) for p in PLANS} | dedupe.SQL

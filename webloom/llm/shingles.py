@@ -9,7 +9,7 @@ import xxhash
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    LIMIT = 1 << 20
+    LIMIT = 1 << 16
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

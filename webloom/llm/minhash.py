@@ -24,6 +24,8 @@ LEADERS = 32
 MEETING = 64
 #: Members of a candidate group up to which it is one unit, instead of one in each bucket that they share.
 GROUP = 256
+#: Hashes whose owners are counted at a time.
+AT_ONCE = 1 << 20
 
 
 class Signer:
@@ -257,9 +259,19 @@ def cross_edges(open_: DataFrame, texts: DataFrame, k: int, percent: int, block:
 
 
 def intersections(sets: list[np.ndarray], size: np.ndarray) -> np.ndarray:
-    """How many elements each two of the sets share."""
+    """How many elements each two of the sets share. The sets are sorted hashes; a range of about AT_ONCE of them is counted at a time."""
+    common = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    ranges = int(size.sum()) // AT_ONCE + 1
+    ends = np.array([(i << 64) // ranges for i in range(1, ranges)], dtype=np.uint64)
+    cuts = [np.r_[0, np.searchsorted(s, ends), len(s)] for s in sets]
+    for i in range(ranges):
+        common += shared_in([s[c[i] : c[i + 1]] for s, c in zip(sets, cuts)])
+    return common
+
+
+def shared_in(sets: list[np.ndarray]) -> np.ndarray:
     _, code = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), size)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(code, kind="stable")
     code, owner = code[order], owner[order]
     multi = np.bincount(code)[code] > 1  # an element of one set alone is in no intersection

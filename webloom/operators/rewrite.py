@@ -195,12 +195,13 @@ class FileNames:
         return self.by_url[url]
 
 
-def localized(html: str, url: str, failed: Collection[str] = ()) -> str:
-    """Stylesheets, scripts and images as assets/<name>, on top of `local_assets`; elements of libraries' hosts go.
+def localized(html: str, url: str, failed: Collection[str] = (), root: str = "assets/", seen: dict[str, str] | None = None) -> str:
+    """Stylesheets, scripts and images as <root><name>, on top of `local_assets`; elements of libraries' hosts go.
 
     A url has one name in a page; another url that would have the same gets a number. A stylesheet or script whose
     absolute url is in `failed` (not downloaded) or has no host goes; an image stays as it is. So do empty, # and data: urls, and
     images of other hosts (but for www.). Relative urls start from the page's host; without a host the page stays.
+    A url that failed keeps its name from others. seen takes each url's name.
     """
     home = parts_of(url or "")
     if not home.netloc:
@@ -218,17 +219,28 @@ def localized(html: str, url: str, failed: Collection[str] = ()) -> str:
         if any(w in link.lower() for w in libraries):
             return GONE, None
         whole = absolute(base, link)
-        if whole in failed or not parts_of(whole).netloc:
+        if not parts_of(whole).netloc:
             return (attrs, None) if kind == "images" else (GONE, None)
         if kind == "images" and bare(parts_of(whole).netloc) != bare(home.netloc):
             return attrs, None
-        folder = "assets/images/" if kind == "images" else "assets/"
-        attrs[key] = names.of(whole, folder + file_name(whole, kind))
+        name = names.of(whole, f"{root}{'images/' if kind == 'images' else ''}{file_name(whole, kind)}")
+        if seen is not None:
+            seen[whole] = name
+        if whole in failed:
+            return (attrs, None) if kind == "images" else (GONE, None)
+        attrs[key] = name
         return attrs, None
 
     return edited(local_assets(html, url), change)
 
 
+def named_files(html: str, url: str, root: str = "assets/") -> list[tuple[str, str]]:
+    """(url, name) of the files that `localized` makes local."""
+    seen: dict[str, str] = {}
+    localized(html, url, (), root, seen)
+    return list(seen.items())
+
+
 class Printer(Tree):
     """One tag or text a line, a space deeper for each open element."""
 

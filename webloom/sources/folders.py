@@ -81,22 +81,23 @@ def example_files(examples: DataFrame, *keys: str) -> DataFrame:
     return files.select("number", "folder", "f.file", "f.text").where("text <> '' or file in ('instruction.txt', 'output.txt')")
 
 
-def write_folders(files: DataFrame, target: str) -> int:
-    """Writes (folder, file, text) rows below target, which is emptied first; the number of files written.
+def write_folders(files: DataFrame, target: str, empty: bool = True) -> int:
+    """Writes (folder, file, text or bytes) rows below target, which is emptied first if `empty`; the number of files written.
 
     Files have fixed names, so a task that runs again writes the same ones.
     """
     system, base = fs.FileSystem.from_uri(target)
-    if system.get_file_info(base).type != fs.FileType.NotFound:
+    if empty and system.get_file_info(base).type != fs.FileType.NotFound:
         system.delete_dir_contents(base)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(target)
         for batch in batches:
             for folder, file, text in zip(*(c.to_pylist() for c in batch.columns)):
-                system.create_dir(f"{base}/{folder}", recursive=True)
-                with system.open_output_stream(f"{base}/{folder}/{file}") as out:
-                    out.write((text or "").encode("utf-8", errors="replace"))
+                path = f"{base}/{folder}/{file}"
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(path) as out:
+                    out.write(text if isinstance(text, bytes) else (text or "").encode("utf-8", errors="replace"))
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
     return files.select("folder", "file", "text").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]

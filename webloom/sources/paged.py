@@ -14,11 +14,11 @@ EMPTY_PAGES = 3
 ATTEMPTS, PAUSE = 3, 2.0
 
 
-def attempt(fetch: Callable[[int, int], str | None], start: int, size: int, attempts: int = ATTEMPTS, pause: float = PAUSE) -> str | None:
-    """A page, tried again after OSError; None if every attempt fails."""
+def attempt(fetch: Callable, *asked, attempts: int = ATTEMPTS, pause: float = PAUSE):
+    """What fetch gives for what is asked, tried again after OSError; None if every attempt fails."""
     for n in range(1, attempts + 1):
         try:
-            return fetch(start, size)
+            return fetch(*asked)
         except OSError:
             if n < attempts:
                 time.sleep(pause * n)
@@ -29,7 +29,7 @@ def pages(fetch: Callable[[int, int], str | None], start: int = 0, size: int = 2
     """(start, html) of each page with items; ends after three empty pages in a row, or a page without items."""
     empty = 0
     while empty < EMPTY_PAGES:
-        html = attempt(fetch, start, size, attempts, pause)
+        html = attempt(fetch, start, size, attempts=attempts, pause=pause)
         if html and html.strip():
             if not has_items(html):
                 return

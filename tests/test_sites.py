@@ -87,6 +87,7 @@ def test_build_from_folders(spark, tmp_path):
         (root / name / "index.html").write_text(f'<html><head><link rel="stylesheet" href="/m.css"><link rel=stylesheet href="http://x/y.css"><script src="lib.js"></script></head><body><nav class="n">{name * 20}</nav></body></html>')
         (root / name / "assets" / "m.css").write_text(".n{color:red}")
         (root / name / "lib.js").write_text("x")
+        (root / name / "assets" / "i.png").write_bytes(b"\x89\xff")  # no text
         (root / name / "metadata.json").write_text(json.dumps({"site_url": f"https://{name[5:]}", "title": "t"}, indent=2))
     (root / "httpsa.jp" / "info.html").write_text(INFO)
     (root / "empty").mkdir()

@@ -40,7 +40,8 @@ def resolved(ref: Column) -> Column:
 def linked(nodes: DataFrame, pages: DataFrame, files: DataFrame, kind: str) -> DataFrame:
     """page_id, node_id, path, text of the stylesheets ("css") or scripts ("js") that a page names and its site holds.
 
-    Absolute references are left out, scripts by the names of libraries, and code that is obfuscated or minified.
+    Absolute references are left out, scripts by the names of libraries, files that aren't UTF-8, and code that is
+    obfuscated or minified.
     Scripts are laid out.
     """
     if kind == "css":
@@ -49,8 +50,8 @@ def linked(nodes: DataFrame, pages: DataFrame, files: DataFrame, kind: str) -> D
         library = "|".join(name.replace(".", r"\.") for name in v.LIBRARY_NAMES)
         refs = nodes.where("tag = 'script'").select("page_id", "node_id", F.col("attrs")["src"].alias("ref")).where(~F.lower("ref").rlike(library))
     refs = refs.where("ref <> '' and not startswith(ref, 'http')").select("page_id", "node_id", resolved(F.col("ref")).alias("path"))
-    held = files.select("site", "path", F.decode("content", "UTF-8").alias("text"))
-    found = refs.join(pages.select("page_id", "site"), "page_id").join(held, ["site", "path"]).where(~obfuscated(F.col("text"), kind)).select("page_id", "node_id", "path", "text")
+    held = files.select("site", "path", F.try_validate_utf8(F.col("content").cast("string")).alias("text"))
+    found = refs.join(pages.select("page_id", "site"), "page_id").join(held, ["site", "path"]).where("text is not null").where(~obfuscated(F.col("text"), kind)).select("page_id", "node_id", "path", "text")
     if kind == "css":
         return found
     keys = ("page_id", "node_id", "path")

@@ -156,3 +156,25 @@ SHELL = """<!DOCTYPE html>
 {html}
 </body>
 </html>"""
+
+# fixed values: what a model is asked for reasoning
+REASON_SYSTEM = "You are an expert front-end designer who explains design decisions clearly and concisely."
+REASON_TEMPERATURE, REASON_TOKENS, REASON_TIMEOUT, REASON_PAUSE = 0.7, 300, 30.0, 0.5
+NO_KEYWORDS = "standard web design patterns"
+REASON_PROMPT = """You are a senior creative front-end engineer analyzing a website design.
+
+Given the following website characteristics:
+{context}
+
+Design keywords detected: {keywords}
+
+Explain the design reasoning in 4-5 detailed bullet points:
+1. Component/design purpose: Why this design approach fits the industry/brand and user needs
+2. Visual design: How the visual style (tone, colors, typography, spacing) supports the brand message and creates hierarchy
+3. Layout structure: Why this layout pattern (grid/flexbox/centered/etc.) was chosen and how it organizes content
+4. Interactive elements: How motion, transitions, and interactions enhance user experience and convey brand personality
+5. Technical implementation: Notable CSS/design techniques used and their purpose (e.g., clamp for fluid typography, CSS Grid for complex layouts, custom properties for theming)
+
+Be specific, professional, and focus on design intent and user experience. Include design keywords like: {keywords}
+Keep each point to 2-3 sentences with concrete details.
+Format as bullet points starting with "- "."""

@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from webloom.plans import registry
+from webloom.functions.dialect import Spark
+from webloom.plans import pages, registry
 
 DATA = "/root/testdata/sf0.001"
 
@@ -37,3 +38,10 @@ def test_native_queries_run_no_python(spark):
     for name in ("full_page_examples", "color_topk", "link_placeholders", "minified_flag"):
         plan = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+
+
+def test_script_urls(spark):
+    html = """<script src=x.js></script><script async SRC="//c.d/e.js"></script><script>x</script><script data-src="n.js"></script><script type='m' src='/r.js?v=1'>"""
+    spark.createDataFrame([(1, "https://h.jp/a/b", html), (2, "https://h.jp/", None), (3, "https://h.jp/", "")], "page_id long, url string, html string").createOrReplaceTempView("pages")
+    got = spark.sql(pages.script_urls(Spark())).orderBy("page_id", "nth").collect()
+    assert [tuple(r) for r in got] == [(1, 1, "x.js", "https://h.jp/x.js"), (1, 2, "//c.d/e.js", "https://c.d/e.js"), (1, 3, "/r.js?v=1", "https://h.jp/r.js?v=1")]

@@ -97,6 +97,12 @@ def page_titles(d: Spark) -> str:
     return f"WITH f AS {facts(d)} SELECT page_id, title, {described} AS description FROM f"
 
 
+def script_urls(d: Spark) -> str:
+    """page_id, nth, href, script_url: what each script with a source names, and where that is, from the host of the page."""
+    sources = d.exploded("pages", d.find_all("html", r"(?i)<script\s(?:[^>]*\s)?src\s*=\s*[\x22\x27]?([^\x22\x27\s>]+)"), "nth", "href", "page_id, url")
+    return f"SELECT page_id, nth, href, {absolute(d)} AS script_url FROM {sources} x"
+
+
 def inline_css(d: Spark) -> str:
     return f"WITH f AS {facts(d)} SELECT page_id, css FROM f WHERE css <> ''"
 
@@ -259,7 +265,7 @@ def code_block_roundtrip(d: Spark) -> str:
 
 
 QUERIES = (
-    full_page_examples, page_characteristics, design_keywords, page_titles, inline_css, inline_js, minified_flag, visible_text, strip_comment_artifacts, doctype_charset, sanitize_url, base_domain,
+    full_page_examples, page_characteristics, design_keywords, page_titles, script_urls, inline_css, inline_js, minified_flag, visible_text, strip_comment_artifacts, doctype_charset, sanitize_url, base_domain,
     asset_filename, resolve_links, same_domain_links, link_placeholders, cdn_filter, style_cdn_filter, folder_names, page_industry, photo_usage, color_topk, processed_sites_antijoin, resume_offset, example_numbering,
     filename_conflicts, example_type_counts, code_block_roundtrip,
 )

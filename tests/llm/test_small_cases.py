@@ -347,6 +347,31 @@ def test_vectors_of_all_lengths_and_sizes_link(spark):
     assert vectors.near_vectors(frame.limit(0)).collect() == []
 
 
+def vector_cases():
+    rng = np.random.default_rng(4)
+    yield [[1.0, 0.0], [1.0, 0.001], [-1.0, 0.0], [0.0, 1.0]]
+    for n in (2, 8, 64, 768):
+        noise = lambda m, n=n: rng.standard_normal((m, n)) / np.sqrt(n)
+        common = rng.standard_normal(n)
+        common /= np.linalg.norm(common)
+        yield (common + 0.1 * noise(120)).tolist()  # a tight cluster, alone
+        shifted = 1.2 * common + noise(300)
+        yield [*shifted.tolist(), *(shifted[:60] + 0.17 * np.linalg.norm(shifted[:60], axis=1, keepdims=True) * noise(60)).tolist()]  # a common mean
+
+
+def test_no_link_is_lost_in_clusters_or_around_a_common_mean(spark):
+    cases = list(vector_cases())
+    rows = [(1000 * k + i, x, k) for k, case in enumerate(cases) for i, x in enumerate(case)]
+    out = {r.vec_id: r for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    for k, case in enumerate(cases):
+        x = np.array(case)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        want = (x @ x.T >= 0.98).sum(axis=1) - 1
+        got = np.array([out[1000 * k + i].n_links for i in range(len(x))])
+        assert (got <= want).all() and got.sum() >= 0.99 * want.sum()
+    assert [out[i].n_links for i in range(4)] == [1, 1, 0, 0] and {out[1000 + i].component_id for i in range(120)} == {1000}
+
+
 def test_substrings_against_all_windows(spark):
     rng = random.Random(7)
     vocabulary = [f"w{i}" for i in range(50)]

@@ -14,8 +14,8 @@ from .common import attached, materialize, shuffle_parts, units
 from .components import components, forest
 from .minhash import blocked
 
-#: Bits of a code that one Hamming table indexes.
-SUB = 16
+#: Bits of a rotation's code, and those that one Hamming table indexes.
+BITS, SUB = 64, 16
 
 
 def unit(vector: list | None) -> np.ndarray | None:
@@ -33,34 +33,37 @@ def unit(vector: list | None) -> np.ndarray | None:
 class Codes:
     """Binary codes under several learned rotations.
 
-    Each rotation starts from a random one and is refined in turns: codes are the signs of the rotated vectors, and
-    the rotation becomes the one that brings the vectors closest to their codes. Vectors are centred by the sample's
-    mean, so that bits are balanced.
+    Each rotation starts from BITS random directions (orthogonal where there is room) and is refined in turns: codes are the
+    signs of the rotated vectors, and the rotation becomes the one that brings the vectors closest to their codes. It is learned
+    on vectors centred by the sample's mean, so that bits are balanced, and that the mean itself pulls no bit to one side.
+
+    Codes are signs of the vectors as they are: a bit is a plane through the origin, as the angle that is asked for is one at the
+    origin. Two vectors at an angle t differ in a bit with a probability of about t / pi, wherever the others lie: at a cosine of
+    0.98 they agree in a table of 16 bits with 0.35, and in none of 24 tables with 0.00003. That holds as long as planes differ: vectors
+    that spread in fewer than SUB directions keep the rotations as drawn, since turns would bring all to the same planes.
     """
 
-    def __init__(self, sample: np.ndarray, rotations: int, rounds: int = 20, bits: int = 64, seed: int = 3):
+    def __init__(self, sample: np.ndarray, rotations: int, rounds: int = 20, seed: int = 3):
         rng = np.random.default_rng(seed)
-        self.mean = sample.mean(axis=0)
-        centred = sample - self.mean
-        self.axes = np.linalg.svd(centred, full_matrices=False)[2][:bits].T if centred.shape[1] > bits else np.eye(centred.shape[1])
-        flat, c = centred @ self.axes, self.axes.shape[1]
-        self.turns = []
+        centred = sample - sample.mean(axis=0)
+        n = centred.shape[1]
+        variances = np.linalg.svd(centred, compute_uv=False) ** 2
+        directions = variances.sum() ** 2 / max((variances**2).sum(), 1e-300)
+        planes = []
         for _ in range(rotations):
-            turn = np.linalg.qr(rng.standard_normal((c, c)))[0]
-            for _ in range(rounds):
+            start = rng.standard_normal((n, BITS))
+            start = np.linalg.qr(start)[0] if n >= BITS else np.linalg.qr(start.T)[0].T
+            flat, turn = centred @ start, np.linalg.qr(rng.standard_normal((BITS, BITS)))[0]
+            for _ in range(rounds if directions >= SUB else 0):
                 u, _, v = np.linalg.svd(flat.T @ np.where(flat @ turn >= 0, 1.0, -1.0))
                 turn = u @ v
-            self.turns.append(turn)
-        self.width = min(SUB, c)
+            planes.append(start @ turn)
+        self.planes = np.concatenate(planes, axis=1)
 
     def of(self, unit: np.ndarray) -> np.ndarray:
-        """A code of `width` bits for each table: rows by tables."""
-        flat, out = (unit - self.mean) @ self.axes, []
-        for turn in self.turns:
-            bits = flat @ turn >= 0
-            for lo in range(0, bits.shape[1] - self.width + 1, self.width):
-                out.append(bits[:, lo : lo + self.width] @ (1 << np.arange(self.width)))
-        return np.stack(out, axis=1).astype(np.int32)
+        """A code of SUB bits for each table: rows by tables."""
+        bits = (unit @ self.planes >= 0).reshape(len(unit), -1, SUB)
+        return (bits @ (1 << np.arange(SUB))).astype(np.int32)
 
 
 def learned(vectors: DataFrame, rotations: int, sample_rows: int) -> dict[int, Codes]:
@@ -80,7 +83,7 @@ def codes_for(codes: dict[int, Codes], n: int, rotations: int) -> Codes:
     return codes[n]
 
 
-def near_vectors(vectors: DataFrame, *, cosine: float = 0.98, rotations: int = 4, sample_rows: int = 4096) -> DataFrame:
+def near_vectors(vectors: DataFrame, *, cosine: float = 0.98, rotations: int = 6, sample_rows: int = 4096) -> DataFrame:
     """vec_id, n_links, component_id, kept: links between vectors of one label with a cosine of `cosine` or more.
 
     Rotations are learned on at most `sample_rows` vectors; every vector is indexed. Vectors that agree in a whole table

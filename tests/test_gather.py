@@ -4,7 +4,6 @@ import os
 from tests.list_pages import listing as fetch_list
 from tests.list_pages import web
 
-from webloom.operators.rewrite import localized, named_files
 from webloom.plans import gather
 from webloom.sources.paged import PagedList, pages
 
@@ -41,9 +40,3 @@ def test_paged_list_through_spark(spark, monkeypatch):
     spark.dataSource.register(PagedList)
     found = spark.read.format("paged").option("fetch", "tests.list_pages:listing").option("pause", "0").load().collect()
     assert [r.page_id for r in found] == [0, 20]
-
-
-def test_failed_files_keep_their_names():
-    html = '<html><link rel="stylesheet" href="/a/m.css"><link rel="stylesheet" href="/b/m.css"></html>'
-    assert named_files(html, "https://h.jp/") == [("https://h.jp/a/m.css", "assets/m.css"), ("https://h.jp/b/m.css", "assets/m_1.css")]
-    assert localized(html, "https://h.jp/", {"https://h.jp/a/m.css"}) == '<html><link rel="stylesheet" href="assets/m_1.css"></html>'

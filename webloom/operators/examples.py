@@ -11,7 +11,6 @@ from ..plans import pages as plans
 from ..sources.tables import materialize, spread, table, views
 from .code import component_js, scripts, sheets
 from .html import Elements, component_css, components, css_rules
-from .rewrite import column, pretty
 
 #: A group's markup is cut here.
 GROUP_LIMIT = 200_000
@@ -119,7 +118,7 @@ class Parts:
 
 def laid_out(nodes: Elements) -> DataFrame:
     """Components with their markup laid out."""
-    return components(nodes, lambda html: column(pretty, html))
+    return components(nodes, layout=True)
 
 
 def page_components(spark: SparkSession, sf_dir: str) -> DataFrame:

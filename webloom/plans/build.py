@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.examples import training_examples
 from ..operators.html import Elements
 from ..operators.numbering import resumed
-from ..operators.rewrite import column, prepared
+from ..operators.rewrite import prepared
 from ..operators.sites import folder_url, site_metadata
 from ..sources.folders import example_files, linked, site_files, site_pages, write_folders
 from ..sources.jsonl import read_jsonl, write_jsonl
@@ -27,7 +27,8 @@ def site_table(spark: SparkSession, root: str) -> DataFrame:
     """
     files = site_files(spark, root)
     found = site_pages(files)
-    nodes = Elements(found).nodes
+    elements = Elements(found)
+    nodes = elements.nodes
 
     def held(kind: str, tag: str) -> DataFrame:
         texts = linked(nodes, found, files, kind).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("node_id", "text"))).alias("t"))
@@ -35,7 +36,7 @@ def site_table(spark: SparkSession, root: str) -> DataFrame:
 
     whole = found.drop("url").join(held("css", "style"), "page_id", "left").join(held("js", "script"), "page_id", "left")
     told = site_metadata(site_pages(files, "info.html").withColumn("url", folder_url(F.col("site"))))
-    whole = whole.join(told.select("page_id", "url", F.concat_ws(" ", F.concat_ws(" ", "category"), "title").alias("told")), "page_id", "left").withColumn("shown", column(prepared, F.col("html")))
+    whole = whole.join(told.select("page_id", "url", F.concat_ws(" ", F.concat_ws(" ", "category"), "title").alias("told")), "page_id", "left").join(prepared(found, elements).withColumnRenamed("html", "shown"), "page_id")
     none = F.lit("")
     return whole.select("page_id", F.coalesce("url", folder_url(F.col("site"))).alias("url"), "site", F.concat("shown", F.coalesce("css", none), F.coalesce("js", none)).alias("html"), "shown", F.coalesce("told", none).alias("told"))
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.encoding import decoded, sound
 from ..operators.html import Elements
-from ..operators.rewrite import column, localized, named_files
+from ..operators.rewrite import localized, named_files
 from ..operators.sites import list_items
 from ..sources.folders import metadata_json, processed_sites, write_folders
 from ..sources.paged import ATTEMPTS, PAUSE
@@ -50,11 +48,6 @@ def new_sites(spark: SparkSession, listing: DataFrame, target: str, base: str, m
     return sites, new.orderBy("page_id", "item_id").limit(most) if most else new
 
 
-@F.pandas_udf(ArrayType(StructType([StructField("url", StringType()), StructField("path", StringType())])))
-def _named(html: pd.Series, url: pd.Series, root: pd.Series) -> pd.Series:
-    return pd.Series([None if h is None else [{"url": u, "path": p} for u, p in named_files(h, u_, r)] for h, u_, r in zip(html, url, root)], dtype=object)
-
-
 def inline(html: Column, tag: str) -> Column:
     """The contents of a page's own styles or scripts, blank ones aside."""
     found = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?![^>]*\bsrc\s*=)[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
@@ -76,15 +69,16 @@ def gather(spark: SparkSession, listing: DataFrame, target: str, fetch: Callable
     info = fetched(asked.select("folder", F.lit("info").alias("kind"), F.col("detail_url").alias("url")), fetch, ATTEMPTS, pause)
     index = fetched(asked.select("folder", F.lit("index").alias("kind"), F.col("site").alias("url")), fetch)
     read = info.unionByName(index).select("folder", "kind", "url", decoded(F.col("reply.body"), F.col("reply.charset"), F.col("reply.encoding")).alias("html"))
-    pages = materialize(read.where(sound(F.col("html"))))
     root = F.when(F.col("kind") == "info", F.lit(ASSETS["info"])).otherwise(F.lit(ASSETS["index"]))
-    named = pages.select("folder", "kind", F.explode(_named("html", "url", root)).alias("f")).select("folder", "kind", "f.url", "f.path")
+    pages = materialize(read.where(sound(F.col("html"))).withColumn("page_id", F.xxhash64("folder", "kind")))
+    elements, roots = Elements(pages), pages.select("page_id", root.alias("_root"))
+    named = named_files(pages, F.col("_root"), elements, roots).join(pages.select("page_id", "folder", "kind"), "page_id").select("page_id", "folder", "kind", F.col("whole").alias("url"), F.col("name").alias("path"))
     files = materialize(fetched(named.repartition(tasks), fetch))
     told = F.lower("reply.content_type")
     came = F.col("reply").isNotNull() & (~F.contains("path", F.lit("assets/images/")) & ~F.contains("path", F.lit("/info/images/")) | told.isNull() | F.startswith(told, F.lit("image/")))
-    lost = files.where(~F.coalesce(came, F.lit(False))).groupBy("folder", "kind").agg(F.collect_set("url").alias("lost"))
-    shown = column(lambda html, url, kind, lost: localized(html, url, set(() if lost is None else lost), ASSETS[kind]), *map(F.col, ("html", "url", "kind", "lost")))
-    local = materialize(pages.join(lost, ["folder", "kind"], "left").withColumn("shown", shown))
+    lost = files.where(~F.coalesce(came, F.lit(False))).select("page_id", F.col("url").alias("whole"))
+    shown = localized(pages, lost, F.col("_root"), elements, roots).withColumnRenamed("html", "shown")
+    local = materialize(pages.join(shown, "page_id"))
     suffix = F.when(F.col("kind") == "info", "_info").otherwise("")
     parts = [(F.concat("kind", F.lit(".html")), F.col("shown")), (F.concat(F.lit("inline_styles"), suffix, F.lit(".css")), inline(F.col("html"), "style")), (F.concat(F.lit("inline_scripts"), suffix, F.lit(".js")), inline(F.col("html"), "script"))]
     texts = local.select("folder", "kind", F.explode(F.array(*(F.struct(k.alias("file"), x.alias("text")) for k, x in parts))).alias("p")).select("folder", "kind", "p.file", F.encode("p.text", "UTF-8").alias("text")).where("length(text) > 0")

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from webloom.functions.dialect import Spark
+from webloom.functions.dialect import Duck, Spark
 from webloom.plans import pages, registry
 
 DATA = "/root/testdata/sf0.001"
@@ -45,3 +45,20 @@ def test_script_urls(spark):
     spark.createDataFrame([(1, "https://h.jp/a/b", html), (2, "https://h.jp/", None), (3, "https://h.jp/", "")], "page_id long, url string, html string").createOrReplaceTempView("pages")
     got = spark.sql(pages.script_urls(Spark())).orderBy("page_id", "nth").collect()
     assert [tuple(r) for r in got] == [(1, 1, "x.js", "https://h.jp/x.js"), (1, 2, "//c.d/e.js", "https://c.d/e.js"), (1, 3, "/r.js?v=1", "https://h.jp/r.js?v=1")]
+
+
+def test_links_descriptions_and_pages_without_scripts(spark, con):
+    links = {"../z": "https://a.com/z", "./c": "https://a.com/c", "a/../b/./c?x=../y": "https://a.com/b/c?x=../y", "/../../d": "https://a.com/d", "//o.org/x/../y": "https://o.org/x/../y", "?q": "https://a.com?q", "#t": "https://a.com#t", "x/..": "https://a.com/", "..": "https://a.com/", "b": "https://a.com/b"}
+    heads = ["<title> A </title><meta name='description' content=\"D's page\">", "<title>T</title><meta content='say &quot;x&quot;' name=description>", '<meta property="x" content="no"><meta name="keywords" content="k">', "no tags", "", None]
+    rows = [(i, "https://a.com/x/y?p=1", f'<a href="{h}">l</a>') for i, h in enumerate(links)] + [(100 + i, "https://a.com/", h) for i, h in enumerate(heads)]
+    small = spark.createDataFrame(rows, "page_id long, url string, html string")
+    small.createOrReplaceTempView("pages")
+    duck = duckdb.connect()
+    duck.register("pages", small.toPandas())
+    run = lambda plan, sql: [tuple(r) for r in spark.sql(f"SELECT {sql} FROM ({plan(Spark())}) t ORDER BY page_id").collect()]
+    same = lambda plan, sql: duck.execute(f"SELECT {sql} FROM ({plan(Duck())}) t ORDER BY page_id").fetchall()
+    targets = run(pages.resolve_links, "target")
+    assert [t for t, in targets] == list(links.values()) == [t for t, in same(pages.resolve_links, "target")]
+    told = run(pages.page_titles, "title, description, page_id")[10:]
+    assert [r[:2] for r in told] == [("A", "D's page"), ("T", "say &quot;x&quot;"), ("", ""), ("", ""), ("", ""), (None, None)]
+    assert {r[0] for r in run(pages.minified_flag, "minified, page_id")} <= {False, None}

@@ -46,6 +46,11 @@ class Spark:
         items = ", ".join(f"transform({a}, (x, i) -> named_struct('pattern', {k}, 'nth', i + 1, 'token', x))" for k, a in enumerate(arrays))
         return f"(SELECT page_id, t.pattern, t.nth, t.token FROM (SELECT page_id, explode(concat({items})) AS t FROM {table}))"
 
+    def without_dots(self, path: str) -> str:
+        """A path without its . and .. segments: a fold with a stack that keeps the root."""
+        kept = f"aggregate(split({path}, '/'), CAST(array() AS ARRAY<STRING>), (s, p) -> CASE WHEN p = '..' THEN slice(s, 1, greatest(size(s) - 1, 1)) WHEN p = '.' THEN s ELSE concat(s, array(p)) END)"
+        return f"array_join({kept}, '/')"
+
     def md5(self, x: str) -> str:
         return f"md5({x})"
 
@@ -103,6 +108,10 @@ class Duck(Spark):
     def tagged(self, table: str, arrays: list[str]) -> str:
         return "(" + " UNION ALL ".join(f"SELECT page_id, {k} AS pattern, nth, token FROM {self.exploded(table, a, 'nth', 'token', 'page_id')} t" for k, a in enumerate(arrays)) + ")"
 
+    def without_dots(self, path: str) -> str:
+        kept = f"list_reduce(list_transform(string_split({path}, '/'), lambda x: [x]), lambda s, p: CASE WHEN p[1] = '..' THEN list_slice(s, 1, greatest(len(s) - 1, 1)) WHEN p[1] = '.' THEN s ELSE list_concat(s, p) END)"
+        return f"array_to_string({kept}, '/')"
+
     @staticmethod
     def back(group: int) -> str:
         return f"\\{group}"

@@ -93,8 +93,12 @@ def design_keywords(d: Spark) -> str:
 
 
 def page_titles(d: Spark) -> str:
-    described = d.find("html", r"(?is)<meta[^>]*name=[\x22\x27]description[\x22\x27][^>]*content=[\x22\x27]([^\x22\x27]*)[\x22\x27]")
-    return f"WITH f AS {facts(d)} SELECT page_id, title, {described} AS description FROM f"
+    """Title and description of a page; the description in either order of a meta's attributes, and in either kind of quotes."""
+    name = r"name=[\x22\x27]?description[\x22\x27\s/>]"
+    after = [rf"(?is)<meta\s(?:[^>]*\s)?{name}[^>]*?content={q}([^{q}]*){q}" for q in (r"\x22", r"\x27")]
+    before = [rf"(?is)<meta\s(?:[^>]*\s)?content={q}([^{q}]*){q}[^>]*\s{name}" for q in (r"\x22", r"\x27")]
+    described = ", ".join(f"nullif({d.find('html', p)}, '')" for p in after + before)
+    return f"WITH f AS {facts(d)} SELECT page_id, title, coalesce({described}, CASE WHEN html IS NOT NULL THEN '' END) AS description FROM f"
 
 
 def script_urls(d: Spark) -> str:
@@ -123,7 +127,7 @@ def minified_flag(d: Spark) -> str:
     return f"""WITH c AS (SELECT page_id, {d.join(d.find_all('html', r'(?is)<script[^>]*>(.*?)</script>'), chr(10))} AS code FROM pages),
         l AS (SELECT page_id, code, {nonblank} AS lines FROM c),
         m AS (SELECT page_id, code, CAST({size} AS DOUBLE) AS n, CAST(length({d.join('lines', '')}) AS DOUBLE) AS chars FROM l)
-        SELECT page_id, length({strip(d, 'code')}) >= 50 AND ({odd} OR (n > 0 AND chars / n > 500 AND n / length(code) < 0.01) OR (n > 0 AND chars / n > 200 AND {d.matches('code', r'[a-z]\{[a-z]|[a-z]\}[a-z]')}) OR (n > 0 AND chars / n > 200 AND {built})) AS minified FROM m"""
+        SELECT page_id, length({strip(d, 'code')}) >= 50 AND ({odd} OR (chars / nullif(n, 0) > 500 AND n / nullif(length(code), 0) < 0.01) OR (chars / nullif(n, 0) > 200 AND {d.matches('code', r'[a-z]\{[a-z]|[a-z]\}[a-z]')}) OR (chars / nullif(n, 0) > 200 AND {built})) AS minified FROM m"""
 
 
 def visible_text(d: Spark) -> str:
@@ -184,7 +188,10 @@ def links(d: Spark) -> str:
 
 def absolute(d: Spark) -> str:
     base = d.find("url", r"^([^:]+://[^/?#]*)")
-    return f"CASE WHEN {d.matches('href', r'^[A-Za-z][A-Za-z0-9+.-]*:')} THEN href WHEN substring(href, 1, 2) = '//' THEN concat({d.find('url', r'^([^:]+:)')}, href) WHEN substring(href, 1, 1) = '/' THEN concat({base}, href) WHEN href = '' THEN {base} WHEN substring(href, 1, 1) IN ('#', '?') THEN concat({base}, href) ELSE concat({base}, '/', href) END"
+    bare, tail = d.find("href", r"^([^?#]*)"), d.find("href", r"^[^?#]*(.*)")
+    rooted = f"CASE WHEN substring(href, 1, 1) = '/' THEN {bare} ELSE concat('/', {bare}) END"
+    path = f"concat({d.without_dots(rooted)}, CASE WHEN {d.matches(bare, r'(^|/)[.][.]?$')} THEN '/' ELSE '' END)"
+    return f"CASE WHEN {d.matches('href', r'^[A-Za-z][A-Za-z0-9+.-]*:')} THEN href WHEN substring(href, 1, 2) = '//' THEN concat({d.find('url', r'^([^:]+:)')}, href) WHEN href = '' THEN {base} WHEN substring(href, 1, 1) IN ('#', '?') THEN concat({base}, href) ELSE concat({base}, {path}, {tail}) END"
 
 
 def resolve_links(d: Spark) -> str:

@@ -46,3 +46,17 @@ def test_offsets_of_a_list():
     items = PagedStreamReader({"fetch": "tests.list_pages:listing", "pause": "0"})
     rows, end = items.read(items.initialOffset())
     assert [at for at, _ in rows] == [0, 20] and end == {"start": 40, "empty": 3}
+
+
+def test_a_stream_reads_only_what_is_new(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    schema = "text_md5 string, chars int"
+
+    def add(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(source)
+        read = dedupe.ingest(spark.readStream.schema(schema).parquet(source), sink, checkpoint)
+        return read, sorted((r.text_md5 or "", r.chars) for r in spark.read.schema(schema).parquet(sink).collect())
+
+    assert add(("a", 1), ("a", 1), (None, 3), ("b", 2)) == (4, [("", 3), ("a", 1), ("b", 2)])
+    assert add(("b", 2), (None, 3), ("c", 4)) == (3, [("", 3), ("a", 1), ("b", 2), ("c", 4)])
+    assert dedupe.ingest(spark.readStream.schema(schema).parquet(source), sink, checkpoint) == 0

@@ -14,7 +14,7 @@ from ..operators.rewrite import prepared
 from ..operators.sites import folder_url, site_metadata
 from ..sources.folders import example_files, linked, site_files, site_pages, write_folders
 from ..sources.jsonl import read_jsonl, write_jsonl
-from ..sources.tables import shared_dir
+from ..sources.tables import exists, shared_dir
 
 MODES = ("append", "overwrite", "incremental")
 
@@ -65,8 +65,3 @@ def build(spark: SparkSession, root: str, jsonl: str, folders: str | None = None
     if folders:
         write_folders(example_files(new, "page_id", "kind", "part"), folders)
     return {r.kind: r["count"] for r in new.groupBy("kind").count().collect()}
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

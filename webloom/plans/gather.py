@@ -13,9 +13,8 @@ from ..operators.rewrite import localized, named_files
 from ..operators.sites import list_items
 from ..sources.folders import metadata_json, processed_sites, write_folders
 from ..sources.paged import ATTEMPTS, PAUSE
-from ..sources.tables import discard, materialize
+from ..sources.tables import discard, exists, materialize
 from ..sources.web import Reply, fetched
-from .build import exists
 
 #: Where the files of a page of each kind stand in its site's folder.
 ASSETS = {"index": "assets/", "info": "assets/info/"}

@@ -1,4 +1,4 @@
-"""Incremental ingest as a stream: micro-batches whose new texts alone reach the sink."""
+"""Incremental ingest as a stream whose new texts alone reach the sink."""
 
 from __future__ import annotations
 
@@ -7,30 +7,50 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import shared_dir, table
+from ..sources.tables import exists, shared_dir, table
+
+STATE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def append_new(batch: DataFrame, sink: str, key: str = "text_md5") -> None:
-    """Appends the batch's rows whose key the sink lacks, the first of each. A batch that is run again adds nothing."""
+    """Appends a batch's rows whose key the sink lacks, the first of each. A batch that is run again adds nothing.
+
+    For single batches: the sink's keys are read. A stream holds them as state, see `ingest`.
+    """
     spark = batch.sparkSession
     new = batch.dropDuplicates([key])
-    try:
+    if exists(spark, sink):
         known = spark.read.schema(batch.schema).parquet(sink).select(F.col(key).alias("_known"))
         new = new.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")  # a null key is one key
-    except Exception as e:  # the sink's first batch
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
     new.select(*batch.columns).write.mode("append").parquet(sink)
 
 
+def ingest(stream: DataFrame, sink: str, checkpoint: str, key: str = "text_md5") -> int:
+    """Writes the stream's rows with new keys to sink, as far as its input goes now; the number of rows read.
+
+    The keys so far are state beside the checkpoint (RocksDB: it may be larger than memory), so a batch reads its own rows
+    alone, however long the sink is. A null key is one key. What a batch that fails has written doesn't count: the sink's log
+    names the files of whole batches, and Spark's readers go by it.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get(STATE)
+    conf.set(STATE, ROCKSDB)
+    try:
+        query = stream.dropDuplicates([key]).writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).format("parquet").start(sink)
+        query.awaitTermination()
+    finally:
+        conf.set(STATE, before)
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The distinct texts of documents, as a stream that ends with its input: AvailableNow, foreachBatch, anti-join."""
+    """The distinct texts of documents, as a stream that ends with its input, its keys held as state."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(docs.schema).parquet(f"{sf_dir}/documents.parquet*").select(F.md5("text").alias("text_md5"), F.length("text").alias("chars"))
-    query = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(lambda batch, _: append_new(batch, f"{folder}/sink")).start()
-    query.awaitTermination()
-    return spark.read.parquet(f"{folder}/sink")
+    ingest(stream, f"{folder}/sink", f"{folder}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{folder}/sink")
 
 
 QUERIES = {"stream_dedupe": stream_dedupe}

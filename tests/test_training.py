@@ -24,3 +24,23 @@ def test_ids_of_a_tokenizer_file(spark):
 def test_every_pair_has_ids(spark):
     rows = training.token_ids(spark, DATA).collect()
     assert rows and all(0 < r.n_labels <= r.n_tokens <= 2048 for r in rows)
+
+
+def test_the_query_gives_the_tokenizers_ids(spark):
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from webloom.functions import values as v
+    from webloom.operators import training
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    said = {(r.conv_id, r.turn): r for r in spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").collect()}
+    rows = training.token_ids(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == sum(r.role == "user" and any(c == r.conv_id and n > r.turn and x.role == "assistant" for (c, n), x in said.items()) for r in said.values())
+    for r in rows:
+        answer = next(x for (c, n), x in sorted(said.items()) if c == r.conv_id and n > r.turn and x.role == "assistant")
+        prompt = v.TRAIN_PROMPT + said[r.conv_id, r.turn].text.strip(" ") + v.RESPONSE
+        ids, masked = (tokenizer.encode(x).ids[: training.LONGEST] for x in (f"{prompt}{answer.text}\n<|EOT|>", prompt))
+        assert (r.n_tokens, r.n_labels, r.ids_crc32) == (len(ids), len(ids) - len(masked), zlib.crc32(",".join(map(str, ids)).encode()))

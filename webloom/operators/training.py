@@ -57,12 +57,19 @@ def with_labels(prompt: Column, answer: Column, ids: Callable[[str], list[int]]
     return run(prompt, answer)
 
 
-def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conv_id, turn, n_tokens, n_labels, ids_crc32 of each instruction and answer in the training prompt."""
+def token_ids(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """conv_id, turn, n_tokens, n_labels, ids_crc32 of each instruction and answer in the training prompt.
+
+    tokenizer is the path of a tokenizer file, else that of the installed public byte-level BPE.
+    """
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     views(spark, sf_dir, ("conversations",))
     pairs = spark.sql(f"SELECT conv_id, turn, trim(instruction) AS instruction, answer FROM {corpus.pairs()} p")
     prompt = F.concat(F.lit(v.TRAIN_PROMPT), "instruction", F.lit(v.RESPONSE))
-    made = pairs.repartition(spark.sparkContext.defaultParallelism).select("conv_id", "turn", with_labels(prompt, F.col("answer")).alias("t"))
+    made = pairs.repartition(spark.sparkContext.defaultParallelism).select("conv_id", "turn", with_labels(prompt, F.col("answer"), from_file(tokenizer)).alias("t"))
     counted = F.size(F.filter("t.labels", lambda x: x != MASKED))
     return made.select("conv_id", "turn", F.size("t.input_ids").alias("n_tokens"), counted.alias("n_labels"), F.crc32(F.array_join("t.input_ids", ",").cast("binary")).alias("ids_crc32"))
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from ..functions import values as v
 from ..functions.encoding import decoded
 from ..operators.code import obfuscated, repaired_css, spaced_scripts
 from ..operators.numbering import numbered
+from .commit import Place, swapped
 
 #: Longer files are skipped, at the scan.
 LONGEST_FILE = 50 * 1024 * 1024
@@ -83,25 +86,43 @@ def example_files(examples: DataFrame, *keys: str) -> DataFrame:
 
 
 def write_folders(files: DataFrame, target: str, empty: bool = True) -> int:
-    """Writes (folder, file, text or bytes) rows below target, which is emptied first if `empty`; the number of files written.
+    """Writes (folder, file, text or bytes) rows below target, an absolute path or URI; the number of files written.
 
-    Files have fixed names, so a task that runs again writes the same ones.
+    empty: they take the place of what target holds, all at once, when all are written; a job that fails leaves target
+    as it was. Otherwise files come beside those that are there, or replace them, each whole: it is written aside under the
+    task attempt's name and moved. Files have fixed names, so a task that runs again writes the same ones.
     """
-    system, base = fs.FileSystem.from_uri(target)
-    if empty and system.get_file_info(base).type != fs.FileType.NotFound:
-        system.delete_dir_contents(base)
+    spark = files.sparkSession
+    if empty:
+        with swapped(spark, target) as staging:
+            return put(files, staging)
+    return put(files, target.rstrip("/"))
+
+
+def put(files: DataFrame, target: str) -> int:
+    """Writes files below target, each by a rename."""
+    aside = f"{target}._parts-{uuid.uuid4().hex}"
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(target)
+        _, parts = fs.FileSystem.from_uri(aside)
+        part = f"{parts}/{TaskContext.get().taskAttemptId()}"
         for batch in batches:
+            system.create_dir(parts, recursive=True)
             for folder, file, text in zip(*(c.to_pylist() for c in batch.columns)):
                 path = f"{base}/{folder}/{file}"
                 system.create_dir(path.rpartition("/")[0], recursive=True)
-                with system.open_output_stream(path) as out:
+                with system.open_output_stream(part) as out:
                     out.write(text if isinstance(text, bytes) else (text or "").encode("utf-8", errors="replace"))
+                if system.get_file_info(path).type != fs.FileType.NotFound:  # not every file system replaces
+                    system.delete_file(path)
+                system.move(part, path)
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
-    return files.select("folder", "file", "text").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
+    try:
+        return files.select("folder", "file", "text").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
+    finally:
+        Place(files.sparkSession, aside).delete()
 
 
 def metadata_json(rows: DataFrame) -> DataFrame:

@@ -29,3 +29,10 @@ def web(url: str) -> Reply | None:
 def gaps(start: int, size: int) -> str | None:
     """Pages 0 and 1, two empty ones, page 4, then nothing any more: what comes after three empty ones is never asked for."""
     return {0: ITEM.format(n=0), 1: ITEM.format(n=1), 4: ITEM.format(n=4), 9: ITEM.format(n=9)}.get(start // size, " ")
+
+
+def model(prompt: str) -> str | None:
+    """Answers for one kind of site alone."""
+    if "Categories: beauty, web\n" in prompt and "CSS files: 1 file(s)" in prompt and "Layout: Grid-based" in prompt:
+        return " - answered\n"
+    raise RuntimeError("no answer")

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import argparse
 import json
+from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import SparkSession
 
+from .functions.values import REASON_PAUSE
+
 
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="webloom")
@@ -19,6 +22,8 @@ def arguments() -> argparse.ArgumentParser:
     build.add_argument("--mode", choices=("append", "overwrite", "incremental"), default="incremental")
     build.add_argument("--no-full-page", dest="full_page", action="store_false")
     build.add_argument("--start", type=int, default=1, help="the first site, by name, from 1")
+    build.add_argument("--ask", metavar="MODULE:FUNCTION", help="gives a model's answer to a prompt, for the reasoning of full pages")
+    build.add_argument("--pause", type=float, default=REASON_PAUSE, help="seconds after each answer")
     gather = tasks.add_parser("gather", help="a list of sites to folders of sites")
     gather.add_argument("target")
     gather.add_argument("--base", required=True, help="where the list's relative urls start")
@@ -33,22 +38,31 @@ def arguments() -> argparse.ArgumentParser:
     return parser
 
 
+def named(place: str | None) -> Callable | None:
+    """The function that module:function names."""
+    if place is None:
+        return None
+    module, _, function = place.partition(":")
+    return getattr(import_module(module), function)
+
+
 def main(given: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, int]:
     asked = vars(arguments().parse_args(given))
     spark = spark or SparkSession.builder.appName("webloom").getOrCreate()
     if asked.pop("task") == "build":
-        from .plans.build import build
+        from .plans.build import counted_build
 
-        done = build(spark, asked.pop("root"), asked.pop("jsonl"), **asked)
+        counts = counted_build(spark, asked.pop("root"), asked.pop("jsonl"), ask=named(asked.pop("ask")), **asked)._asdict()
+        done = counts.pop("written") | counts
     else:
         from .plans.gather import gather
         from .sources.paged import PagedList
 
         spark.dataSource.register(PagedList)
-        module, _, function = asked.pop("fetch").partition(":")
+        fetch = named(asked.pop("fetch"))
         options = {"fetch": asked.pop("listing"), "start": asked.pop("start"), "size": asked.pop("size"), "pause": asked["pause"]}
         listing = spark.read.format("paged").options(**options).load()
-        done = gather(spark, listing, asked.pop("target"), getattr(import_module(module), function), asked.pop("base"), **asked)
+        done = gather(spark, listing, asked.pop("target"), fetch, asked.pop("base"), **asked)
     print(json.dumps(done))
     return done
 

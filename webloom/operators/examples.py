@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as v
@@ -11,6 +13,7 @@ from ..plans import pages as plans
 from ..sources.tables import materialize, spread, table, views
 from .code import component_js, scripts, sheets
 from .html import Elements, component_css, components, css_rules
+from .reasoning import reasoned
 
 #: A group's markup is cut here.
 GROUP_LIMIT = 200_000
@@ -145,10 +148,11 @@ def grouped_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Parts(spark, sf_dir).grouped_examples()
 
 
-def training_examples(spark: SparkSession, sf_dir: str, full_page: bool = True, own: bool = False) -> DataFrame:
+def training_examples(spark: SparkSession, sf_dir: str, full_page: bool = True, own: bool = False, ask: Callable[[str], str | None] | None = None, pause: float = v.REASON_PAUSE, watch: Observation | None = None) -> DataFrame:
     """page_id, kind, part, instruction, output: examples of components, groups and (if asked for) full pages.
 
-    own: pages have columns shown and told (the markup to show, the text that tells the industry).
+    own: pages have columns shown, told (the markup to show, the text that tells the industry), category and n_css.
+    ask: a model whose answers are the reasoning of full pages, see `reasoned`.
     """
     parts = Parts(spark, sf_dir, own)
     single = parts.component_examples().select("page_id", F.lit("component").alias("kind"), F.concat_ws("_", "type", "ord").alias("part"), "instruction", "output")
@@ -156,7 +160,16 @@ def training_examples(spark: SparkSession, sf_dir: str, full_page: bool = True,
     both = single.unionByName(grouped)
     if not full_page:
         return both
-    return both.unionByName(spark.sql(plans.full_page_examples(Spark(), own)).select("page_id", F.lit("full").alias("kind"), F.lit("page").alias("part"), "instruction", "output"))
+    return both.unionByName(full_pages(spark, own, ask, pause, watch).select("page_id", F.lit("full").alias("kind"), F.lit("page").alias("part"), "instruction", "output"))
+
+
+def full_pages(spark: SparkSession, own: bool, ask: Callable[[str], str | None] | None, pause: float, watch: Observation | None) -> DataFrame:
+    """page_id, instruction, output of the full pages of the view pages."""
+    if ask is None:
+        return spark.sql(plans.full_page_examples(Spark(), own))
+    parts = spark.sql(f"WITH {plans.page_parts(Spark(), own)} SELECT * FROM parts").withColumnRenamed("reasoning", "fallback")
+    told = reasoned(parts, F.col("fallback"), ask, pause, watch)
+    return valid(told.select("page_id", "instruction", lines(F.lit("Design reasoning:"), F.col("reasoning"), F.col("code")).alias("output")))
 
 
 QUERIES = {"components": page_components, "component_css": matched_css, "component_js": matched_js, "component_examples": component_examples, "grouped_examples": grouped_examples, "training_examples": training_examples}

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import values as v
@@ -56,9 +56,14 @@ def answered(rows: DataFrame, ask: Callable[[str], str | None], pause: float = v
     return rows.mapInArrow(run, rows.withColumn(name, F.lit(None).cast("string")).schema)
 
 
-def reasoned(rows: DataFrame, fallback: Column, ask: Callable[[str], str | None] | None = None, pause: float = v.REASON_PAUSE) -> DataFrame:
-    """rows with reasoning: a model's, else the fallback; without a model to ask, the fallback alone."""
+def reasoned(rows: DataFrame, fallback: Column, ask: Callable[[str], str | None] | None = None, pause: float = v.REASON_PAUSE, watch: Observation | None = None) -> DataFrame:
+    """rows with reasoning: a model's, else the fallback; without a model to ask, the fallback alone.
+
+    watch: gets asked and unanswered, counted as the rows pass.
+    """
     if ask is None:
         return rows.withColumn("reasoning", fallback)
     told = answered(rows.withColumn("_fallback", fallback).withColumn("_prompt", prompt(rows)), ask, pause, "_prompt", "_told")
+    if watch is not None:
+        told = told.observe(watch, F.count("*").alias("asked"), F.count_if(F.col("_told").isNull()).alias("unanswered"))
     return told.withColumn("reasoning", F.coalesce("_told", "_fallback")).drop("_told", "_fallback", "_prompt")

@@ -13,13 +13,14 @@ IMAGE_URL = r"(?i)url\([\x22\x27]?[^\x22\x27)]+\.(jpg|jpeg|png|gif|webp|svg)[\x2
 def facts(d: Spark, own: bool = False) -> str:
     """page_id, url, html, title, css (cleaned), js, and the lower-cased text that classifiers search.
 
-    Also shown, the markup that examples show, and told, the text that tells the industry: html and title, or pages' own.
+    Also shown, the markup that examples show, and told, the text that tells the industry: html and title, or pages' own,
+    then with their categories and number of sheets.
     """
     css = d.join(d.keep(d.find_all("html", r"(?is)<style[^>]*>(.*?)</style>"), d.matches("x", r"\S")), "\n\n")
     js = d.join(d.find_all("html", r"(?is)<script[^>]*>(.*?)</script>"), "\n\n")
     cleaned = strip(d, d.sub(d.sub(css, IMAGE_URL, "url(https://picsum.photos/800/600)"), r"\n\s*\n", "\n\n"))
     title = strip(d, d.find("html", r"(?is)<title[^>]*>(.*?)</title>"))
-    told = "shown, told" if own else f"html AS shown, {title} AS told"
+    told = "shown, told, category, n_css" if own else f"html AS shown, {title} AS told"
     return f"(SELECT page_id, url, html, {told}, {title} AS title, {cleaned} AS css, {js} AS js, lower(concat_ws(' ', {css}, html)) AS combined FROM pages)"
 
 
@@ -66,8 +67,8 @@ def lines(*parts: str) -> str:
     return f"concat_ws('\n', {', '.join(parts)})"
 
 
-def full_page_examples(d: Spark, own: bool = False) -> str:
-    """An example of each page that isn't empty or too long."""
+def page_parts(d: Spark, own: bool = False) -> str:
+    """CTEs that end in parts: instruction, reasoning and code of each page that isn't empty or too long, and what tells its design."""
     t = d.text
     html = f"CASE WHEN length(shown) > 1000000 THEN concat(substring(shown, 1, 1000000), {t(chr(10) + '<!-- ... rest of HTML ... -->')}) ELSE shown END"
     instruction = lines(
@@ -80,8 +81,15 @@ def full_page_examples(d: Spark, own: bool = False) -> str:
         "CASE WHEN keywords <> '' THEN concat('- Design features: ', keywords) END", "CASE WHEN responsive THEN '- Responsive design: Mobile-first approach with flexible grid system and breakpoints' END",
         "CASE WHEN motion <> 'None' THEN concat('- Interactions: ', motion, ' for enhanced user engagement') END", "concat('- Visual content: ', photo_usage, ' imagery to support brand message')",
     )
-    output = lines("'Design reasoning:'", reasoning, t("\nCode:"), "'```html'", html, "'```'", f"CASE WHEN css <> '' THEN concat({t(chr(10) + '```css' + chr(10) + '/* inline */' + chr(10))}, css, {t(chr(10) + '```')}) END")
-    return f"WITH {characteristics(d, own)}, ex AS (SELECT page_id, {instruction} AS instruction, {output} AS output FROM ch WHERE html <> '' AND length(html) <= {LONGEST_PAGE}) SELECT page_id, instruction, output FROM ex WHERE length(instruction) >= 50 AND length(output) >= 100 AND contains(output, '```')"
+    code = lines(t("\nCode:"), "'```html'", html, "'```'", f"CASE WHEN css <> '' THEN concat({t(chr(10) + '```css' + chr(10) + '/* inline */' + chr(10))}, css, {t(chr(10) + '```')}) END")
+    told = "industry, tone, layout, photo_usage, motion, scheme, stack, keywords" + (", category, n_css" if own else "")
+    return f"{characteristics(d, own)}, parts AS (SELECT page_id, {told}, {instruction} AS instruction, {reasoning} AS reasoning, {code} AS code FROM ch WHERE html <> '' AND length(html) <= {LONGEST_PAGE})"
+
+
+def full_page_examples(d: Spark, own: bool = False) -> str:
+    """An example of each page that isn't empty or too long."""
+    output = lines("'Design reasoning:'", "reasoning", "code")
+    return f"WITH {page_parts(d, own)}, ex AS (SELECT page_id, instruction, {output} AS output FROM parts) SELECT page_id, instruction, output FROM ex WHERE length(instruction) >= 50 AND length(output) >= 100 AND contains(output, '```')"
 
 
 def page_characteristics(d: Spark) -> str:

@@ -72,6 +72,24 @@ class Spark:
     def div(a: str, b: str) -> str:
         return f"({a}) div ({b})"
 
+    def each(self, items: str, value: str) -> str:
+        return f"transform({items}, x -> {value})"
+
+    def map_of(self, pairs: str, entry: str, pair: str) -> str:
+        return f"str_to_map({self.text(pairs)}, {self.text(entry)}, {self.text(pair)})"
+
+    def at(self, table: str, key: str) -> str:
+        return f"try_element_at({table}, {key})"
+
+    def number(self, x: str) -> str:
+        return f"try_cast({x} AS BIGINT)"
+
+    def hex_number(self, x: str) -> str:
+        return f"try_cast(conv(nullif({x}, ''), 16, 10) AS BIGINT)"
+
+    def character(self, n: str) -> str:
+        return f"decode(unhex(lpad(hex({n}), 8, '0')), 'UTF-32')"
+
 
 class Duck(Spark):
     name = "duckdb"
@@ -130,6 +148,21 @@ class Duck(Spark):
     def div(a: str, b: str) -> str:
         return f"({a}) // ({b})"
 
+    def each(self, items: str, value: str) -> str:
+        return f"list_transform({items}, lambda x: {value})"
+
+    def map_of(self, pairs: str, entry: str, pair: str) -> str:
+        return f"map_from_entries(list_transform(string_split({self.text(pairs)}, {self.text(entry)}), lambda e: (split_part(e, {self.text(pair)}, 1), split_part(e, {self.text(pair)}, 2))))"
+
+    def at(self, table: str, key: str) -> str:
+        return f"{table}[{key}]"
+
+    def hex_number(self, x: str) -> str:
+        return f"try_cast('0x' || nullif({x}, '') AS BIGINT)"
+
+    def character(self, n: str) -> str:
+        return f"chr(CAST({n} AS INT))"
+
 
 def any_of(x: str, words: tuple[str, ...] | list[str]) -> str:
     return "(" + " OR ".join("contains({}, '{}')".format(x, w.replace("'", "''")) for w in words) + ")"

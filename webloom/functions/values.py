@@ -52,9 +52,6 @@ LIBRARY_NAMES = (".min.js", "bundle", "chunk", "vendor", "lib")
 BUILD_MARKS = ("webpack", "rollup", "bundle", "chunk", "dist/", "build/", "/*!", "/*#", "sourcemappingurl", "sourcemap")
 OBFUSCATED = (r"(?i)_0x[a-f0-9]+", r"[a-z]\s*=\s*[\x22\x27][a-z]{1,3}[\x22\x27]", r"eval\s*\(", r"atob\s*\(", r"String\.fromCharCode", r"\\x[0-9a-f]{2}")
 
-# entities that a visible text has decoded, the ampersand last
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
-
 # fixed values: hosts of social networks, link texts and where their placeholders lead
 SOCIAL_HOSTS = ("facebook.com", "twitter.com", "instagram.com", "linkedin.com", "youtube.com")
 LINK_WORDS = (

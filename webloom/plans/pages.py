@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..functions import values as v
 from ..functions.dialect import Spark, any_of, choose, strip, times
+from ..functions.entities import unescaped
 
 #: Longer pages yield no examples.
 LONGEST_PAGE = 5_000_000
@@ -106,7 +107,7 @@ def page_titles(d: Spark) -> str:
     after = [rf"(?is)<meta\s(?:[^>]*\s)?{name}[^>]*?content={q}([^{q}]*){q}" for q in (r"\x22", r"\x27")]
     before = [rf"(?is)<meta\s(?:[^>]*\s)?content={q}([^{q}]*){q}[^>]*\s{name}" for q in (r"\x22", r"\x27")]
     described = ", ".join(f"nullif({d.find('html', p)}, '')" for p in after + before)
-    return f"WITH f AS {facts(d)} SELECT page_id, title, coalesce({described}, CASE WHEN html IS NOT NULL THEN '' END) AS description FROM f"
+    return f"WITH f AS {facts(d)}, m AS (SELECT page_id, title, coalesce({described}, CASE WHEN html IS NOT NULL THEN '' END) AS described FROM f) SELECT page_id, {strip(d, unescaped(d, 'title'))} AS title, {unescaped(d, 'described')} AS description FROM m"
 
 
 def script_urls(d: Spark) -> str:
@@ -143,10 +144,8 @@ def visible_text(d: Spark) -> str:
     for tag in ("script", "style", "noscript"):  # each ends at its own end alone
         bare = d.sub(bare, rf"(?is)<{tag}(\s[^>]*)?>.*?</{tag}>", " ")
     bare = d.sub(bare, r"(?s)<!--.*?-->|<[^>]*>", " ")
-    for entity, character in v.ENTITIES:
-        bare = f"replace({bare}, {d.text(entity)}, {d.text(character)})"
-    clean = strip(d, d.sub(bare, r"\s+", " "))
-    return f"WITH t AS (SELECT page_id, {clean} AS t FROM pages) SELECT page_id, CASE WHEN length(t) > 5000 THEN concat(substring(t, 1, 5000), '...') ELSE t END AS text FROM t"
+    clean = strip(d, d.sub(f"replace({unescaped(d, 'bare')}, '\u00a0', ' ')", r"\s+", " "))
+    return f"WITH b AS (SELECT page_id, {bare} AS bare FROM pages), t AS (SELECT page_id, {clean} AS t FROM b) SELECT page_id, CASE WHEN length(t) > 5000 THEN concat(substring(t, 1, 5000), '...') ELSE t END AS text FROM t"
 
 
 def strip_comment_artifacts(d: Spark) -> str:

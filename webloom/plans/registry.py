@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import entities
 from ..functions.dialect import Duck, Spark
 from ..operators import code, examples, html, numbering, rewrite, sites, training
 from ..functions.encoding import decoded, sound
@@ -45,12 +46,23 @@ def decoded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLANS = (*pages.QUERIES, *corpus.QUERIES)
 OWN = {f.__name__: f for f in (example_numbering, resume_offset, export_files, decoded_pages)}
 QUERIES: dict = {p.__name__: in_spark(p) for p in PLANS} | html.QUERIES | rewrite.QUERIES | code.QUERIES | examples.QUERIES | sites.QUERIES | training.QUERIES | dedupe.QUERIES | OWN
+#: Names of characters as a relation: DuckDB looks up joins faster than maps.
+NAMES = f"(SELECT split_part(e, chr(2), 1) AS k, split_part(e, chr(2), 2) AS v FROM (SELECT unnest(string_split({Duck().text(entities.names())}, chr(1))) AS e))"
+NUMBER = "coalesce(try_cast(regexp_extract(x, '^&#0*([0-9]{1,9});?$', 1) AS BIGINT), try_cast('0x' || nullif(regexp_extract(x, '^&#[xX]0*([0-9a-fA-F]{1,7});?$', 1), '') AS BIGINT))"
 #: SQL of queries that aren't plans: written apart from them.
 APART = {
     "decoded_pages": r"SELECT page_id, html, length(trim(html, E' \t\r\n')) >= 100 AND (contains(lower(html), '<html') OR contains(lower(html), '<!doctype') OR contains(lower(html), '<body')) AS sound FROM pages",
     "page_outline": r"""WITH bare AS (SELECT page_id, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(<(script|style)[^>]*>).*?</(script|style)>', '\1', 'gis') AS html FROM pages),
         tags AS (SELECT page_id, regexp_extract_all(html, '<([A-Za-z][A-Za-z0-9-]*)', 1) AS names FROM bare)
         SELECT page_id, CAST(len(names) AS BIGINT) AS n_elements, lower(array_to_string(names[1:10], ' ')) AS first_tags FROM tags WHERE len(names) > 0""",
+    "visible_text": rf"""WITH names AS {NAMES},
+        bare AS (SELECT page_id, regexp_replace(regexp_replace(html, '<script(\s[^>]*)?>.*?</script>', ' ', 'gis'), '<style(\s[^>]*)?>.*?</style>', ' ', 'gis') AS html FROM pages),
+        told AS (SELECT page_id, regexp_replace(regexp_replace(html, '<noscript(\s[^>]*)?>.*?</noscript>', ' ', 'gis'), '<!--.*?-->|<[^>]*>', ' ', 'gs') AS t FROM bare),
+        tokens AS (SELECT page_id, unnest(range(len(x))) AS place, unnest(x) AS x FROM (SELECT page_id, regexp_extract_all(t, '{entities.TOKEN}') AS x FROM told)),
+        decoded AS (SELECT page_id, place, CASE WHEN x LIKE '&#_%' THEN {entities.numeric(Duck(), NUMBER)} ELSE coalesce(w.v, p.v || substring(x, length(p.k) + 2), x) END AS c
+            FROM tokens LEFT JOIN names w ON x = '&' || w.k LEFT JOIN names p ON p.k = regexp_extract(x, '^&({'|'.join(entities.BARE)})', 1)),
+        joined AS (SELECT page_id, trim(regexp_replace(replace(string_agg(c, '' ORDER BY place), chr(160), ' '), '\s+', ' ', 'g')) AS t FROM decoded GROUP BY page_id)
+        SELECT told.page_id, CASE WHEN length(joined.t) > 5000 THEN joined.t[1:5000] || '...' ELSE coalesce(joined.t, told.t) END AS text FROM told LEFT JOIN joined USING (page_id)""",
     "example_numbering": "SELECT page_id, format('example_{:04d}', (SELECT count(*) FROM pages q WHERE q.page_id <= p.page_id)) AS folder FROM pages p",
     "resume_offset": "SELECT page_id FROM pages WHERE (SELECT count(*) FROM pages) < 101 OR page_id NOT IN (SELECT page_id FROM pages ORDER BY page_id LIMIT 100)",
     "md5_dedupe": "SELECT DISTINCT ON (text) doc_id, md5(text) AS text_md5, count(*) OVER (PARTITION BY text) AS copies FROM documents ORDER BY text, doc_id",

@@ -76,4 +76,6 @@ APART = {
     "line_stats": "SELECT doc_id, count(*) FILTER (full_) AS n_lines, sum(len(line)) FILTER (full_)::DOUBLE / nullif(count(*) FILTER (full_), 0) AS mean_length, count(*) FILTER (full_)::DOUBLE / nullif(any_value(size), 0) AS break_ratio FROM (SELECT doc_id, line, size, len(trim(line, E' \\t\\r\\n')) > 0 AS full_ FROM (SELECT doc_id, len(text) AS size, unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY doc_id",
     "same_domain_links": r"WITH a AS (SELECT page_id, split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1) AS home, unnest(string_split_regex(html, '(?i)<a\s')[2:]) AS rest FROM pages WHERE regexp_matches(html, '(?is)<a\s.*</a>')), l AS (SELECT page_id, home, regexp_extract(rest, '(?i)^[^>]*href=[\x22\x27]?([^\x22\x27\s>]*)', 1) AS href FROM a) SELECT page_id, count(*) AS n_links, CAST(count(*) FILTER (NOT regexp_matches(href, '^([A-Za-z][A-Za-z0-9+.-]*:|//)') OR regexp_replace(regexp_extract(href, '//([^/?#]*)', 1), '^www\.', '') = regexp_replace(home, '^www\.', '')) AS HUGEINT) AS n_same FROM l GROUP BY page_id",
 }
-SQL: dict = {p.__name__: p(Duck()) for p in PLANS} | dedupe.SQL | APART
+SQL: dict = {p.__name__: p(Duck()) for p in PLANS} | dedupe.SQL | APART | {
+    "chat_prompts": r"SELECT conv_id, turn, format(E'<|im_start|>{}\n{}<|im_end|>\n<|im_start|>assistant\n', role, text) AS prompt FROM conversations WHERE role = 'user'",
+}

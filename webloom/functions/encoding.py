@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .charsets import SURE, guess
 from .values import CHARSETS, TRIED_ENCODINGS
 
 META_CHARSET = re.compile(rb"<meta[^>]*charset\s*=\s*[\"']?([^\"'>\s]+)", re.I)
@@ -58,13 +59,14 @@ def tried(raw: bytes) -> str:
 
 
 def page_text(raw: bytes | None, charset: str | None = None, encoding: str | None = None) -> str | None:
-    """A page's text in composed characters: by its own charset, else the header's, else by trial; null for null."""
+    """A page's text in composed characters: by its own charset, else the header's, else the likeliest, else by trial; null for null."""
     if raw is None:
         return None
     raw = unpacked(bytes(raw), encoding)
     name = declared(raw) or charset
     if not name or name.lower() == "iso-8859-1":
-        name = tried(raw)
+        likely, sure = guess(raw)
+        name = likely if sure > SURE else tried(raw)
     try:
         text = raw.decode(name, errors="replace")
     except LookupError:

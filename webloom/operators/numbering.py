@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import shared_dir
+from ..sources.tables import materialize
 
 
 def numbered(rows: DataFrame, *keys: str, name: str = "number") -> DataFrame:
@@ -16,14 +14,12 @@ def numbered(rows: DataFrame, *keys: str, name: str = "number") -> DataFrame:
     Rows are sorted by range and written once, so that partitions stay as they are; each partition is numbered from the
     count of those before it. Only these counts (one per partition) come to the driver.
     """
-    spark, folder = rows.sparkSession, f"{shared_dir(rows.sparkSession)}/numbered-{uuid.uuid4().hex}"
-    rows.orderBy(*keys).withColumn("_part", F.spark_partition_id()).write.parquet(folder)
-    stored = spark.read.parquet(folder)
+    stored = materialize(rows.orderBy(*keys).withColumn("_part", F.spark_partition_id()))
     starts, total = {}, 0
     for part, n in sorted((r["_part"], r["count"]) for r in stored.groupBy("_part").count().collect()):
         starts[part] = total
         total += n
-    before = spark.createDataFrame(list(starts.items()), "_part int, _before long")
+    before = rows.sparkSession.createDataFrame(list(starts.items()), "_part int, _before long")
     place = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
     return stored.withColumn(name, place).join(F.broadcast(before), "_part").withColumn(name, F.col(name) + F.col("_before")).drop("_part", "_before")
 

@@ -62,3 +62,17 @@ def test_links_descriptions_and_pages_without_scripts(spark, con):
     told = run(pages.page_titles, "title, description, page_id")[10:]
     assert [r[:2] for r in told] == [("A", "D's page"), ("T", 'say "x"'), ("", ""), ("", ""), ("", ""), (None, None)]
     assert {r[0] for r in run(pages.minified_flag, "minified, page_id")} <= {False, None}
+
+
+def test_folder_names_of_hosts_that_begin_with_s_and_of_odd_urls(spark):
+    told = {"http://sth.org/a": ("httpsth.org", "http://sth.org"), "https://sth.org?q#t": ("httpssth.org", "https://sth.org"), "http://s": ("https", "http://s")}
+    odd = ["ftp://a.org/x", "HTTP://A.org", "a.org/x", "://a.org/x", "", "a:b://c/d", "http://a://b", "http:///x", "http://a\nb/c", "httpsa.org", "//a.org", "http://\U0001f600é.org/", None]
+    small = spark.createDataFrame([(i, u, "") for i, u in enumerate([*told, *odd])], "page_id long, url string, html string")
+    small.createOrReplaceTempView("pages")
+    run = lambda plan: [tuple(r) for r in spark.sql(f"SELECT folder, target FROM ({plan}) t ORDER BY page_id").collect()]
+    got = run(pages.folder_names(Spark()))
+    assert got[: len(told)] == list(told.values())
+    duck = duckdb.connect()
+    duck.register("pages", small.toArrow())
+    for sql in (registry.SQL["folder_names"], pages.folder_names(Duck())):
+        assert got == duck.execute(f"SELECT folder, target FROM ({sql}) t ORDER BY page_id").fetchall()

@@ -232,9 +232,9 @@ def style_cdn_filter(d: Spark) -> str:
 
 
 def folder_names(d: Spark) -> str:
-    """A host's folder name and the url that it stands for."""
-    folder = f"concat({d.find('url', '^(https?)://')}, {host(d, 'url')})"
-    return f"SELECT page_id, folder, CASE WHEN {d.matches('folder', '^https')} THEN concat('https://', {d.sub('folder', '^https', '')}) WHEN {d.matches('folder', '^http')} THEN concat('http://', {d.sub('folder', '^http', '')}) ELSE concat('https://', folder) END AS target FROM (SELECT page_id, {folder} AS folder FROM pages) t"
+    """A host's folder name and the url that it stands for. Both come from the page's url: a name alone can't tell http before an s from https."""
+    parts = f"SELECT page_id, split_part(url, '://', 1) AS scheme, {d.find("split_part(url, '://', 2)", '^[^/?#]*', 0)} AS host FROM pages"
+    return f"SELECT page_id, scheme || host AS folder, scheme || '://' || host AS target FROM ({parts}) t"
 
 
 def page_industry(d: Spark) -> str:

@@ -494,6 +494,21 @@ def test_url_scores_thresholds_and_verdicts_against_plain_loops(spark):
     assert max(right(x // 1000 * 1000) for x in (low + 1000, high)) >= best - 1e-9
 
 
+def stages_of(spark):
+    jvm = spark._jvm
+    found = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return [found.apply(i) for i in range(found.size())]
+
+
+def test_url_scores_shuffle_few_bytes_a_gram(spark):
+    """Each end of a gram is scored once, and not again for each gram that ends so: 87 bytes a gram at the time of writing, 523 otherwise."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    n = pages.select(F.explode(F.expr("transform(sequence(1, length(url) + 1), i -> substring(concat(repeat('\x02', 6), url, '\x03'), i, 7))"))).distinct().count()
+    last = max(s.stageId() for s in stages_of(spark))
+    urls.judge(pages).write.format("noop").mode("overwrite").save()
+    assert 0 < sum(s.shuffleWriteBytes() for s in stages_of(spark) if s.stageId() > last) < 200 * n
+
+
 def test_url_models_tell_kinds_apart_that_they_have_not_seen(spark):
     rng = random.Random(8)
     host = lambda kind: "".join(rng.choices("abc" if kind else "xyz", k=8))

@@ -71,22 +71,37 @@ def learned(urls: DataFrame) -> tuple[DataFrame, DataFrame]:
     return follow, materialize(seen)
 
 
-def gram_scores(asked: DataFrame, follow: DataFrame, seen: DataFrame) -> DataFrame:
-    """gram, n, score: millionths of ln P(last character | the others), allowed less blocked, for each gram asked (gram, n).
+def gram_facts(asked: DataFrame, follow: DataFrame, seen: DataFrame) -> DataFrame:
+    """For each gram asked (gram, n) and each of its ends, once: key, n (of whole grams, else null), and what follow and seen have of it, null where no context counts.
+
+    Ends come from the next longer ones, which are ever fewer. A key or a context has as many rows as there are
+    different characters at most, so that no task gets all.
+    """
+    keys = ends = asked.select(F.col("gram").alias("key"), "n")
+    for _ in range(ORDER):
+        ends = ends.select(F.expr("substring(key, 2)").alias("key")).distinct().withColumn("n", F.lit(None).cast("long"))
+        keys = keys.unionByName(ends)
+    counted = seen.where(f"allow_n >= {SUPPORT} or block_n >= {SUPPORT}")
+    return keys.join(follow, "key", "left").withColumn("context", F.expr("left(key, length(key) - 1)")).join(counted, "context", "left").drop("context")
+
+
+def gram_scores(facts: DataFrame) -> DataFrame:
+    """gram, n, score: millionths of ln P(last character | the others), allowed less blocked, for each gram of gram_facts.
 
     A context counts if it was seen SUPPORT times. By how much a longer one counts against a shorter depends on how
-    many different characters have followed it: that is how likely one escapes to the shorter context.
+    many different characters have followed it: that is how likely one escapes to the shorter context. So chances go
+    from each key to those that are a character longer.
     """
-    cut = F.expr(f"transform(sequence(0, {ORDER}), k -> substring(gram, {ORDER + 1} - k))")
-    x = asked.select("gram", F.posexplode(cut).alias("k", "key")).withColumn("context", F.expr("left(key, length(key) - 1)"))
-    total = asked.count() * (ORDER + 1)
-    for key, facts in (("key", follow), ("context", seen)):
-        values = [c for c in facts.columns if c != key]
-        x = attached(x, [key], x.groupBy(key).agg(F.count("*").alias("n")).join(facts, key), total, values, F.xxhash64("gram", "k"))
-    levels = x.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("k", *follow.columns[1:], *seen.columns[1:]))).alias("levels"))
-    chance = lambda kind: F.expr(f"aggregate(levels, {FLOOR!r}D, (p, l) -> if(coalesce(l.{kind}_n, 0) < {SUPPORT}, p, (coalesce(l.{kind}, 0) + l.{kind}_kinds * p) / (l.{kind}_n + l.{kind}_kinds)))")
-    score = F.round((F.log(chance("allow")) - F.log(chance("block"))) * 1e6).cast("long")
-    return asked.join(levels.select("gram", score.alias("score")), "gram")
+    chance = lambda kind: F.expr(f"if(coalesce({kind}_n, 0) < {SUPPORT}, {kind}_p, (coalesce({kind}, 0) + {kind}_kinds * {kind}_p) / ({kind}_n + {kind}_kinds))").alias(f"{kind}_p")
+    shorter = None
+    for k in range(ORDER + 1):
+        rows = facts.where(F.length("key") == k + 1)
+        if k:
+            rows = rows.withColumn("end", F.expr("substring(key, 2)")).join(shorter.withColumnRenamed("key", "end"), "end")
+        else:
+            rows = rows.withColumns({"allow_p": F.lit(FLOOR), "block_p": F.lit(FLOOR)})
+        shorter = rows.select("key", *(["n"] if k == ORDER else []), chance("allow"), chance("block"))
+    return shorter.select(F.col("key").alias("gram"), "n", F.round((F.log("allow_p") - F.log("block_p")) * 1e6).cast("long").alias("score"))
 
 
 def scores(urls: DataFrame, fit: DataFrame) -> DataFrame:
@@ -94,8 +109,12 @@ def scores(urls: DataFrame, fit: DataFrame) -> DataFrame:
     follow, seen = learned(parts(fit, "ruled"))
     pieces = materialize(parts(urls).withColumn("piece", F.monotonically_increasing_id()))
     asked = materialize(grams(pieces).groupBy("gram").agg(F.count("*").alias("n")))
-    scored = materialize(gram_scores(asked, follow, seen))
-    total = asked.agg(F.sum("n")).first()[0] or 0
+    facts = materialize(gram_facts(asked, follow, seen))
+    for stored in (follow, seen, asked):
+        discard(stored)
+    scored = materialize(gram_scores(facts))
+    discard(facts)
+    total = scored.agg(F.sum("n")).first()[0] or 0
     places = attached(grams(pieces, "piece"), ["gram"], scored, total, ["score"], F.xxhash64("piece", "gram"))
     sums = places.groupBy("piece").agg(F.sum("score").alias("sum"))
     summed = materialize(pieces.withColumnRenamed("n", "urls").join(sums, "piece").select("framed", F.col("urls").alias("n"), "sum"))
@@ -107,7 +126,7 @@ def scores(urls: DataFrame, fit: DataFrame) -> DataFrame:
     none = F.lit(0).cast("long")
     out = out.withColumn("score", F.floor((F.coalesce("head_sum", none) + F.coalesce("tail_sum", none)) / (F.length("framed") - ORDER)).cast("long"))
     out = materialize(out.select("framed", "n", "ruled", "held", "score"))
-    for stored in (follow, seen, pieces, asked, scored, summed):
+    for stored in (pieces, scored, summed):
         discard(stored)
     return out
 

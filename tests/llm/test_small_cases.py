@@ -156,6 +156,48 @@ def test_special_strings_are_cut_as_the_tokenizer_does():
         assert byte_bpe().ids(text).tolist() == exact.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_any_whitespace_are_the_tokenizers():
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    exact, rng = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), random.Random(4)
+    spaces = ["\n", "\t", "\r", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u180e", "\u2003", "\u2028", "\u3000", "\u200b", "\ufeff"]
+    for _ in range(5000):
+        text = "".join(rng.choices([*" " * 6, *spaces, *"abst'.,19éß日😀", "'ll", "'re"], k=rng.randrange(12)))
+        assert byte_bpe().ids(text).tolist() == exact.encode(text, add_special_tokens=False).ids, text
+
+
+def test_ids_take_less_time_than_by_the_whole_pattern():
+    import base64
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    by_whole = tiktoken.Encoding("whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    text, seconds = "Some words of a text, and 12 more.\n" * 20_000, {"whole": [], "own": []}
+    for _ in range(5):
+        for name, ids in (("whole", lambda: by_whole.encode_to_numpy(text, disallowed_special=())), ("own", lambda: byte_bpe().ids(text))):
+            since = time.process_time()
+            ids()
+            seconds[name].append(time.process_time() - since)
+    assert np.array_equal(byte_bpe().ids(text), by_whole.encode_to_numpy(text, disallowed_special=()))
+    assert min(seconds["own"]) < 0.6 * min(seconds["whole"])
+
+
+def test_matrices_do_not_depend_on_batches(spark):
+    docs = odd_docs(spark).unionByName(spark.createDataFrame([(i, "few words " * (i % 7), "en", "a", 1) for i in range(20, 90)], SCHEMA))
+    setting, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(setting)
+    try:
+        for rows in (1, 3, 10_000):
+            spark.conf.set(setting, rows)
+            seen.append(sorted(map(repr, packing.pack_matrices(docs, cap=64).collect())))
+    finally:
+        spark.conf.set(setting, before)
+    assert seen[0] == seen[1] == seen[2]
+
+
 def test_mix_meets_targets_and_shares(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(["w"] * rng.randint(1, 60)), "en", rng.choice(["a", "b", "c", "d", None]), 0) for i in range(4000)]

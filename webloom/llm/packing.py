@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, ranked, shuffle_parts, units
+from .common import discard, materialize, ranked, shuffle_parts
 from .tokens import byte_bpe
 
 
@@ -201,27 +201,45 @@ def pack_matrices(docs: DataFrame, *, cap: int = 1024, end_id: int = 50256, pad_
     if max(pad_id, end_id, cap - 1) > np.iinfo(kind).max:
         raise ValueError(f"id_bytes = {id_bytes} can't hold pad_id, end_id or cap")
 
+    steps, names = np.arange(cap), [f.split()[0] for f in MATRIX.split(", ")]
+    most = max(1, (1 << 20) // cap)  # sequences at once
+
     def matrices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps = np.arange(cap, dtype=kind)
-        rows: list[tuple] = []
-        for unit in units(batches, 1):
-            parts = unit.select(["offset", "length", "doc_id", "start", "ids"]).to_pydict()
-            order = sorted(range(unit.num_rows), key=parts["offset"].__getitem__)
-            lengths, ids = [parts["length"][i] for i in order], b"".join(parts["ids"][i] for i in order)
-            full = sum(lengths)
-            places = np.concatenate([*(steps[:n] for n in lengths), steps[: cap - full]])
-            rows.append((unit.column("sequence_id")[0].as_py(), full, ids + np.full(cap - full, pad_id, dtype=kind).tobytes(), places.tobytes(), [0, *np.cumsum(lengths).tolist()], [parts["doc_id"][i] for i in order], [parts["start"][i] for i in order]))
-            if len(rows) >= 1024:
-                yield batch_of(rows)
-                rows = []
-        yield batch_of(rows)
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, types)], names=[f.split()[0] for f in MATRIX.split(", ")])
+        rest: list[pa.RecordBatch] = []  # the last sequence so far, which the next batch may go on with
+        for batch in batches:
+            if batch.num_rows:
+                rows = pa.concat_batches([*rest, batch])
+                keys = rows.column("sequence_id").to_numpy()
+                whole = int(np.searchsorted(keys, keys[-1]))
+                yield from parts(rows.slice(0, whole))
+                rest = [rows.slice(whole)]
+        for rows in rest:
+            yield from parts(rows)
+
+    def parts(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keys = rows.column("sequence_id").to_numpy()
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        for lo in range(0, len(first), most):
+            cuts = np.append(first, len(keys))[lo : lo + most + 1]
+            yield laid_out(rows.slice(cuts[0], cuts[-1] - cuts[0]), cuts - cuts[0])
+
+    def laid_out(rows: pa.RecordBatch, cuts: np.ndarray) -> pa.RecordBatch:
+        """A row per sequence, of the pieces between two cuts. These leave no gaps, so that their ids follow each other in the matrix, too."""
+        length, offset = (rows.column(c).to_numpy() for c in ("length", "offset"))
+        full = np.add.reduceat(length, cuts[:-1])
+        used = steps < full[:, None]
+        ids = np.full(used.shape, pad_id, dtype=kind)
+        ids[used] = np.frombuffer(b"".join(rows.column("ids").to_pylist()), dtype=kind)
+        places = (steps - full[:, None]).astype(kind)
+        places[used] = np.arange(full.sum()) - np.repeat(np.cumsum(length) - length, length)
+        binary = (pa.array([row.tobytes() for row in m], pa.binary()) for m in (ids, places))
+        bounds = pa.array(np.insert(offset, cuts[1:], full), pa.int32())
+        lists = ((cuts + np.arange(len(cuts)), bounds), (cuts, rows.column("doc_id")), (cuts, rows.column("start")))
+        arrays = (pa.ListArray.from_arrays(pa.array(at, pa.int32()), values) for at, values in lists)
+        return pa.RecordBatch.from_arrays([rows.column("sequence_id").take(pa.array(cuts[:-1])), pa.array(full), *binary, *arrays], names=names)
 
     placed = packing(docs, cap, end_id, tokenizer, id_bytes).select("sequence_id", "offset", "length", "doc_id", "start", "ids")
-    return placed.repartition(shuffle_parts(docs.sparkSession), "sequence_id").sortWithinPartitions("sequence_id").mapInArrow(matrices, MATRIX)
+    return placed.repartition(shuffle_parts(docs.sparkSession), "sequence_id").sortWithinPartitions("sequence_id", "offset").mapInArrow(matrices, MATRIX)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
